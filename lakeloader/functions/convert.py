@@ -151,8 +151,14 @@ def _native_text(value: Column, data_type: T.DataType) -> Column:
         return float_text(value.cast("double"))
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return float_text(_finite(value.cast("double")))
-    if isinstance(data_type, (T.StructType, T.ArrayType, T.MapType)):
+    if isinstance(data_type, T.StructType):
         return json_text(value, data_type)
+    # A list without a non-null item, and an empty map, are null.
+    if isinstance(data_type, T.ArrayType):
+        filled = F.exists(value, lambda item: item.isNotNull())
+        return F.when(filled, json_text(value, data_type))
+    if isinstance(data_type, T.MapType):
+        return F.when(F.size(value) > 0, json_text(value, data_type))
     return value.cast("string")
 
 

@@ -201,7 +201,9 @@ def pieces(batch: Batch, targets: dict[Lineage, tuple[int, dict[str, int]]]) ->
     return _union(frames)
 
 
-_EMPTY_POS = F.array().cast("array<int>")
+def _empty_pos() -> Column:
+    return F.array().cast("array<int>").alias("pos")
+
 
 
 def _converted(
@@ -258,7 +260,7 @@ def _delimited_rows(batch: Batch, stream: Stream) -> DataFrame | None:
     cut = Delimited(batch.spark, readable, files, columns).rows()
     rows = cut.select(
         "*",
-        _EMPTY_POS.alias("pos"),
+        _empty_pos(),
         F.lit(None).cast("string").alias("parent"),
         F.lit(None).cast("int").alias("idx"),
         F.lit(None).cast("string").alias("suffix"),
@@ -365,7 +367,7 @@ class GroupRows:
             [(obj, 0, error) for obj, error in failed], "obj int, row bigint, error string"
         ).select(
             "*",
-            _EMPTY_POS.alias("pos"),
+            _empty_pos(),
             F.lit(None).cast("string").alias("parent"),
             F.lit(None).cast("int").alias("idx"),
             F.lit(None).cast("string").alias("suffix"),

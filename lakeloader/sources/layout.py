@@ -163,7 +163,8 @@ def check_exclude(listing: DataFrame, pattern: str) -> None:
 
 
 def read_order(manifest: DataFrame) -> DataFrame:
-    """Add `rank`: the object's place in its stream by (last_modified, key).
+    """Add `rank`, the object's place in its stream by (last_modified, key), and
+    `bytes_before`, the bytes of the objects before it.
 
     A stream may hold most objects, so no stream is sorted in one task: the
     objects are range-partitioned, counted per partition and stream, and
@@ -174,17 +175,26 @@ def read_order(manifest: DataFrame) -> DataFrame:
     ranged = reliable_checkpoint(
         manifest.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
     )
-    counts = ranged.groupBy("stream", "_part").agg(F.count("*").alias("_n"))
+    counts = ranged.groupBy("stream", "_part").agg(
+        F.count("*").alias("_n"), F.sum("size").alias("_bytes")
+    )
     before = Window.partitionBy("stream").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per stream and partition.
     offsets = counts.select(
-        "stream", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+        "stream",
+        "_part",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"),
+        F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_bytes_before"),
     )
     inside = Window.partitionBy("stream", "_part").orderBy("last_modified", "key")
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
     return (
         ranged.withColumn("_local", F.row_number().over(inside))
+        .withColumn("_local_bytes", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
         .join(offsets, ["stream", "_part"])
-        .withColumn("rank", F.col("_offset") + F.col("_local"))
-        .drop("_part", "_local", "_offset")
+        .withColumn("rank", F.col("_first") + F.col("_local"))
+        .withColumn("bytes_before", F.col("_bytes_before") + F.col("_local_bytes"))
+        .drop("_part", "_first", "_bytes_before", "_local", "_local_bytes")
     )
 
 
