@@ -8,8 +8,9 @@ objects are found. Both are tables:
 - `bookmarks(stream, replication_key, bookmark, has_window)`, a row per stream
 - `window(stream, key, etag, last_modified)`, a row per object
 
-`members(root, stream, incremental)` names the streams that read the objects
-of a file stream: itself and its children. Nothing here depends on the order
+`members(root, stream, incremental, complete)` names the streams that read the
+objects of a file stream: itself and its children. `complete` matters for the
+step after a read: it says that nothing is left to read. Nothing here depends on the order
 of a loop, and no step sorts or collects a stream in one place.
 """
 
@@ -24,7 +25,7 @@ from lakeloader.model import LAST_MODIFIED, LOOKBACK_MINUTES
 
 BOOKMARKS = "stream string, replication_key string, bookmark timestamp, has_window boolean"
 WINDOW = "stream string, key string, etag string, last_modified timestamp"
-MEMBERS = "root string, stream string, incremental boolean"
+MEMBERS = "root string, stream string, incremental boolean, complete boolean"
 
 
 def window_start(listed_at: datetime.datetime, lookback_minutes: int | None = None) -> datetime.datetime:
@@ -80,18 +81,20 @@ def targets(
         # Spread by key, so a stream with most objects is no hot spot.
         .join(window.select("stream", "key", "etag"), ["stream", "key", "etag"], "left_anti")
     )
-    return incremental.unionByName(wanted.where(~F.col("incremental"))).drop("bookmark", "incremental")
+    return incremental.unionByName(wanted.where(~F.col("incremental"))).drop(
+        "bookmark", "incremental", "complete"
+    )
 
 
 def next_bookmarks(
-    manifest: DataFrame, members: DataFrame, finished: DataFrame, bookmarks: DataFrame,
-    start: Column, complete: bool,
-) -> DataFrame:
+    manifest: DataFrame, members: DataFrame, finished: DataFrame, bookmarks: DataFrame, start: Column
+) -> DataFrame:
     """The bookmarks after `finished(stream, key, etag)` were read.
 
     Objects can share a time, so a bookmark moves to a time only when the last
     object by key at that time is done. It never passes the window start and
-    never moves back. After a complete run it is raised to the window start.
+    never moves back. A member that is `complete`, with nothing left to read,
+    gets the window start.
     """
     every = candidates(manifest, members).select("stream", "key", "last_modified")
     done = finished.select("stream", "key", F.lit(True).alias("done"))
@@ -105,9 +108,9 @@ def next_bookmarks(
     )
     known = effective_bookmarks(bookmarks, start)
     # `greatest` skips nulls, as wanted here.
-    end = start if complete else F.lit(None).cast("timestamp")
+    end = F.when(F.col("complete"), start)
     moved = (
-        members.select("stream")
+        members.select("stream", "complete")
         .join(known, "stream", "left")
         .join(reached, "stream", "left")
         .select("stream", F.greatest("bookmark", "reached", end).alias("bookmark"))
@@ -159,9 +162,27 @@ def others(state: DataFrame, members: DataFrame) -> DataFrame:
     return state.join(F.broadcast(members.select("stream")), "stream", "left_anti")
 
 
-def before_failure(wanted: DataFrame, last_modified: Column, key: Column) -> DataFrame:
-    """The targets before a failing object in read order."""
-    return wanted.where(
+def objects_with_readers(wanted: DataFrame) -> DataFrame:
+    """The objects to read, each once, with the `readers` that want it."""
+    facts = [name for name in wanted.columns if name not in ("root", "stream", "key")]
+    return (
+        wanted.groupBy("root", "key")
+        # As many entries as the file stream has child streams in the catalog.
+        .agg(F.collect_set("stream").alias("readers"), *[F.first(name).alias(name) for name in facts])
+        .withColumnRenamed("root", "stream")
+    )
+
+
+def finished_by(objects: DataFrame) -> DataFrame:
+    """What objects count as for each of their readers once they are read."""
+    return objects.select(
+        F.explode("readers").alias("stream"), "key", "etag", "last_modified"
+    )
+
+
+def before_failure(objects: DataFrame, last_modified: Column, key: Column) -> DataFrame:
+    """The objects before a failing one in read order."""
+    return objects.where(
         (F.col("last_modified") < last_modified)
         | ((F.col("last_modified") == last_modified) & (F.col("key") < key))
     )

@@ -58,6 +58,7 @@ class Batch:
     modified: dict[int, object]
     versions: dict[int, tuple]
     heads: dict[int, dict] = field(default_factory=dict)
+    readers: dict[int, set[str]] = field(default_factory=dict)
 
     @staticmethod
     def collect(manifest: DataFrame) -> Batch:
@@ -67,8 +68,9 @@ class Batch:
         object whose size differs from the listing has changed.
         """
         spark = manifest.sparkSession
+        columns = [*_MANIFEST, *(["readers"] if "readers" in manifest.columns else [])]
         rows = sorted(
-            manifest.select(*_MANIFEST).collect(), key=lambda row: (row.last_modified, row.key)
+            manifest.select(*columns).collect(), key=lambda row: (row.last_modified, row.key)
         )
         found = _look(spark, [row.path for row in rows])
         objects, modified, versions = [], {}, {}
@@ -81,12 +83,15 @@ class Batch:
                 ScanObject(number, row.key, path, file, size, row.kind, row.extension, row.compressed)
             )
             modified[number], versions[number] = row.last_modified, (time, size)
-        return Batch(spark, objects, modified, versions)
+        batch = Batch(spark, objects, modified, versions)
+        if "readers" in columns:
+            batch.readers = {number: set(row.readers) for number, row in enumerate(rows)}
+        return batch
 
     def subset(self, numbers: set[int]) -> Batch:
         """The same batch with fewer objects."""
         keep = [item for item in self.objects if item.obj in numbers]
-        return Batch(self.spark, keep, self.modified, self.versions, self.heads)
+        return replace(self, objects=keep)
 
     def renumbered(self, base: int) -> Batch:
         """The same batch with its numbers moved up."""

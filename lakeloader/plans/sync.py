@@ -81,10 +81,12 @@ class SyncResult:
         return self.sink.read(self.catalog.streams[stream])
 
 
-def members_of(spark: SparkSession, groups: list[Group], settings: Settings) -> DataFrame:
+def members_of(
+    spark: SparkSession, groups: list[Group], settings: Settings, complete: bool = False
+) -> DataFrame:
     """The streams that read each file stream's objects."""
     rows = [
-        (group.root, stream.name, settings.incremental and not stream.full_table)
+        (group.root, stream.name, settings.incremental and not stream.full_table, complete)
         for group in groups
         for stream in group.active().values()
     ]
@@ -129,105 +131,10 @@ def sync(
     if state is not None:
         sink.commit(*state, [])
     start = F.lit(inc.window_start(listed_at, settings.lookback_minutes))
-    for group in groups:
-        if group.active():
-            _sync_group(group, manifest, settings, start, result)
+    _Run(manifest, [group for group in groups if group.active()], settings, start, result).run()
     return result
 
 
-def _sync_group(group: Group, manifest: DataFrame, settings: Settings, start, result: SyncResult) -> None:
-    spark, sink = result.sink.spark, result.sink
-    active = group.active()
-    limited = {stream.name for stream in active.values() if stream.name in settings.limits}
-    listed = manifest.where(F.col("stream") == group.root)
-    readable = inc.objects_to_read(listed, settings.first_date)
-    members = members_of(spark, [group], settings)
-    tracked = members.where(~F.col("stream").isin(*limited)) if limited else members
-    bookmarks, window = sink.load_state()
-    wanted = reliable_checkpoint(inc.targets(readable, members, bookmarks, window, start))
-    objects = wanted.groupBy("key").agg(
-        F.first("root").alias("stream"),
-        *[F.first(name).alias(name) for name in ("path", "last_modified", "size", "etag", "kind", "extension", "compressed")],
-    )
-    if len(limited) == len(active):
-        _sync_limited(group, objects, wanted, settings, result)
-        return
-    ordered = reliable_checkpoint(
-        ranked(objects).withColumn(
-            "batch",
-            F.floor((F.col("rank") - 1) / settings.checkpoint_objects)
-            + F.floor(F.col("bytes_before") / settings.checkpoint_bytes),
-        )
-    )
-    batches = sorted(row.batch for row in ordered.select("batch").distinct().collect())
-    given = dict.fromkeys(limited, 0)
-    step = _Step(sink, listed, readable, tracked, start, settings.whole_listing)
-    for number in batches:
-        part = ordered.where(F.col("batch") == number)
-        done = wanted.join(part.select("key"), "key", "left_semi")
-        runs, failure = _load(group, part, done, settings, given, result)
-        if failure is not None:
-            done = inc.before_failure(done, F.lit(failure.time), F.lit(failure.key))
-        step.commit(done, runs, complete=failure is None and number == batches[-1])
-        result.commits += 1
-        if failure is not None:
-            raise LoadError(failure.message)
-    if not batches:
-        step.commit(wanted, [], complete=True)
-        result.commits += 1
-
-
-@dataclass(frozen=True)
-class _Step:
-    """What every commit of a group needs."""
-
-    sink: Sink
-    listed: DataFrame
-    readable: DataFrame
-    tracked: DataFrame
-    start: Column
-    whole_listing: bool
-
-    def commit(self, done: DataFrame, runs: list[tuple[str, str]], complete: bool) -> None:
-        """Write the state after `done`, with the rows that belong to it."""
-        bookmarks, window = self.sink.load_state()
-        tracked = self.tracked
-        finished = done.join(F.broadcast(tracked.select("stream")), "stream", "left_semi")
-        marks = reliable_checkpoint(
-            inc.next_bookmarks(self.readable, tracked, finished, bookmarks, self.start, complete)
-        )
-        entries = inc.next_window(self.listed, tracked, finished, marks, window, self.whole_listing)
-        self.sink.commit(
-            inc.others(bookmarks, tracked).unionByName(marks),
-            inc.others(window, tracked).unionByName(entries),
-            runs,
-        )
-
-
-def _sync_limited(group: Group, objects, wanted, settings: Settings, result: SyncResult) -> None:
-    """A sample read: at most 20 objects, and no more than the limits need.
-
-    The state stays as it is, because a limit can drop rows.
-    """
-    first = objects.orderBy("last_modified", "key").limit(LIMITED_MAX_OBJECTS)
-    spark = result.sink.spark
-    rows = sorted(first.collect(), key=lambda row: (row.last_modified, row.key))
-    given = {stream.name: 0 for stream in group.active().values()}
-    taken = 0
-    for size in (1, 4, LIMITED_MAX_OBJECTS):
-        if all(given[name] >= settings.limits[name] for name in given) or taken >= len(rows):
-            return
-        some = spark.createDataFrame(rows[taken : taken + size], first.schema)
-        taken += size
-        done = wanted.join(some.select("key"), "key", "left_semi")
-        runs, failure = _load(group, some, done, settings, given, result)
-        bookmarks, window = result.sink.load_state()
-        result.sink.commit(bookmarks, window, runs)
-        result.commits += 1
-        if failure is not None:
-            raise LoadError(failure.message)
-
-
 @dataclass(frozen=True)
 class _Failure:
     """The first object of a batch that could not be read."""
@@ -238,80 +145,187 @@ class _Failure:
     message: str
 
 
-def _load(
-    group: Group, part: DataFrame, done: DataFrame, settings: Settings, given: dict[str, int], result: SyncResult
-) -> tuple[list[tuple[str, str]], _Failure | None]:
-    """Write the rows of a batch. Gives its run folders, and the first failure.
-
-    After a failure the rows of the objects before it are kept, and nothing of
-    the others.
-    """
-    batch = Batch.collect(part)
-    result.objects_read += len(batch.objects)
-    # One row per object and stream of the batch.
-    numbers = {item.key: item.obj for item in batch.objects}
-    reads: dict[str, set[int]] = {}
-    for row in done.select("stream", "key").collect():
-        reads.setdefault(row.stream, set()).add(numbers[row.key])
-    failure: _Failure | None = None
-    while batch.objects:
-        try:
-            runs, worse = _write_streams(batch, group, reads, settings, given, result)
-        except PySparkException as err:
-            runs, worse = [], _unreadable(batch, err)
-        if worse is None:
-            batch.check_versions()
-            return runs, failure
-        # Look again at the objects before it: one of them may fail, too.
-        failure = worse
-        batch = batch.subset(set(range(worse.obj)))
-    return [], failure
-
-
-def _write_streams(
-    batch: Batch, group: Group, reads: dict[str, set[int]], settings: Settings, given: dict[str, int], result: SyncResult
-) -> tuple[list[tuple[str, str]], _Failure | None]:
-    sink, active = result.sink, group.active()
-    rows = GroupRows(batch, group, active, stage=True)
-    for stream, note in schema_notes(batch, group):
-        _note(result, stream, note)
-    numbers = {item.key: item.obj for item in batch.objects}
-    runs, failures, counts = [], [], {}
-    for lineage, stream in active.items():
-        limit = settings.limits.get(stream.name)
-        if limit is not None:
-            limit -= given[stream.name]
-            if limit <= 0:
+class _Run:
+    """One sync: all groups, in order, with commits in between."""
+
+    def __init__(self, manifest: DataFrame, groups: list[Group], settings: Settings, start: Column, result: SyncResult):
+        self.spark, self.sink = result.sink.spark, result.sink
+        self.manifest, self.groups, self.settings, self.start = manifest, groups, settings, start
+        self.result = result
+        self.readable = inc.objects_to_read(manifest, settings.first_date)
+        self.given = {name: 0 for name in settings.limits}
+        # What waits for the next commit: rows, batches as (root, batch), and the
+        # groups that have nothing left to read.
+        self.runs: list[tuple[str, str]] = []
+        self.batches: list[tuple[str, int]] = []
+        self.complete: set[str] = set()
+        self.waiting = 0
+
+    def run(self) -> None:
+        if not self.groups:
+            return
+        bookmarks, window = self.sink.load_state()
+        members = members_of(self.spark, self.groups, self.settings)
+        wanted = inc.targets(self.readable, members, bookmarks, window, self.start)
+        settings = self.settings
+        # The plan of the whole run, a row per object to read.
+        self.plan = reliable_checkpoint(
+            ranked(inc.objects_with_readers(wanted)).withColumn(
+                "batch",
+                F.floor((F.col("rank") - 1) / settings.checkpoint_objects)
+                + F.floor(F.col("bytes_before") / settings.checkpoint_bytes),
+            )
+        )
+        sizes: dict[str, list[tuple[int, int]]] = {}
+        for row in self.plan.groupBy("stream", "batch").count().collect():
+            sizes.setdefault(row.stream, []).append((row.batch, row["count"]))
+        for group in self.groups:
+            if self._limited(group) == {stream.name for stream in group.active().values()}:
+                self._sample(group)
                 continue
-        folder = sink.new_run(stream.name)
-        found = rows.rows(lineage)
-        mine = reads.get(stream.name, set())
-        if len(mine) < len(batch.objects):
-            # Another stream of the group wants objects this one has read already.
-            wanted = sink.spark.createDataFrame([(number,) for number in sorted(mine)], f"{OBJ} int")
-            found = found.join(F.broadcast(wanted), OBJ, "left_semi")
-        limit_rows(found, stream, limit).drop(OBJ, POS).write.parquet(folder)
-        # One column of what was just written; its statistics skip good files.
-        written = sink.spark.read.parquet(folder)
-        first = written.where(F.col(ERROR).isNotNull()).orderBy(LAST_MODIFIED, KEY, ROW).first()
-        if first is not None:
-            key = first[KEY]
-            failures.append(
-                _Failure(
-                    numbers[key], key, batch.modified[numbers[key]],
-                    f"could not read {key}, stream '{stream.name}' row {first[ROW]}: {first[ERROR]}",
-                )
-            )
-        for row in written.select(F.explode(NOTES).alias("note")).distinct().collect():
-            _note(result, stream.name, row.note)
-        if limit is not None:
-            counts[stream.name] = written.count()
-        runs.append((stream.name, folder))
-    if failures:
-        return [], min(failures, key=lambda failure: failure.obj)
-    for name, count in counts.items():
-        given[name] += count
-    return runs, None
+            for number, count in sorted(sizes.get(group.root, ())):
+                part = self.plan.where((F.col("stream") == group.root) & (F.col("batch") == number))
+                runs, failure = self._load(group, part)
+                self.runs += runs
+                if failure is not None:
+                    before = inc.before_failure(part, F.lit(failure.time), F.lit(failure.key))
+                    self._commit(before, group)
+                    raise LoadError(failure.message)
+                self.batches.append((group.root, number))
+                self.waiting += count
+                if self.waiting >= settings.checkpoint_objects:
+                    self._commit()
+            self.complete.add(group.root)
+        self._commit()
+
+    def _limited(self, group: Group) -> set[str]:
+        return {s.name for s in group.active().values() if s.name in self.settings.limits}
+
+    def _commit(self, more: DataFrame | None = None, failed: Group | None = None) -> None:
+        """Write the state after the waiting batches, with the rows that belong to it."""
+        touched = {root for root, _ in self.batches} | self.complete
+        if failed is not None:
+            touched.add(failed.root)
+        rows = [
+            (group.root, stream.name, True, group.root in self.complete)
+            for group in self.groups
+            if group.root in touched
+            for stream in group.active().values()
+            # A limit can drop rows, so a limited stream never moves.
+            if stream.name not in self.settings.limits
+        ]
+        bookmarks, window = self.sink.load_state()
+        if rows:
+            tracked = self.spark.createDataFrame(rows, inc.MEMBERS)
+            waiting = self.spark.createDataFrame(self.batches, "stream string, batch bigint")
+            # One row per batch of the run.
+            done = self.plan.join(F.broadcast(waiting), ["stream", "batch"], "left_semi")
+            if more is not None:
+                done = done.unionByName(more)
+            finished = inc.finished_by(done).join(F.broadcast(tracked.select("stream")), "stream", "left_semi")
+            marks = reliable_checkpoint(
+                inc.next_bookmarks(self.readable, tracked, finished, bookmarks, self.start)
+            )
+            entries = inc.next_window(
+                self.manifest, tracked, finished, marks, window, self.settings.whole_listing
+            )
+            bookmarks = inc.others(bookmarks, tracked).unionByName(marks)
+            window = inc.others(window, tracked).unionByName(entries)
+        if rows or self.runs:
+            self.sink.commit(bookmarks, window, self.runs)
+            self.result.commits += 1
+        self.runs, self.batches, self.complete, self.waiting = [], [], set(), 0
+
+    def _sample(self, group: Group) -> None:
+        """A sample read: at most 20 objects, and no more than the limits need.
+
+        The state stays as it is, because a limit can drop rows.
+        """
+        objects = self.plan.where(F.col("stream") == group.root)
+        first = objects.orderBy("last_modified", "key").limit(LIMITED_MAX_OBJECTS)
+        rows = sorted(first.collect(), key=lambda row: (row.last_modified, row.key))
+        names = [stream.name for stream in group.active().values()]
+        taken = 0
+        for size in (1, 4, LIMITED_MAX_OBJECTS):
+            if all(self.given[name] >= self.settings.limits[name] for name in names) or taken >= len(rows):
+                return
+            some = self.spark.createDataFrame(rows[taken : taken + size], first.schema)
+            taken += size
+            runs, failure = self._load(group, some)
+            self.runs += runs
+            if failure is not None:
+                self._commit()
+                raise LoadError(failure.message)
+
+    def _load(self, group: Group, part: DataFrame) -> tuple[list[tuple[str, str]], _Failure | None]:
+        """Write the rows of a batch. Gives its run folders, and the first failure.
+
+        After a failure the rows of the objects before it are kept, and nothing
+        of the others.
+        """
+        batch = Batch.collect(part)
+        self.result.objects_read += len(batch.objects)
+        failure: _Failure | None = None
+        while batch.objects:
+            try:
+                runs, worse = self._write(batch, group)
+            except PySparkException as err:
+                runs, worse = [], _unreadable(batch, err)
+            if worse is None:
+                batch.check_versions()
+                return runs, failure
+            # Look again at the objects before it: one of them may fail, too.
+            failure = worse
+            batch = batch.subset(set(range(worse.obj)))
+        return [], failure
+
+    def _write(self, batch: Batch, group: Group) -> tuple[list[tuple[str, str]], _Failure | None]:
+        active = group.active()
+        rows = GroupRows(batch, group, active, stage=True)
+        for stream, note in schema_notes(batch, group):
+            self._note(stream, note)
+        numbers = {item.key: item.obj for item in batch.objects}
+        runs, failures, counts = [], [], {}
+        for lineage, stream in active.items():
+            limit = self.settings.limits.get(stream.name)
+            if limit is not None:
+                limit -= self.given[stream.name]
+                if limit <= 0:
+                    continue
+            folder = self.sink.new_run(stream.name)
+            found = rows.rows(lineage)
+            mine = [item.obj for item in batch.objects if stream.name in batch.readers[item.obj]]
+            if len(mine) < len(batch.objects):
+                # Another stream of the group wants objects this one has read already.
+                wanted = self.spark.createDataFrame([(number,) for number in mine], f"{OBJ} int")
+                found = found.join(F.broadcast(wanted), OBJ, "left_semi")
+            limit_rows(found, stream, limit).drop(OBJ, POS).write.parquet(folder)
+            # Two columns of what was just written; statistics skip files without any.
+            written = self.spark.read.parquet(folder)
+            first = written.where(F.col(ERROR).isNotNull()).orderBy(LAST_MODIFIED, KEY, ROW).first()
+            if first is not None:
+                key = first[KEY]
+                failures.append(
+                    _Failure(
+                        numbers[key], key, batch.modified[numbers[key]],
+                        f"could not read {key}, stream '{stream.name}' row {first[ROW]}: {first[ERROR]}",
+                    )
+                )
+            for row in written.select(F.explode(NOTES).alias("note")).distinct().collect():
+                self._note(stream.name, row.note)
+            if limit is not None:
+                counts[stream.name] = written.count()
+            runs.append((stream.name, folder))
+        if failures:
+            return [], min(failures, key=lambda failure: failure.obj)
+        for name, count in counts.items():
+            self.given[name] += count
+        return runs, None
+
+    def _note(self, stream: str, note: str) -> None:
+        kind, _, text = note.partition(":")
+        notes = self.result.renamed if kind == "rename" else self.result.dropped
+        notes.setdefault(stream, set()).add(text)
 
 
 def _unreadable(batch: Batch, err: PySparkException) -> _Failure:
@@ -322,8 +336,3 @@ def _unreadable(batch: Batch, err: PySparkException) -> _Failure:
             message = f"could not read {item.key}: {text.splitlines()[0]}"
             return _Failure(item.obj, item.key, batch.modified[item.obj], message)
     raise err
-
-
-def _note(result: SyncResult, stream: str, note: str) -> None:
-    kind, _, text = note.partition(":")
-    (result.renamed if kind == "rename" else result.dropped).setdefault(stream, set()).add(text)
