@@ -2,7 +2,8 @@
 
 A converter never raises and never guesses: a value that doesn't fit its kind
 gives null with the flag set, and the caller decides what a flag means. All of
-it is expressions, so a stream's conversion is one projection.
+it is expressions, so a stream's conversion is one projection. A flag can only
+be set where the value is null, so callers need to look at it only there.
 
 Two kinds of input exist. A *cell* is text with a one-letter tag in front, as
 the text lanes hand it over: `s` text, `i` integer, `f` float, `b` boolean. A
@@ -35,6 +36,7 @@ class Converted(NamedTuple):
 
     value: Column
     failed: Column
+    can_fail: bool = True
 
 
 def _strip(text: Column) -> Column:
@@ -75,7 +77,7 @@ def convert_text(text: Column, kind: str) -> Converted:
     """
     if kind in (K.STRING, K.EMPTY, K.DATE):
         value = text if kind != K.DATE else F.nullif(text, F.lit(""))
-        return Converted(value, F.lit(False))
+        return _no_error(value)
     given = F.when(text != "", text)
     if kind in (K.INTEGER, K.WIDE_INTEGER):
         value = F.when(given.rlike(INTEGER_TEXT), _integral(given, K.spark_type(kind)))
@@ -96,44 +98,37 @@ def convert_text(text: Column, kind: str) -> Converted:
 
 
 def _no_error(value: Column) -> Converted:
-    return Converted(value, F.lit(False))
+    return Converted(value, F.lit(False), False)
+
+
+# Cells that hold no value in any column.
+_NO_VALUE = ("fnan", "finf", "f-inf")
 
 
 def convert_cell(cell: Column, kind: str) -> Converted:
     """Convert a tagged cell."""
     tag, text = F.substring(cell, 1, 1), F.substring(cell, 2, 1 << 30)
     from_text = convert_text(text, kind)
-    is_text = tag == "s"
-    finite = ~text.isin("nan", "inf", "-inf")
-    # Only these cells carry a value that must fit; not-finite floats are null.
-    given = cell.isNotNull() & ((tag != "f") | finite)
+    given = ~cell.isin(*_NO_VALUE)
     if kind in (K.STRING, K.EMPTY):
         return _no_error(F.when(given, text))
     if kind == K.ANY:
-        return _no_error(
-            F.when(is_text, from_text.value).when(given, F.try_parse_json(text))
-        )
+        return _no_error(F.when(tag == "s", from_text.value).when(given, F.try_parse_json(text)))
+    value = F.when(tag == "s", from_text.value)
+    failed = F.when(tag == "s", from_text.failed)
     if kind in (K.INTEGER, K.WIDE_INTEGER):
         target = K.spark_type(kind)
-        other = F.when(tag == "i", text.try_cast(target)).when(
+        value = value.when(tag == "i", text.try_cast(target)).when(
             tag == "f", _whole_double(text.try_cast("double"), target)
         )
     elif kind == K.NUMBER:
-        other = F.when(tag.isin("i", "f"), _finite(text.try_cast("double")))
-        fits_other = tag.isin("i", "f")
-        return Converted(
-            F.when(is_text, from_text.value).otherwise(other),
-            F.coalesce(F.when(is_text, from_text.failed).otherwise(given & ~fits_other), F.lit(False)),
-        )
+        value = value.when(tag.isin("i", "f"), _finite(text.try_cast("double")))
+        failed = failed.when(tag == "i", F.lit(False))
     elif kind == K.BOOLEAN:
-        other = F.when(tag == "b", text == "true")
-    else:
-        other = F.lit(None).cast(K.spark_type(kind))
+        value = value.when(tag == "b", text == "true")
     return Converted(
-        F.when(is_text, from_text.value).otherwise(other),
-        F.coalesce(
-            F.when(is_text, from_text.failed).otherwise(given & other.isNull()), F.lit(False)
-        ),
+        value.cast(K.spark_type(kind)),
+        value.isNull() & F.coalesce(failed.otherwise(given), F.lit(False)),
     )
 
 

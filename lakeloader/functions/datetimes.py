@@ -18,31 +18,51 @@ ISO_PATTERN = (
 )
 
 
+# The usual form, in UTC or without a zone, needs no taking apart.
+_USUAL = (
+    r"^(?!0000)\d{4}-\d{2}-\d{2}T(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:\.\d{3}|\.\d{6})?(?:Z|\+00:00)?\z"
+)
+_MARK = "\x01"
+
+
 def iso_datetime(text: Column) -> Column:
     """Normalize an ISO date or date-time. Null for any other text.
 
     No zone means UTC, and a date alone is midnight, so the result always has
     the form `2026-09-01T12:00:00[.ffffff]+00:00`.
     """
+    clock = F.substring_index(F.substring_index(text, "Z", 1), "+", 1)
+    micros = F.rpad(F.substring(clock, 20, 7), 7, "0")
+    no_micros = (F.length(clock) == 19) | (micros == ".000000")
+    usual = F.when(
+        F.substring(text, 1, 10).try_cast("date").isNotNull(),
+        F.concat(F.substring(text, 1, 19), F.when(no_micros, "").otherwise(micros), F.lit("+00:00")),
+    )
+    # One match gives all parts; text that doesn't match comes back unchanged.
+    marked = F.regexp_replace(text, ISO_PATTERN, _MARK.join(f"${n}" for n in range(1, 6)))
+    parts = F.transform(F.array(F.split(marked, _MARK)), _from_parts)
+    any_form = F.when(text.rlike(ISO_PATTERN), F.get(parts, F.lit(0)))
+    return F.when(text.rlike(_USUAL), usual).otherwise(any_form)
 
-    def part(number: int) -> Column:
-        return F.regexp_extract(text, ISO_PATTERN, number)
 
-    day, clock, seconds, fraction, zone = (part(n) for n in range(1, 6))
-    clock = F.when(clock == "", "00:00").otherwise(clock)
-    seconds = F.when(seconds == "", "00").otherwise(seconds)
+def _from_parts(parts: Column) -> Column:
+    day, clock, seconds, fraction, zone = (F.get(parts, F.lit(n)) for n in range(5))
     micros = F.rpad(F.substring(fraction, 1, 7), 7, "0")
-    micros = F.when(F.regexp_replace(fraction, "[.0]", "") == "", "").when(
-        F.regexp_replace(micros, "[.0]", "") == "", ""
-    ).otherwise(micros)
-    digits = F.regexp_replace(zone, "[^0-9]", "")
-    hours = F.substring(digits, 1, 2)
-    minutes = F.rpad(F.substring(digits, 3, 2), 2, "0")
-    offset = F.when(
-        digits.rlike("[1-9]"), F.concat(F.substring(zone, 1, 1), hours, F.lit(":"), minutes)
-    ).otherwise("+00:00")
-    whole = F.concat(day, F.lit("T"), clock, F.lit(":"), seconds, micros, offset)
-    return F.when(text.rlike(ISO_PATTERN) & day.try_cast("date").isNotNull(), whole)
+    digits = F.translate(zone, "Zz+-:", "")
+    offset = F.concat(
+        F.substring(zone, 1, 1), F.substring(digits, 1, 2), F.lit(":"),
+        F.rpad(F.substring(digits, 3, 2), 2, "0"),
+    )
+    whole = F.concat(
+        day,
+        F.lit("T"),
+        F.when(clock == "", "00:00").otherwise(clock),
+        F.lit(":"),
+        F.when(seconds == "", "00").otherwise(seconds),
+        F.when(F.translate(micros, ".0", "") == "", "").otherwise(micros),
+        F.when(F.translate(digits, "0", "") == "", "+00:00").otherwise(offset),
+    )
+    return F.when(day.try_cast("date").isNotNull(), whole)
 
 
 def is_iso_datetime(text: Column) -> Column:
@@ -52,17 +72,8 @@ def is_iso_datetime(text: Column) -> Column:
 
 def iso_timestamp(value: Column) -> Column:
     """A timestamp as ISO text with the UTC offset; micros only when non-zero."""
-    micros = F.date_format(value, ".SSSSSS")
-    return F.concat(
-        F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss"),
-        F.when(micros == ".000000", "").otherwise(micros),
-        F.lit("+00:00"),
-    )
-
-
-def iso_nanos(value: Column) -> Column:
-    """ISO text of a bigint that counts nanoseconds since the epoch."""
-    return iso_timestamp(F.timestamp_micros(F.floor(value / F.lit(1000)).cast("bigint")))
+    text = F.replace(value.cast("string"), F.lit(" "), F.lit("T"))
+    return F.concat(F.when(F.length(text) == 19, text).otherwise(F.rpad(text, 26, "0")), F.lit("+00:00"))
 
 
 def parse_bookmark(text: Column) -> Column:

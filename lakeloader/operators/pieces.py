@@ -2,8 +2,10 @@
 
 JSON rows choose their own shape: one path can be a value, an object and a
 list in different rows. So this lane looks at values, not at a schema. It only
-splits a record and tags its values (`s` text, `i` integer, `f` float, `b`
-boolean); typing and conversion are DataFrame expressions on the tags.
+splits a record. Values that already have their column's type go into typed
+Arrow columns. All others become cells tagged with what they were (`s` text,
+`i` integer, `f` float, `b` boolean), for the converters, which are DataFrame
+expressions.
 """
 
 from __future__ import annotations
@@ -12,20 +14,18 @@ import base64
 import datetime
 import decimal
 import itertools
+import math
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from typing import Any, NamedTuple
 
+import numpy as np
 import pyarrow as pa
 
 from lakeloader.functions.jsontext import dump
 from lakeloader.functions.names import Lineage, Path, column_name, parent_column, path_name
 from lakeloader.model import MAX_DEPTH
 
-# One row per stream row, cells in the order of the stream's catalog columns.
-PIECES = (
-    "obj int, stream int, row bigint, parent string, idx int, suffix string, "
-    "pos array<int>, cells array<string>, notes array<string>, error string"
-)
 # One row per stream row, cells with their names: the form discovery reads.
 NAMED = (
     "obj int, lineage array<array<string>>, row bigint, seq int, names array<string>, "
@@ -81,42 +81,60 @@ def tag(value: Any) -> str | None:
     return "s" + str(value)
 
 
+_SCALARS = frozenset((str, int, float, bool, type(None)))
+_TOP_NAMES: tuple[dict[str, str], dict[str, str]] = ({}, {})
+
+
+def _top_name(key: str, child: bool) -> str:
+    name = column_name((str(key),), child)
+    if len(_TOP_NAMES[child]) < 65536:
+        _TOP_NAMES[child][key] = name
+    return name
+
+
 def _open_row(record: dict, level: int, child: bool):
     """A row's own columns, its lists of objects, containers and renamed keys."""
     values: dict[str, Any] = {}
     lists: list[tuple[Path, list]] = []
     containers: set[str] = set()
     renamed: list[str] = []
-    todo = [iter([((str(key),), value) for key, value in record.items()])]
-    while todo:
-        step = next(todo[-1], None)
-        if step is None:
-            todo.pop()
-            continue
-        path, value = step
-        name = column_name(path, child)
-        capped = level + len(path) >= MAX_DEPTH
-        if isinstance(value, dict):
-            containers.add(name)
-            if not capped:
-                todo.append(iter([(path + (str(key),), item) for key, item in value.items()]))
-                continue
-            value = dump(value)
-        elif isinstance(value, (list, tuple)):
-            filled = [item for item in value if item is not None]
-            if not filled:
-                continue
-            if not capped and all(isinstance(item, dict) for item in filled):
-                containers.add(name)
-                lists.append((path, value))
-                continue
-            value = dump(value)
-        values[name] = value
-        if len(path) == 1 and name != path[0]:
-            renamed.append(f"{path[0]} to {name}")
+    known = _TOP_NAMES[child]
+    for key, value in record.items():
+        if type(value) in _SCALARS:
+            name = known.get(key) or _top_name(key, child)
+            values[name] = value
+            if name != key:
+                renamed.append(f"{key} to {name}")
+        else:
+            _open_value((str(key),), value, level, child, values, lists, containers, renamed)
     return values, lists, containers, renamed
 
 
+def _open_value(path, value, level, child, values, lists, containers, renamed) -> None:
+    """Put a value that may be an object or a list where it belongs."""
+    name = column_name(path, child)
+    capped = level + len(path) >= MAX_DEPTH
+    if isinstance(value, dict):
+        containers.add(name)
+        if not capped:
+            for key, item in value.items():
+                _open_value(path + (str(key),), item, level, child, values, lists, containers, renamed)
+            return
+        value = dump(value)
+    elif isinstance(value, (list, tuple)):
+        filled = [item for item in value if item is not None]
+        if not filled:
+            return
+        if not capped and all(isinstance(item, dict) for item in filled):
+            containers.add(name)
+            lists.append((path, value))
+            return
+        value = dump(value)
+    values[name] = value
+    if len(path) == 1 and name != path[0]:
+        renamed.append(f"{path[0]} to {name}")
+
+
 def parts(record: dict, row: int) -> Iterator[Part]:
     """The record's own row, then its child rows, depth first."""
     stack = [iter([((), record, 0, {}, None, None, f"#{row}", ())])]
@@ -160,52 +178,157 @@ def _batches(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatc
 
 
 _LIST = pa.list_(pa.string())
-_PIECES_ARROW = pa.schema(
-    [("obj", pa.int32()), ("stream", pa.int32()), ("row", pa.int64()), ("parent", pa.string()),
-     ("idx", pa.int32()), ("suffix", pa.string()), ("pos", pa.list_(pa.int32())),
-     ("cells", _LIST), ("notes", _LIST), ("error", pa.string())]
-)
+# The Arrow type of a column of each kind. Kinds that are missing
+# here always go through the converters.
+_DIRECT = {
+    "integer": (int, pa.int64(), "bigint"),
+    "number": (float, pa.float64(), "double"),
+    "boolean": (bool, pa.bool_(), "boolean"),
+    "string": (str, pa.string(), "string"),
+    "date-time": (str, pa.string(), "string"),
+    "date": (str, pa.string(), "string"),
+}
+_OTHER = (None, pa.string(), "string")
+
+
+@dataclass(frozen=True)
+class Target:
+    """A stream that takes pieces: its number, and its columns with their kinds."""
+
+    number: int
+    columns: tuple[tuple[str, str], ...]
+
+    @property
+    def ddl(self) -> str:
+        fields = (f"v{n}:{_DIRECT.get(kind, _OTHER)[2]}" for n, (_, kind) in enumerate(self.columns))
+        return f"s{self.number} struct<row:bigint{''.join(',' + field for field in fields)}>"
+
+    @property
+    def arrow(self) -> pa.StructType:
+        fields = [(f"v{n}", _DIRECT.get(kind, _OTHER)[1]) for n, (_, kind) in enumerate(self.columns)]
+        return pa.struct([("row", pa.int64()), *fields])
+
+
+_HEAD = (
+    "obj int, stream int, row bigint, parent string, idx int, suffix string, pos array<int>, "
+    "odd array<string>, notes array<string>, error string"
+)
+_HEAD_ARROW = [
+    ("obj", pa.int32()), ("stream", pa.int32()), ("row", pa.int64()), ("parent", pa.string()),
+    ("idx", pa.int32()), ("suffix", pa.string()), ("pos", pa.list_(pa.int32())),
+    ("odd", _LIST), ("notes", _LIST), ("error", pa.string()),
+]
+
+
+def pieces_schema(targets: dict[Lineage, Target]) -> str:
+    """One row per stream row: ids, values by type in the stream's struct, and
+    `odd`, the cells of values that need a converter (null for most rows)."""
+    return ", ".join([_HEAD, *(target.ddl for target in targets.values())])
+
+
 _NAMED_ARROW = pa.schema(
     [("obj", pa.int32()), ("lineage", pa.list_(_LIST)), ("row", pa.int64()), ("seq", pa.int32()), ("names", _LIST),
      ("cells", _LIST), ("containers", _LIST), ("notes", _LIST), ("error", pa.string())]
 )
 
 
+class _Rows:
+    """Collects the rows of one stream as typed columns."""
+
+    def __init__(self, target: Target):
+        self.target = target
+        self.places = {
+            name: (n, _DIRECT.get(kind, _OTHER)[0]) for n, (name, kind) in enumerate(target.columns)
+        }
+        self.rows: list[list] = []
+        self.at: list[int] = []
+
+    def add(self, at: int, row: int, values: dict[str, Any]) -> tuple[list | None, list[str]]:
+        """Add a row; give its odd cells, and the names of values no column takes."""
+        cells: list[Any] = [None] * (len(self.places) + 1)
+        cells[-1] = row
+        odd: list[str | None] | None = None
+        dropped: list[str] = []
+        places = self.places
+        for name, value in values.items():
+            if value is None:
+                continue
+            place = places.get(name)
+            if place is None:
+                dropped.append(name)
+                continue
+            number, wanted = place
+            kind = type(value)
+            if kind is wanted and (kind is not int or -(1 << 63) <= value < 1 << 63):
+                if kind is not float or math.isfinite(value):
+                    cells[number] = value
+            elif kind is int and wanted is float and abs(value) <= 1 << 53:
+                cells[number] = float(value)
+            else:
+                if odd is None:
+                    odd = [None] * len(places)
+                odd[number] = tag(value)
+        self.rows.append(cells)
+        self.at.append(at)
+        return odd, dropped
+
+    def column(self, length: int) -> pa.Array:
+        """The rows as a struct column, null in the rows of other streams."""
+        arrow = self.target.arrow
+        if not self.rows:
+            return pa.nulls(length, arrow)
+        *values, numbers = zip(*self.rows)
+        children = [pa.array(numbers, pa.int64())]
+        children += [pa.array(cells, field.type) for cells, field in zip(values, list(arrow)[1:])]
+        dense = pa.StructArray.from_arrays(children, fields=list(arrow))
+        if len(self.rows) < length:
+            places = np.full(length, -1)
+            places[self.at] = np.arange(len(self.rows))
+            dense = dense.take(pa.array(places, mask=places < 0))
+        self.rows, self.at = [], []
+        return dense
+
+
 def piece_batches(
-    records: Iterable[Record], targets: dict[Lineage, tuple[int, dict[str, int]]]
+    records: Iterable[Record], targets: dict[Lineage, Target]
 ) -> Iterator[pa.RecordBatch]:
-    """Pieces of the wanted streams. `targets` gives each lineage its number and columns."""
-
-    def rows():
-        reported: set[tuple[int, str]] = set()
-        for record in records:
-            if record.error is not None:
-                yield (record.obj, -1, record.row, None, None, None, None, None, None, record.error)
-                continue
+    """Pieces of the wanted streams."""
+    streams = {lineage: _Rows(target) for lineage, target in targets.items()}
+    schema = pa.schema(_HEAD_ARROW + [(f"s{t.number}", t.arrow) for t in targets.values()])
+    reported: set[tuple[int, str]] = set()
+    heads: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        columns = [pa.array(cells, kind) for cells, (_, kind) in zip(zip(*heads), _HEAD_ARROW)]
+        columns += [rows.column(len(heads)) for rows in streams.values()]
+        heads.clear()
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    for record in records:
+        if record.error is not None:
+            heads.append((record.obj, -1, record.row, None, None, None, None, None, None, record.error))
+        else:
             for part in parts(record.value, record.row):
-                target = targets.get(part.lineage)
-                if target is None:
+                rows = streams.get(part.lineage)
+                if rows is None:
                     continue
-                stream, places = target
-                cells: list[str | None] = [None] * len(places)
-                notes = [f"rename:{note}" for note in part.renamed]
-                for name, value in part.values.items():
-                    if value is None:
-                        continue
-                    place = places.get(name)
-                    if place is None:
-                        notes.append(f"drop:{name}")
-                    else:
-                        cells[place] = tag(value)
-                # Each task reports a note once, not on every row.
-                notes = [note for note in notes if (stream, note) not in reported]
-                reported.update((stream, note) for note in notes)
-                yield (
-                    record.obj, stream, record.row, part.parent, part.index, part.suffix,
-                    part.position, cells, notes or None, None,
+                number = rows.target.number
+                odd, dropped = rows.add(len(heads), record.row, part.values)
+                notes = None
+                if dropped or part.renamed:
+                    # Each task tells a note once, not on every row.
+                    told = [f"drop:{name}" for name in dropped]
+                    told += [f"rename:{note}" for note in part.renamed]
+                    notes = [note for note in told if (number, note) not in reported] or None
+                    reported.update((number, note) for note in told)
+                heads.append(
+                    (record.obj, number, record.row, part.parent, part.index, part.suffix,
+                     part.position, odd, notes, None)
                 )
-
-    return _batches(rows(), _PIECES_ARROW)
+        if len(heads) >= _BATCH:
+            yield batch()
+    if heads:
+        yield batch()
 
 
 def named_batches(records: Iterable[Record]) -> Iterator[pa.RecordBatch]:

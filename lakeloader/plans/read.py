@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloader.functions import kinds as K
 from lakeloader.functions.convert import Converted, convert_cell, convert_native, convert_text, error_text
 from lakeloader.functions.datetimes import iso_timestamp
 from lakeloader.functions.names import Lineage, top_level_name
@@ -28,7 +29,7 @@ from lakeloader.model import (
     LoadError, ObjectChanged,
 )
 from lakeloader.operators import columnar
-from lakeloader.operators.pieces import NAMED, PIECES, named_batches, piece_batches
+from lakeloader.operators.pieces import NAMED, Target, named_batches, piece_batches, pieces_schema
 from lakeloader.plans.catalog import Group, Stream
 from lakeloader.session import fresh_folder
 from lakeloader.sources.delimited import Delimited, DelimitedFile
@@ -128,7 +129,7 @@ class Batch:
         """`__obj, __file, __key, __time`: one small row per object of the batch."""
         rows = [(i.obj, i.file, i.key, self.modified[i.obj]) for i in self.objects]
         schema = f"{OBJ} int, __file string, __key string, __time timestamp"
-        return self.spark.createDataFrame(rows, schema)
+        return self.spark.createDataFrame(rows, schema).withColumn("__time", iso_timestamp(F.col("__time")))
 
 
 def _look(spark: SparkSession, paths: list[str]) -> dict[str, tuple]:
@@ -195,14 +196,14 @@ def named_pieces(batch: Batch, sample_rows: int) -> DataFrame | None:
     return _union(frames)
 
 
-def pieces(batch: Batch, targets: dict[Lineage, tuple[int, dict[str, int]]]) -> DataFrame | None:
+def pieces(batch: Batch, targets: dict[Lineage, Target]) -> DataFrame | None:
     """Pieces of the wanted streams."""
     frames = []
     for scan, decode in json_records(batch):
         def task(batches, decode=decode):
             return piece_batches(decode(batches), targets)
 
-        frames.append(scan.mapInArrow(task, PIECES))
+        frames.append(scan.mapInArrow(task, pieces_schema(targets)))
     return _union(frames)
 
 
@@ -215,19 +216,27 @@ def _converted(
     rows: DataFrame, stream: Stream, values: dict[str, tuple[Converted, Column]],
     error: Column | None = None, notes: Column | None = None,
 ) -> DataFrame:
-    """Project raw rows onto a stream's columns. `values` gives (converted, shown) per column."""
-    outputs: list[Column] = []
+    """Project raw rows onto a stream's columns. `values` gives (converted, shown) per column.
+
+    The values come first, under their own names, so that each is computed
+    once. Only where one is null its error flag is looked at.
+    """
+    made, outputs = [], []
     failures: list[Column] = [] if error is None else [error]
-    for column in stream.taken:
-        target = T.StructField(column.name, stream.schema()[column.name].dataType)
+    for place, column in enumerate(stream.taken):
+        target = K.spark_type(column.kind)
         found = values.get(column.name)
         if found is None:
-            outputs.append(F.lit(None).cast(target.dataType).alias(column.name))
+            outputs.append(F.lit(None).cast(target).alias(column.name))
             continue
         converted, shown = found
-        outputs.append(converted.value.cast(target.dataType).alias(column.name))
-        failures.append(F.when(converted.failed, error_text(column.name, column.kind, shown)))
-    return rows.select(
+        name = f"__value{place}"
+        made.append(converted.value.cast(target).alias(name))
+        outputs.append(F.col(name).alias(column.name))
+        if converted.can_fail:
+            failed = F.col(name).isNull() & converted.failed
+            failures.append(F.when(failed, error_text(column.name, column.kind, shown)))
+    return rows.select("*", *made).select(
         F.col("obj").alias(OBJ),
         F.col("row").alias(ROW),
         F.col("pos").alias(POS),
@@ -240,13 +249,28 @@ def _converted(
     )
 
 
-def _cell_rows(found: DataFrame, number: int, stream: Stream) -> DataFrame:
+def _cell_rows(found: DataFrame, target: Target, stream: Stream) -> DataFrame:
     """A stream's rows from pieces, and the records that could not be read."""
-    rows = found.where(F.col("stream").isin(number, -1))
+    rows = found.where(F.col("stream").isin(target.number, -1))
     values = {}
     for place, column in enumerate(stream.taken):
-        cell = F.get("cells", F.lit(place))
-        values[column.name] = (convert_cell(cell, column.kind), F.substring(cell, 2, 200))
+        typed = F.col(f"s{target.number}").getField(f"v{place}")
+        cell = F.get("odd", F.lit(place))
+        other = convert_cell(cell, column.kind)
+        if column.kind == K.DATE_TIME:
+            direct = convert_text(typed, column.kind)
+            other = Converted(
+                F.when(typed.isNotNull(), direct.value).otherwise(other.value),
+                F.coalesce(F.when(typed.isNotNull(), direct.failed), other.failed),
+            )
+            cell = F.coalesce(F.concat(F.lit("s"), typed), cell)
+        elif column.kind in (K.WIDE_INTEGER, K.ANY, K.OBJECT, K.ARRAY):
+            pass
+        else:
+            value = F.when(F.col("odd").isNull(), typed).otherwise(F.coalesce(typed, other.value))
+            # An empty text is no error in any column.
+            other = Converted(value, F.col("odd").isNotNull() & other.failed)
+        values[column.name] = (other, F.substring(cell, 2, 200))
     return _converted(rows, stream, values, F.col("error"), F.col("notes"))
 
 
@@ -326,17 +350,16 @@ class GroupRows:
         batch.read_heads()
         self.batch = batch
         self.streams = streams
-        self.numbers = {lineage: number for number, lineage in enumerate(streams)}
-        targets = {
-            lineage: (self.numbers[lineage], {c.name: n for n, c in enumerate(stream.taken)})
-            for lineage, stream in streams.items()
+        self._targets = targets = {
+            lineage: Target(number, tuple((c.name, c.kind) for c in stream.taken))
+            for number, (lineage, stream) in enumerate(streams.items())
         }
         self._pieces = pieces(batch, targets)
         if self._pieces is not None and stage and len(streams) > 1:
             # Several streams read the same records: decode each object once.
             folder = fresh_folder(batch.spark, "pieces")
             self._pieces.write.partitionBy("stream").parquet(folder)
-            self._pieces = batch.spark.read.schema(PIECES).parquet(folder)
+            self._pieces = batch.spark.read.schema(pieces_schema(targets)).parquet(folder)
         native = [
             item for item in batch.of(PARQUET)
             if not batch.heads[item.obj]["error"] and batch.heads[item.obj]["native"]
@@ -350,7 +373,7 @@ class GroupRows:
         stream = self.streams[lineage]
         frames = _parquet_rows(self.batch, self._parquet, lineage, stream)
         if self._pieces is not None:
-            frames.append(_cell_rows(self._pieces, self.numbers[lineage], stream))
+            frames.append(_cell_rows(self._pieces, self._targets[lineage], stream))
         if not lineage:
             delimited = _delimited_rows(self.batch, stream)
             if delimited is not None:
@@ -384,7 +407,7 @@ class GroupRows:
         placed = rows.join(F.broadcast(self.batch.places().drop("__file")), OBJ)
         made = {
             KEY: F.col("__key"),
-            LAST_MODIFIED: iso_timestamp(F.col("__time")),
+            LAST_MODIFIED: F.col("__time"),
             ROW_NUMBER: F.col(ROW),
             PARENT_ROW: F.concat("__key", "__parent"),
             INDEX: F.col("__idx").cast("bigint"),

@@ -18,6 +18,9 @@ _SETTINGS = {
     # Parquet TIME columns, and nanosecond timestamps (read as a bigint).
     "spark.sql.timeType.enabled": "true",
     "spark.sql.legacy.parquet.nanosAsLong": "true",
+    # Wide catalogs give large generated methods, which the JVM's compiler skips
+    # past this size; Spark then takes its path with smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Results go back to tasks and to the driver as Arrow batches.
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
