@@ -87,15 +87,19 @@ def targets(
 
 
 def next_bookmarks(
-    manifest: DataFrame, members: DataFrame, finished: DataFrame, bookmarks: DataFrame, start: Column
-) -> DataFrame:
+    manifest: DataFrame, members: DataFrame, finished: DataFrame, bookmarks: DataFrame,
+    start: Column, times: tuple[Column, Column] | None = None,
+) -> DataFrame:
     """The bookmarks after `finished(stream, key, etag)` were read.
 
     Objects can share a time, so a bookmark moves to a time only when the last
     object by key at that time is done. It never passes the window start and
     never moves back. A member that is `complete`, with nothing left to read,
-    gets the window start.
+    gets the window start. `times` may give the first and last time among the
+    finished objects, so that a step of a long run looks at those times only.
     """
+    if times is not None:
+        manifest = manifest.where(F.col("last_modified").between(*times))
     every = candidates(manifest, members).select("stream", "key", "last_modified")
     done = finished.select("stream", "key", F.lit(True).alias("done"))
     reached = (
@@ -124,16 +128,32 @@ def next_bookmarks(
     )
 
 
+def refresh_window(
+    window: DataFrame, manifest: DataFrame, members: DataFrame, whole_listing: bool = True
+) -> DataFrame:
+    """Give the window's objects the times they are listed with, once per run.
+
+    One that is no longer listed loses its time. A listing of only some objects
+    says nothing about the others, so those keep theirs.
+    """
+    listed = candidates(manifest, members).select("stream", "key", F.col("last_modified").alias("listed"))
+    time = F.col("listed") if whole_listing else F.coalesce("listed", "last_modified")
+    return (
+        window.join(F.broadcast(members.select("stream")), "stream", "left_semi")
+        .join(listed, ["stream", "key"], "left")
+        .select("stream", "key", "etag", time.alias("last_modified"))
+        .unionByName(others(window, members))
+    )
+
+
 def next_window(
-    manifest: DataFrame, members: DataFrame, finished: DataFrame, bookmarks: DataFrame,
-    window: DataFrame, whole_listing: bool = True,
-) -> DataFrame:
+    members: DataFrame, finished: DataFrame, bookmarks: DataFrame, window: DataFrame
+) -> DataFrame:
     """The window after `finished(stream, key, etag, last_modified)`.
 
-    `bookmarks` are the ones after the step. Finished objects are added or
-    replaced. Then objects that are no longer listed, or not newer than the
-    bookmark, leave the window. A listing of only some objects says nothing
-    about the others, so those go by the time they were kept with.
+    `bookmarks` are the ones after the step, and `window` is a refreshed one.
+    Finished objects are added or replaced. Then objects without a time, or not
+    newer than the bookmark, leave the window.
     """
     kept = (
         window.join(F.broadcast(members.select("stream")), "stream", "left_semi")
@@ -143,16 +163,9 @@ def next_window(
     marks = bookmarks.select(
         "stream", F.when(F.col("replication_key") == LAST_MODIFIED, F.col("bookmark")).alias("bookmark")
     )
-    listed = candidates(manifest, members).select("stream", "key", F.col("last_modified").alias("listed"))
-    time = F.col("listed") if whole_listing else F.coalesce("listed", "last_modified")
     return (
         kept.join(F.broadcast(marks), "stream", "left")
-        .join(listed, ["stream", "key"], "left")
-        .withColumn("last_modified", time)
-        .where(
-            F.col("bookmark").isNull()
-            | (F.col("last_modified").isNotNull() & (F.col("last_modified") > F.col("bookmark")))
-        )
+        .where(F.col("bookmark").isNull() | (F.col("last_modified") > F.col("bookmark")))
         .select("stream", "key", "etag", "last_modified")
     )
 

@@ -31,7 +31,8 @@ NAMED = (
     "obj int, lineage array<array<string>>, row bigint, seq int, names array<string>, "
     "cells array<string>, containers array<string>, notes array<string>, error string"
 )
-_BATCH = 4096
+# An Arrow batch ends after so many rows, or so many bytes of JSON.
+_BATCH, _BATCH_BYTES = 4096, 16 << 20
 
 
 class Record(NamedTuple):
@@ -41,6 +42,7 @@ class Record(NamedTuple):
     row: int
     value: dict | None
     error: str | None = None
+    size: int = 0
 
 
 class Part(NamedTuple):
@@ -170,7 +172,8 @@ def _items(lineage, item, level, suffix, position, lists):
 
 def _batches(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     source = iter(rows)
-    while chunk := list(itertools.islice(source, _BATCH)):
+    # Discovery reads a sample, whose rows may still be long.
+    while chunk := list(itertools.islice(source, 256)):
         columns = zip(*chunk)
         yield pa.RecordBatch.from_arrays(
             [pa.array(column, field.type) for column, field in zip(columns, schema)], schema=schema
@@ -297,6 +300,7 @@ def piece_batches(
     schema = pa.schema(_HEAD_ARROW + [(f"s{t.number}", t.arrow) for t in targets.values()])
     reported: set[tuple[int, str]] = set()
     heads: list[tuple] = []
+    size = 0
 
     def batch() -> pa.RecordBatch:
         columns = [pa.array(cells, kind) for cells, (_, kind) in zip(zip(*heads), _HEAD_ARROW)]
@@ -325,8 +329,11 @@ def piece_batches(
                     (record.obj, number, record.row, part.parent, part.index, part.suffix,
                      part.position, odd, notes, None)
                 )
-        if len(heads) >= _BATCH:
-            yield batch()
+        size += record.size
+        if len(heads) >= _BATCH or size >= _BATCH_BYTES:
+            size = 0
+            if heads:
+                yield batch()
     if heads:
         yield batch()
 

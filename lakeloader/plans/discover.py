@@ -19,7 +19,7 @@ from lakeloader.operators.pieces import NAMED, Record, named_batches
 from lakeloader.plans.catalog import Catalog, Stream, plan_child_names
 from lakeloader.plans.catalog import Column as CatalogColumn
 from lakeloader.plans.read import Batch, _union, json_records
-from lakeloader.session import prepare, reliable_checkpoint
+from lakeloader.session import prepare, written
 from lakeloader.sources.heads import json_lines
 from lakeloader.sources.layout import Layout, build_layout, newest
 
@@ -165,7 +165,7 @@ def _sample(batch: Batch) -> tuple[DataFrame, dict[int, str], dict[int, set[str]
     errors = {obj: head["error"] for obj, head in batch.heads.items() if head["error"]}
     if named:
         # A sample: at most 1,000 rows of each of the newest objects.
-        pieces = reliable_checkpoint(_union(named))
+        pieces = written(_union(named))
         frames.append(observe(pieces))
         for row in (
             pieces.where(F.col("error").isNotNull())
@@ -176,7 +176,7 @@ def _sample(batch: Batch) -> tuple[DataFrame, dict[int, str], dict[int, set[str]
         for row in notes.distinct().collect():
             renamed.setdefault(row.obj, set()).add(row.note)
     observed = _union(frames) if frames else spark.createDataFrame([], OBSERVED)
-    return reliable_checkpoint(observed), errors, renamed
+    return written(observed), errors, renamed
 
 
 def _sample_lines(spark: SparkSession, lines: list) -> DataFrame:
@@ -248,7 +248,7 @@ def sample_objects(manifest: DataFrame):
         if open_streams is not None:
             names = spark.createDataFrame([(name,) for name in open_streams], "stream string")
             wanted = wanted.join(F.broadcast(names), "stream", "left_semi")
-        wanted = reliable_checkpoint(wanted)
+        wanted = written(wanted)
         places = {row.key: (row.stream, row.newest_rank) for row in wanted.collect()}
         if not places:
             break

@@ -20,7 +20,7 @@ from lakeloader.operators import incremental as inc
 from lakeloader.plans.catalog import Catalog, Group, Stream
 from lakeloader.plans.read import ERROR, NOTES, OBJ, POS, ROW, Batch, GroupRows, read_order, schema_notes
 from lakeloader.plans.state import Sink
-from lakeloader.session import prepare, reliable_checkpoint
+from lakeloader.session import prepare, written
 from lakeloader.sources.layout import build_layout
 from lakeloader.sources.layout import read_order as ranked
 
@@ -124,7 +124,7 @@ def sync(
     sink = Sink(spark, folder)
     layout = build_layout(listing, settings.prefix, settings.exclude)
     # Every step below reads the listing; list once.
-    manifest = reliable_checkpoint(layout.manifest.drop("raw_name"))
+    manifest = written(layout.manifest.drop("raw_name"))
     present = [row.stream for row in manifest.select("stream").distinct().collect()]
     groups, skipped = catalog.link(present)
     result = SyncResult(sink, catalog, skipped)
@@ -160,6 +160,8 @@ class _Run:
         self.batches: list[tuple[str, int]] = []
         self.complete: set[str] = set()
         self.waiting = 0
+        self.times: list[tuple[datetime.datetime, datetime.datetime]] = []
+        self.window: DataFrame | None = None
 
     def run(self) -> None:
         if not self.groups:
@@ -169,21 +171,26 @@ class _Run:
         wanted = inc.targets(self.readable, members, bookmarks, window, self.start)
         settings = self.settings
         # The plan of the whole run, a row per object to read.
-        self.plan = reliable_checkpoint(
+        self.plan = written(
             ranked(inc.objects_with_readers(wanted)).withColumn(
                 "batch",
                 F.floor((F.col("rank") - 1) / settings.checkpoint_objects)
                 + F.floor(F.col("bytes_before") / settings.checkpoint_bytes),
             )
         )
-        sizes: dict[str, list[tuple[int, int]]] = {}
-        for row in self.plan.groupBy("stream", "batch").count().collect():
-            sizes.setdefault(row.stream, []).append((row.batch, row["count"]))
+        self.window = written(
+            inc.refresh_window(window, self.manifest, members, settings.whole_listing), "window"
+        )
+        sizes: dict[str, list[tuple]] = {}
+        times = [F.min("last_modified"), F.max("last_modified")]
+        for stream, *batch in self.plan.groupBy("stream", "batch").agg(F.count("*"), *times).collect():
+            sizes.setdefault(stream, []).append(tuple(batch))
         for group in self.groups:
             if self._limited(group) == {stream.name for stream in group.active().values()}:
                 self._sample(group)
                 continue
-            for number, count in sorted(sizes.get(group.root, ())):
+            for number, count, first, last in sorted(sizes.get(group.root, ())):
+                self.times.append((first, last))
                 part = self.plan.where((F.col("stream") == group.root) & (F.col("batch") == number))
                 runs, failure = self._load(group, part)
                 self.runs += runs
@@ -215,6 +222,9 @@ class _Run:
             if stream.name not in self.settings.limits
         ]
         bookmarks, window = self.sink.load_state()
+        if self.window is not None:
+            # The first commit of a run keeps the times of its listing.
+            window, self.window = self.window, None
         if rows:
             tracked = self.spark.createDataFrame(rows, inc.MEMBERS)
             waiting = self.spark.createDataFrame(self.batches, "stream string, batch bigint")
@@ -223,18 +233,19 @@ class _Run:
             if more is not None:
                 done = done.unionByName(more)
             finished = inc.finished_by(done).join(F.broadcast(tracked.select("stream")), "stream", "left_semi")
-            marks = reliable_checkpoint(
-                inc.next_bookmarks(self.readable, tracked, finished, bookmarks, self.start)
-            )
-            entries = inc.next_window(
-                self.manifest, tracked, finished, marks, window, self.settings.whole_listing
+            ends = [F.lit(pick(pair)) for pick, pair in ((min, [a for a, _ in self.times]), (max, [b for _, b in self.times])) if pair]
+            marks = written(
+                inc.next_bookmarks(
+                    self.readable, tracked, finished, bookmarks, self.start, tuple(ends) or None
+                )
             )
+            entries = inc.next_window(tracked, finished, marks, window)
             bookmarks = inc.others(bookmarks, tracked).unionByName(marks)
             window = inc.others(window, tracked).unionByName(entries)
         if rows or self.runs:
             self.sink.commit(bookmarks, window, self.runs)
             self.result.commits += 1
-        self.runs, self.batches, self.complete, self.waiting = [], [], set(), 0
+        self.runs, self.batches, self.complete, self.waiting, self.times = [], [], set(), 0, []
 
     def _sample(self, group: Group) -> None:
         """A sample read: at most 20 objects, and no more than the limits need.

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTINGS = {
     # `A` and `a` are two columns, `Accounts` and `accounts` two streams.
@@ -65,9 +65,12 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return posixpath.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex[:12]}")
 
 
-def reliable_checkpoint(df, eager: bool = True):
-    """Cut lineage with a checkpoint in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager)
+def written(frame: DataFrame, label: str = "step") -> DataFrame:
+    """Write a frame to the shared folder and read it back, which cuts its lineage.
+
+    Unlike a checkpoint it is computed once, and later steps read only the
+    columns they need. It survives the loss of executors.
+    """
+    folder = fresh_folder(frame.sparkSession, label)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloader.functions.names import top_level_name
-from lakeloader.session import reliable_checkpoint
+from lakeloader.session import written
 from lakeloader.sources.textscan import ScanObject, may_split, split_chunks, split_runs, stitch, text_scan
 
 _BOM = b"\xef\xbb\xbf"
@@ -231,7 +231,7 @@ class Delimited:
         for scan in scans[1:]:
             edges = edges.union(scan)
         # The borders' bytes stay in the cluster; the driver sees the numbers.
-        edges = reliable_checkpoint(edges.mapInArrow(self._edges, _EDGES))
+        edges = written(edges.mapInArrow(self._edges, _EDGES))
         rows = sorted(edges.drop("edges").collect(), key=lambda row: (row.file, row.block))
         chains: list[tuple[str, int, int, int]] = []
         for name, splits in itertools.groupby(rows, key=lambda row: row.file):
@@ -353,9 +353,8 @@ class Delimited:
 
     def _batches(self, name: str, file: DelimitedFile, rows: Iterable[tuple[int, list[str]]]):
         """Rows of any width as columns."""
-        source = iter(rows)
         places = self.places[name]
-        while chunk := list(itertools.islice(source, 8192)):
+        for chunk in _chunks(rows):
             columns = [
                 [
                     cells[past] if 0 <= past < len(cells)
@@ -387,6 +386,22 @@ class Delimited:
         )
 
 
+# An Arrow batch ends after so many rows, or so many characters.
+_BATCH, _BATCH_CHARS = 8192, 16 << 20
+
+
+def _chunks(rows: Iterable[tuple[int, list[str]]]) -> Iterator[list[tuple[int, list[str]]]]:
+    chunk, size = [], 0
+    for row in rows:
+        chunk.append(row)
+        size += sum(map(len, row[1]))
+        if len(chunk) >= _BATCH or size >= _BATCH_CHARS:
+            yield chunk
+            chunk, size = [], 0
+    if chunk:
+        yield chunk
+
+
 def _without_bom(chunks: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Drop a byte order mark from the first line."""
     first = next(chunks, None)

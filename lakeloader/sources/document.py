@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloader.operators.pieces import Record
-from lakeloader.session import reliable_checkpoint
+from lakeloader.session import written
 from lakeloader.sources.jsonl import BOM, decode_object
 from lakeloader.sources.textscan import ScanObject, may_split, split_runs, stitch, text_scan
 
@@ -486,7 +486,7 @@ class Documents:
 
     def _find_fields(self, pieces: DataFrame) -> None:
         # The borders' bytes stay in the cluster; the driver sees the numbers.
-        outline = reliable_checkpoint(pieces.mapInArrow(self._outline, _OUTLINE))
+        outline = written(pieces.mapInArrow(self._outline, _OUTLINE))
         rows = sorted(outline.drop("edges").collect(), key=lambda row: (row.file, row.block))
         chains: list[tuple[str, int, int, int]] = []
         for file, splits in itertools.groupby(rows, key=lambda row: row.file):
@@ -546,6 +546,6 @@ class Documents:
 
 def _decode(obj: int, row: int, text: bytes) -> Record:
     try:
-        return Record(obj, row, decode_object(text, strict=True))
+        return Record(obj, row, decode_object(text, strict=True), None, len(text))
     except (ValueError, RecursionError) as err:
         return Record(obj, row, None, f"{type(err).__name__}: {err}")

@@ -57,7 +57,7 @@ class JsonLines:
                 if row == 1 and line.startswith(BOM):
                     line = line[len(BOM) :]
                 try:
-                    yield Record(obj, row, decode_object(line))
+                    yield Record(obj, row, decode_object(line), None, len(line))
                 except (ValueError, RecursionError) as err:
                     yield Record(obj, row, None, f"{type(err).__name__}: {err}")
 

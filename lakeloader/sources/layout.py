@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloader.model import KIND_BY_EXTENSION, MAX_REPORTED_KEYS
-from lakeloader.session import reliable_checkpoint
+from lakeloader.session import written
 from lakeloader.sources.listing import normalize_prefix
 
 # What counts as a trailing token of a file stem.
@@ -172,7 +172,7 @@ def read_order(manifest: DataFrame) -> DataFrame:
     """
     order = ["stream", "last_modified", "key"]
     # The range bounds come from a sample, so both passes must see the same split.
-    ranged = reliable_checkpoint(
+    ranged = written(
         manifest.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
     )
     counts = ranged.groupBy("stream", "_part").agg(

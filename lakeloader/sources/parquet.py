@@ -112,8 +112,9 @@ class WholeParquet:
                     if compressed:
                         source = pa.BufferReader(pa.CompressedInputStream(source, "gzip").read())
                     for rows in pq.ParquetFile(source).iter_batches(_BATCH_ROWS):
+                        share = rows.nbytes // max(rows.num_rows, 1)
                         for value in rows.to_pylist():
                             row += 1
-                            yield Record(obj, row, value)
+                            yield Record(obj, row, value, None, share)
                 except (OSError, ValueError, pa.ArrowException) as err:
                     yield Record(obj, row + 1, None, f"{type(err).__name__}: {err}")

@@ -129,7 +129,8 @@ def window_prune(spark: SparkSession, folder: str) -> DataFrame:
     manifest, members = _manifest(spark, folder), _members(spark, complete=True)
     found = inc.targets(manifest, members, marks, window, _start())
     moved = inc.next_bookmarks(manifest, members, found, marks, _start())
-    kept = inc.next_window(manifest, members, found, moved, window)
+    fresh = inc.refresh_window(window, manifest, members)
+    kept = inc.next_window(members, found, moved, fresh)
     return kept.select("stream", "key", "etag")
 
 
@@ -137,7 +138,8 @@ def window_after_failure(spark: SparkSession, folder: str) -> DataFrame:
     marks, window = _state(spark, folder)
     manifest, members, done = _manifest(spark, folder), _members(spark), _finished(spark, folder)
     moved = inc.next_bookmarks(manifest, members, done, marks, _start())
-    return inc.next_window(manifest, members, done, moved, window).select("stream", "key", "etag")
+    fresh = inc.refresh_window(window, manifest, members)
+    return inc.next_window(members, done, moved, fresh).select("stream", "key", "etag")
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
