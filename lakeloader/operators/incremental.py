@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloader.model import LAST_MODIFIED, LOOKBACK_MINUTES
+from lakeloader.session import local_frame
 
 BOOKMARKS = "stream string, replication_key string, bookmark timestamp, has_window boolean"
 WINDOW = "stream string, key string, etag string, last_modified timestamp"
@@ -36,7 +37,7 @@ def window_start(listed_at: datetime.datetime, lookback_minutes: int | None = No
 
 def empty_state(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     """A state in which nothing was read."""
-    return spark.createDataFrame([], BOOKMARKS), spark.createDataFrame([], WINDOW)
+    return local_frame(spark, [], BOOKMARKS), local_frame(spark, [], WINDOW)
 
 
 def effective_bookmarks(bookmarks: DataFrame, start: Column) -> DataFrame:

@@ -23,6 +23,7 @@ from lakeloader.model import (
     ROW_KEY,
     ROW_NUMBER,
 )
+from lakeloader.session import local_frame
 
 _METADATA_KINDS = {
     KEY: K.STRING,
@@ -162,7 +163,7 @@ class Catalog:
             tail = (stream.selected, stream.full_table)
             for ordinal, column in enumerate(stream.columns or (Column(None, None),)):
                 rows.append((*head, column.name, ordinal, column.kind, column.selected, *tail))
-        return spark.createDataFrame(rows, CATALOG_SCHEMA)
+        return local_frame(spark, rows, CATALOG_SCHEMA)
 
     @staticmethod
     def from_frame(frame: DataFrame) -> Catalog:

@@ -19,7 +19,7 @@ from lakeloader.operators.pieces import NAMED, Record, named_batches
 from lakeloader.plans.catalog import Catalog, Stream, plan_child_names
 from lakeloader.plans.catalog import Column as CatalogColumn
 from lakeloader.plans.read import Batch, _union, json_records
-from lakeloader.session import prepare, written
+from lakeloader.session import local_frame, prepare, written
 from lakeloader.sources.heads import json_lines
 from lakeloader.sources.layout import Layout, build_layout, newest
 
@@ -149,7 +149,7 @@ def _sample(batch: Batch) -> tuple[DataFrame, dict[int, str], dict[int, set[str]
         rows += _schema_rows(item.obj, found)
         for table in found.values():
             renamed.setdefault(item.obj, set()).update(table.renamed)
-    frames = [spark.createDataFrame(rows, OBSERVED)] if rows else []
+    frames = [local_frame(spark, rows, OBSERVED)] if rows else []
     lines = batch.of(JSONL)
     documents = Batch(
         spark, [item for item in batch.objects if item.kind not in (JSONL, PARQUET)],
@@ -175,13 +175,13 @@ def _sample(batch: Batch) -> tuple[DataFrame, dict[int, str], dict[int, set[str]
         notes = pieces.where(F.size("notes") > 0).select("obj", F.explode("notes").alias("note"))
         for row in notes.distinct().collect():
             renamed.setdefault(row.obj, set()).add(row.note)
-    observed = _union(frames) if frames else spark.createDataFrame([], OBSERVED)
+    observed = _union(frames) if frames else local_frame(spark, [], OBSERVED)
     return written(observed), errors, renamed
 
 
 def _sample_lines(spark: SparkSession, lines: list) -> DataFrame:
     """The first rows of JSON lines objects; only their heads are read."""
-    frame = spark.createDataFrame(
+    frame = local_frame(spark, 
         [(item.obj, item.path, item.compressed) for item in lines],
         "obj int, path string, compressed boolean",
     ).repartition(min(len(lines), 4 * spark.sparkContext.defaultParallelism))
@@ -246,7 +246,7 @@ def sample_objects(manifest: DataFrame):
     while open_streams is None or open_streams:
         wanted = newest(manifest, look).where(F.col("newest_rank") > done)
         if open_streams is not None:
-            names = spark.createDataFrame([(name,) for name in open_streams], "stream string")
+            names = local_frame(spark, [(name,) for name in open_streams], "stream string")
             wanted = wanted.join(F.broadcast(names), "stream", "left_semi")
         wanted = written(wanted)
         places = {row.key: (row.stream, row.newest_rank) for row in wanted.collect()}
@@ -269,7 +269,7 @@ def sample_objects(manifest: DataFrame):
         seen = {stream for stream, _ in places.values()}
         open_streams = {stream for stream in seen if len(good[stream]) < SAMPLE_OBJECTS}
         done, look = look, look * 4
-    ranks = spark.createDataFrame(
+    ranks = local_frame(spark, 
         [(obj, stream, rank) for stream, taken in good.items() for obj, rank in taken],
         "obj int, stream string, newest_rank int",
     )

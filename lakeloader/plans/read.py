@@ -31,7 +31,7 @@ from lakeloader.model import (
 from lakeloader.operators import columnar
 from lakeloader.operators.pieces import NAMED, Target, named_batches, piece_batches, pieces_schema
 from lakeloader.plans.catalog import Group, Stream
-from lakeloader.session import fresh_folder
+from lakeloader.session import fresh_folder, local_frame
 from lakeloader.sources.delimited import Delimited, DelimitedFile
 from lakeloader.sources.document import Documents
 from lakeloader.sources.heads import heads
@@ -107,7 +107,7 @@ class Batch:
         todo = [item for item in self.objects if item.kind != JSONL and item.obj not in self.heads]
         if not todo:
             return
-        frame = self.spark.createDataFrame(
+        frame = local_frame(self.spark, 
             [(item.obj, item.path, False, item.kind, item.extension, item.compressed) for item in todo],
             "obj int, path string, encoded boolean, kind string, extension string, compressed boolean",
         ).repartition(min(len(todo), 4 * self.spark.sparkContext.defaultParallelism))
@@ -129,7 +129,7 @@ class Batch:
         """`__obj, __file, __key, __time`: one small row per object of the batch."""
         rows = [(i.obj, i.file, i.key, self.modified[i.obj]) for i in self.objects]
         schema = f"{OBJ} int, __file string, __key string, __time timestamp"
-        return self.spark.createDataFrame(rows, schema).withColumn("__time", iso_timestamp(F.col("__time")))
+        return local_frame(self.spark, rows, schema).withColumn("__time", iso_timestamp(F.col("__time")))
 
 
 def _look(spark: SparkSession, paths: list[str]) -> dict[str, tuple]:
@@ -391,7 +391,7 @@ class GroupRows:
         return self._failed_frame(stream, failed) if failed else None
 
     def _failed_frame(self, stream: Stream, failed: list[tuple[int, str]]) -> DataFrame:
-        rows = self.batch.spark.createDataFrame(
+        rows = local_frame(self.batch.spark, 
             [(obj, 0, error) for obj, error in failed], "obj int, row bigint, error string"
         ).select(
             "*",

@@ -19,6 +19,7 @@ from lakeloader.functions.datetimes import iso_timestamp, parse_bookmark
 from lakeloader.operators.incremental import BOOKMARKS, WINDOW, empty_state
 from lakeloader.plans.catalog import Stream
 from lakeloader.plans.read import ERROR
+from lakeloader.session import local_frame
 
 _RUNS = "stream string, folder string"
 
@@ -70,9 +71,9 @@ class Sink:
         version = (self._versions() or [0])[-1] + 1
         bookmarks.coalesce(1).write.parquet(self._part(version, "bookmarks"))
         window.write.parquet(self._part(version, "window"))
-        added = self.spark.createDataFrame(runs, _RUNS).coalesce(1)
+        added = local_frame(self.spark, runs, _RUNS).coalesce(1)
         added.write.parquet(self._part(version, "runs"))
-        marker = self.spark.createDataFrame([(str(version),)], "version string").coalesce(1)
+        marker = local_frame(self.spark, [(str(version),)], "version string").coalesce(1)
         marker.write.text(self._part(version, "done"))
         return version
 
@@ -80,14 +81,14 @@ class Sink:
         """Every committed `(stream, folder)`."""
         paths = [self._part(version, "runs") for version in self._versions()]
         if not paths:
-            return self.spark.createDataFrame([], _RUNS)
+            return local_frame(self.spark, [], _RUNS)
         return self.spark.read.schema(_RUNS).parquet(*paths)
 
     def read(self, stream: Stream) -> DataFrame:
         """A stream's committed rows. Without any, an empty table with its schema."""
         folders = [row.folder for row in self.runs().where(F.col("stream") == stream.name).collect()]
         if not folders:
-            return self.spark.createDataFrame([], stream.schema())
+            return local_frame(self.spark, [], stream.schema())
         return self.spark.read.schema(stream.schema()).parquet(*folders)
 
     def errors(self, folder: str) -> DataFrame:
@@ -123,7 +124,7 @@ def state_from_json(spark: SparkSession, text: str) -> tuple[DataFrame, DataFram
              isinstance(window, dict))
         )
         entries += [(stream, key, tag, None) for key, tag in (window or {}).items()]
-    bookmarks = spark.createDataFrame(
+    bookmarks = local_frame(spark, 
         marks, "stream string, replication_key string, text string, has_window boolean"
     ).select("stream", "replication_key", parse_bookmark(F.col("text")).alias("bookmark"), "has_window")
-    return bookmarks, spark.createDataFrame(entries, WINDOW)
+    return bookmarks, local_frame(spark, entries, WINDOW)

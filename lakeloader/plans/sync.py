@@ -20,7 +20,7 @@ from lakeloader.operators import incremental as inc
 from lakeloader.plans.catalog import Catalog, Group, Stream
 from lakeloader.plans.read import ERROR, NOTES, OBJ, POS, ROW, Batch, GroupRows, read_order, schema_notes
 from lakeloader.plans.state import Sink
-from lakeloader.session import prepare, written
+from lakeloader.session import local_frame, prepare, written
 from lakeloader.sources.layout import build_layout
 from lakeloader.sources.layout import read_order as ranked
 
@@ -90,7 +90,7 @@ def members_of(
         for group in groups
         for stream in group.active().values()
     ]
-    return spark.createDataFrame(rows, inc.MEMBERS)
+    return local_frame(spark, rows, inc.MEMBERS)
 
 
 def limit_rows(rows: DataFrame, stream: Stream, limit: int | None) -> DataFrame:
@@ -226,8 +226,8 @@ class _Run:
             # The first commit of a run keeps the times of its listing.
             window, self.window = self.window, None
         if rows:
-            tracked = self.spark.createDataFrame(rows, inc.MEMBERS)
-            waiting = self.spark.createDataFrame(self.batches, "stream string, batch bigint")
+            tracked = local_frame(self.spark, rows, inc.MEMBERS)
+            waiting = local_frame(self.spark, self.batches, "stream string, batch bigint")
             # One row per batch of the run.
             done = self.plan.join(F.broadcast(waiting), ["stream", "batch"], "left_semi")
             if more is not None:
@@ -260,7 +260,7 @@ class _Run:
         for size in (1, 4, LIMITED_MAX_OBJECTS):
             if all(self.given[name] >= self.settings.limits[name] for name in names) or taken >= len(rows):
                 return
-            some = self.spark.createDataFrame(rows[taken : taken + size], first.schema)
+            some = local_frame(self.spark, rows[taken : taken + size], first.schema)
             taken += size
             runs, failure = self._load(group, some)
             self.runs += runs
@@ -308,7 +308,7 @@ class _Run:
             mine = [item.obj for item in batch.objects if stream.name in batch.readers[item.obj]]
             if len(mine) < len(batch.objects):
                 # Another stream of the group wants objects this one has read already.
-                wanted = self.spark.createDataFrame([(number,) for number in mine], f"{OBJ} int")
+                wanted = local_frame(self.spark, [(number,) for number in mine], f"{OBJ} int")
                 found = found.join(F.broadcast(wanted), OBJ, "left_semi")
             limit_rows(found, stream, limit).drop(OBJ, POS).write.parquet(folder)
             # Two columns of what was just written; statistics skip files without any.

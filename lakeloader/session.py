@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime
 import pathlib
 import posixpath
 import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _SETTINGS = {
     # `A` and `a` are two columns, `Accounts` and `accounts` two streams.
@@ -21,6 +25,8 @@ _SETTINGS = {
     # Wide catalogs give large generated methods, which the JVM's compiler skips
     # past this size; Spark then takes its path with smaller ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Long texts: a batch for a Python worker ends by bytes, too.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     # Results go back to tasks and to the driver as Arrow batches.
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -74,3 +80,20 @@ def written(frame: DataFrame, label: str = "step") -> DataFrame:
     folder = fresh_folder(frame.sparkSession, label)
     frame.write.parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
+    """A small table that is part of the plan: reading it takes no job.
+
+    An empty one lets Spark drop the joins it takes part in.
+    """
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(struct)
+    columns = list(zip(*rows)) if rows else [() for _ in arrow]
+    arrays = [pa.array([_in_utc(value) for value in cells], field.type) for cells, field in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), struct)
+
+
+def _in_utc(value):
+    # What Spark collects has no zone and is in the driver's own.
+    return value.astimezone(datetime.timezone.utc) if isinstance(value, datetime.datetime) else value

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloader.sources.listing import escape_paths
+from lakeloader.session import local_frame
 
 
 @dataclass(frozen=True)
@@ -138,7 +139,7 @@ def stitch(edges: DataFrame, rows: list[tuple[str, int, int, int]]) -> DataFrame
     small entry per border). A group is one record.
     """
     spark = edges.sparkSession
-    places = spark.createDataFrame(rows, "file string, block bigint, part int, row bigint")
+    places = local_frame(spark, rows, "file string, block bigint, part int, row bigint")
     pieces = F.array_sort(F.collect_list(F.struct("block", "part", "value")))
     return (
         edges.join(F.broadcast(places), ["file", "block", "part"])

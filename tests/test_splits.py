@@ -13,7 +13,7 @@ from conftest import minutes
 def tiny_splits(spark):
     names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
     before = {name: spark.conf.get(name) for name in names}
-    spark.conf.set(names[0], "300")
+    spark.conf.set(names[0], "1500")
     spark.conf.set(names[1], "10")
     yield
     for name, value in before.items():
