@@ -87,6 +87,38 @@ def column_kinds(found: dict[Lineage, Table], lineage: Lineage) -> list[tuple[st
     return own + [(name, K.kind_of_type(kind)) for name, (_, kind) in parents.items()]
 
 
+def _pick(struct: T.StructType, wanted: dict[Path, T.DataType]) -> T.StructType:
+    """The parts of a struct on the way to some paths, with the types given there."""
+    kept = []
+    for part in struct.fields:
+        below = {path[1:]: kind for path, kind in wanted.items() if path[0] == part.name}
+        if () in below:
+            kept.append(T.StructField(part.name, below[()]))
+        elif below:
+            kept.append(T.StructField(part.name, _pick(part.dataType, below)))
+    return T.StructType(kept)
+
+
+def needed_schema(
+    schema: T.StructType, found: dict[Lineage, Table], lineage: Lineage, columns: list[str]
+) -> T.StructType:
+    """The part of a schema that one stream's columns need, down to the items of lists."""
+    table = found[lineage]
+    wanted = {path: kind for name, (path, kind) in table.leaves.items() if name in columns}
+    inner: T.StructType | None = None
+    for depth in range(len(lineage), -1, -1):
+        table = found[lineage[:depth]]
+        struct = found[lineage[: depth - 1]].lists[lineage[depth - 1]] if depth else schema
+        if depth == len(lineage) - 1:
+            wanted = {path: kind for name, (path, kind) in table.plain.items() if name in columns}
+        if inner is not None:
+            wanted[lineage[depth]] = T.ArrayType(inner)
+        # Something must be read to see whether an item is there.
+        inner = _pick(struct, wanted) if wanted or not depth else struct
+        wanted = {}
+    return inner
+
+
 def _reach(record: Column, path: Path) -> Column:
     for key in path:
         record = record.getField(key)

@@ -37,7 +37,7 @@ from lakeloader.sources.document import Documents
 from lakeloader.sources.heads import heads
 from lakeloader.sources.jsonl import JsonLines
 from lakeloader.sources.listing import escape_paths
-from lakeloader.sources.parquet import WholeParquet, scan_group, schema_groups
+from lakeloader.sources.parquet import SchemaGroup, WholeParquet, scan_group, schema_groups
 from lakeloader.sources.textscan import ScanObject
 
 OBJ, ROW, POS, NOTES, ERROR = "__obj", "__row", "__pos", "__notes", "__error"
@@ -303,17 +303,21 @@ def _delimited_rows(batch: Batch, stream: Stream) -> DataFrame | None:
 
 
 def _parquet_rows(
-    batch: Batch, group: list[tuple[T.StructType, list[ScanObject]]], lineage: Lineage, stream: Stream
+    batch: Batch, groups: list[SchemaGroup], lineage: Lineage, stream: Stream
 ) -> list[DataFrame]:
     frames = []
     places = batch.places().select(OBJ, F.col("__file").alias("file"))
     wanted = [column.name for column in stream.taken]
-    for schema, objects in group:
-        found = columnar.tables(schema)
+    for group in groups:
+        found = columnar.tables(group.schema)
         if lineage not in found:
             continue
+        # Objects without some of the fields must still show which items exist.
+        schema = (
+            columnar.needed_schema(group.schema, found, lineage, wanted) if group.uniform else group.schema
+        )
         records = (
-            scan_group(batch.spark, schema, objects)
+            scan_group(batch.spark, schema, group.objects)
             # One row per object of the batch, so this side is bounded.
             .join(F.broadcast(places), "file")
             .select(F.col(OBJ).alias("obj"), "row", "rec")

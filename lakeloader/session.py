@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+SPLIT_SHARE = "spark.sql.files.minPartitionNum"
 _SETTINGS = {
     # `A` and `a` are two columns, `Accounts` and `accounts` two streams.
     "spark.sql.caseSensitive": "true",
@@ -36,6 +37,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators need. Safe to call many times."""
     for name, value in _SETTINGS.items():
         spark.conf.set(name, value)
+    # Two passes over an object must cut it at the same places, also when
+    # executors come or go in between. So the number Spark derives the size of
+    # splits from is fixed.
+    if spark.conf.get(SPLIT_SHARE, None) is None:
+        spark.conf.set(SPLIT_SHARE, str(max(spark.sparkContext.defaultParallelism, 1)))
     _ship_package(spark)
     return spark
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,9 +14,8 @@ def normalize_prefix(prefix: str | None) -> str:
     return trimmed if not trimmed or trimmed.endswith("/") else trimmed + "/"
 
 
-def _bare_path(path: Column) -> Column:
-    """A path without its scheme and host, to compare `file:/x` with `/x`."""
-    return F.regexp_replace(path, r"^[a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]*)?(?=/)", "")
+# A path's scheme and host, to compare `file:/x` with `/x`.
+_SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]*)?(?=/)"
 
 
 def list_objects(
@@ -32,14 +33,14 @@ def list_objects(
         .option("recursiveFileLookup", "true")
         .load(_escape_glob(f"{base}/{folder}".rstrip("/")))
     )
-    bare_base = spark.range(1).select(_bare_path(F.lit(base))).first()[0]
+    depth = len(re.sub(_SCHEME, "", base + "/"))
     tag = (
         F.md5("content")
         if content_hash
         else F.md5(F.concat_ws("-", F.unix_micros("modificationTime"), "length"))
     )
     return files.select(
-        _bare_path(F.col("path")).substr(F.lit(len(bare_base) + 2), F.length("path")).alias("key"),
+        F.substring(F.regexp_replace("path", _SCHEME, ""), depth + 1, 1 << 30).alias("key"),
         "path",
         F.col("modificationTime").alias("last_modified"),
         F.col("length").alias("size"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -35,28 +36,37 @@ def merge_schemas(left: T.DataType, right: T.DataType) -> T.DataType | None:
     return left if left == right else None
 
 
+@dataclass(frozen=True)
+class SchemaGroup:
+    """Objects that one scan can read. `uniform` ones all have just this schema."""
+
+    schema: T.StructType
+    objects: list[ScanObject]
+    uniform: bool = True
+
+
 def schema_groups(
     spark: SparkSession, objects: list[ScanObject], schemas: dict[int, bytes]
-) -> list[tuple[T.StructType, list[ScanObject]]]:
+) -> list[SchemaGroup]:
     """Group objects into as few scans as their column types allow.
 
     Spark reads one footer per distinct schema; the distinct schemas come from
     the head probe.
     """
-    groups: list[tuple[T.StructType, list[ScanObject]]] = []
+    groups: list[SchemaGroup] = []
     by_schema = sorted(objects, key=lambda item: schemas[item.obj])
     for _, same in itertools.groupby(by_schema, key=lambda item: schemas[item.obj]):
         members = list(same)
         schema = spark.read.option("recursiveFileLookup", "true").parquet(
             *escape_paths([members[0].path])
         ).schema
-        for place, (known, others) in enumerate(groups):
-            merged = merge_schemas(known, schema)
+        for place, group in enumerate(groups):
+            merged = merge_schemas(group.schema, schema)
             if merged is not None:
-                groups[place] = (merged, others + members)
+                groups[place] = SchemaGroup(merged, group.objects + members, False)
                 break
         else:
-            groups.append((merge_schemas(schema, schema) or schema, members))
+            groups.append(SchemaGroup(merge_schemas(schema, schema) or schema, members))
     return groups
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloader.sources.listing import escape_paths
-from lakeloader.session import local_frame
+from lakeloader.session import SPLIT_SHARE, local_frame
 
 
 @dataclass(frozen=True)
@@ -62,8 +62,7 @@ def may_split(spark: SparkSession, objects: list[ScanObject]) -> list[ScanObject
     """The objects Spark may read in more than one split."""
     open_cost = _bytes_setting(spark, "spark.sql.files.openCostInBytes")
     largest = _bytes_setting(spark, "spark.sql.files.maxPartitionBytes")
-    cores = spark.sparkContext.defaultParallelism
-    share = sum(item.size + open_cost for item in objects) // max(cores, 1)
+    share = sum(item.size + open_cost for item in objects) // int(spark.conf.get(SPLIT_SHARE))
     floor = min(largest, max(open_cost, share))
     return [item for item in objects if item.size > floor and not item.compressed]
 
