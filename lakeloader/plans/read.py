@@ -66,10 +66,10 @@ class Batch:
         """Take a batch's manifest rows, and look at the objects once more.
 
         Gives the file names as Spark spells them, and today's versions. An
-        object whose size differs from the listing has changed.
+        object whose size or storage time differs from the listing has changed.
         """
         spark = manifest.sparkSession
-        columns = [*_MANIFEST, *(["readers"] if "readers" in manifest.columns else [])]
+        columns = [*_MANIFEST, *(n for n in ("readers", "stored_at") if n in manifest.columns)]
         rows = sorted(
             manifest.select(*columns).collect(), key=lambda row: (row.last_modified, row.key)
         )
@@ -77,7 +77,8 @@ class Batch:
         objects, modified, versions = [], {}, {}
         for number, row in enumerate(rows):
             seen = found.get(_location(row.path)) or found.get(_location(unquote(row.path)))
-            if seen is None or seen[3] != row.size:
+            stored_at = row.stored_at if "stored_at" in columns else None
+            if seen is None or seen[3] != row.size or stored_at not in (None, seen[2]):
                 raise ObjectChanged(f"{row.key} changed during the sync")
             file, path, time, size = seen
             objects.append(

@@ -10,17 +10,19 @@ from __future__ import annotations
 
 import datetime
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloader.model import KEY, LAST_MODIFIED, LIMITED_MAX_OBJECTS, LoadError
+from lakeloader.model import JSONL, KEY, LAST_MODIFIED, LIMITED_MAX_OBJECTS, LoadError
 from lakeloader.operators import incremental as inc
 from lakeloader.plans.catalog import Catalog, Group, Stream
 from lakeloader.plans.read import ERROR, NOTES, OBJ, POS, ROW, Batch, GroupRows, read_order, schema_notes
 from lakeloader.plans.state import Sink
 from lakeloader.session import local_frame, prepare, written
+from lakeloader.sources.jsonl import physical_line
 from lakeloader.sources.layout import build_layout
 from lakeloader.sources.layout import read_order as ranked
 
@@ -315,13 +317,7 @@ class _Run:
             written = self.spark.read.parquet(folder)
             first = written.where(F.col(ERROR).isNotNull()).orderBy(LAST_MODIFIED, KEY, ROW).first()
             if first is not None:
-                key = first[KEY]
-                failures.append(
-                    _Failure(
-                        numbers[key], key, batch.modified[numbers[key]],
-                        f"could not read {key}, stream '{stream.name}' row {first[ROW]}: {first[ERROR]}",
-                    )
-                )
+                failures.append(self._failure(batch, numbers[first[KEY]], stream, first))
             for row in written.select(F.explode(NOTES).alias("note")).distinct().collect():
                 self._note(stream.name, row.note)
             if limit is not None:
@@ -333,6 +329,14 @@ class _Run:
             self.given[name] += count
         return runs, None
 
+    def _failure(self, batch: Batch, obj: int, stream: Stream, row) -> _Failure:
+        item = next(item for item in batch.objects if item.obj == obj)
+        place = f"row {row[ROW]}"
+        if item.kind == JSONL and not row[ERROR].startswith("column "):
+            place += f" (line {physical_line(self.spark, item, row[ROW])})"
+        message = f"could not read {item.key}, stream '{stream.name}' {place}: {row[ERROR]}"
+        return _Failure(obj, item.key, batch.modified[obj], message)
+
     def _note(self, stream: str, note: str) -> None:
         kind, _, text = note.partition(":")
         notes = self.result.renamed if kind == "rename" else self.result.dropped
@@ -343,7 +347,7 @@ def _unreadable(batch: Batch, err: PySparkException) -> _Failure:
     """The object a failed read is about, if the error names one of the batch."""
     text = str(err)
     for item in batch.objects:
-        if item.file in text:
+        if any(name in text for name in (item.file, unquote(item.file), item.path)):
             message = f"could not read {item.key}: {text.splitlines()[0]}"
             return _Failure(item.obj, item.key, batch.modified[item.obj], message)
     raise err

@@ -135,6 +135,7 @@ def build_layout(listing: DataFrame, prefix: str | None = None, exclude: str | N
         F.element_at(kinds, F.col("extension")).alias("kind"),
         "extension",
         F.endswith(F.lower("key"), F.lit(".gz")).alias("compressed"),
+        *(["stored_at"] if "stored_at" in listing.columns else []),
     )
     rejected = named.where(~usable).select(
         "key",

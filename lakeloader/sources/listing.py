@@ -24,7 +24,8 @@ def list_objects(
     """List every object below `root`, recursively, with keys relative to it.
 
     The tag is the modification time and the length, which any file system
-    gives. `content_hash` reads the bytes and uses their MD5 instead.
+    gives. `content_hash` reads the bytes and uses their MD5 instead. The time in
+    `stored_at` lets a read notice objects that were overwritten since.
     """
     folder = normalize_prefix(prefix)
     base = root.rstrip("/")
@@ -45,6 +46,7 @@ def list_objects(
         F.col("modificationTime").alias("last_modified"),
         F.col("length").alias("size"),
         tag.alias("etag"),
+        F.col("modificationTime").alias("stored_at"),
     )
 
 
