@@ -252,8 +252,9 @@ def sample_objects(manifest: DataFrame):
         places = {row.key: (row.stream, row.newest_rank) for row in wanted.collect()}
         if not places:
             break
-        batch = Batch.collect(wanted).renumbered(base)
-        base += len(batch.objects)
+        batch = Batch.collect(wanted, skip_changed=True).renumbered(base)
+        base += len(places)
+        skipped.update(batch.changed)
         frame, errors, notes = _sample(batch)
         observed.append(frame)
         for item in sorted(batch.objects, key=lambda item: places[item.key][1]):
@@ -267,7 +268,7 @@ def sample_objects(manifest: DataFrame):
                 taken.append((item.obj, rank))
                 renamed.setdefault(stream, set()).update(notes.get(item.obj, ()))
         seen = {stream for stream, _ in places.values()}
-        open_streams = {stream for stream in seen if len(good[stream]) < SAMPLE_OBJECTS}
+        open_streams = {name for name in seen if len(good.setdefault(name, [])) < SAMPLE_OBJECTS}
         done, look = look, look * 4
     ranks = local_frame(spark, 
         [(obj, stream, rank) for stream, taken in good.items() for obj, rank in taken],
@@ -279,7 +280,7 @@ def sample_objects(manifest: DataFrame):
 
 def discover(listing: DataFrame, prefix: str | None = None, exclude: str | None = None) -> Discovery:
     """Build the catalog of everything below a prefix."""
-    spark = prepare(listing.sparkSession)
+    prepare(listing.sparkSession)
     layout = build_layout(listing, prefix, exclude)
     observed, ranks, good, skipped, renamed = sample_objects(layout.manifest)
     columns: dict[tuple[str, Lineage], list[tuple]] = {(name, ()): [] for name in good}
@@ -290,7 +291,6 @@ def discover(listing: DataFrame, prefix: str | None = None, exclude: str | None
             found = columns.setdefault((row.stream, lineage), [])
             if row.column is not None and not (lineage and row.column in CHILD_METADATA):
                 found.append((tuple(row.first), row.column, row.kind))
-    del spark
     names = {(name, ()): name for name in good}
     children = list(plan_child_names([key for key in columns if key[1]], good))
     names |= {(child.root, child.lineage): child.name for child in children}

@@ -60,13 +60,15 @@ class Batch:
     versions: dict[int, tuple]
     heads: dict[int, dict] = field(default_factory=dict)
     readers: dict[int, set[str]] = field(default_factory=dict)
+    changed: dict[str, str] = field(default_factory=dict)
 
     @staticmethod
-    def collect(manifest: DataFrame) -> Batch:
+    def collect(manifest: DataFrame, skip_changed: bool = False) -> Batch:
         """Take a batch's manifest rows, and look at the objects once more.
 
         Gives the file names as Spark spells them, and today's versions. An
-        object whose size or storage time differs from the listing has changed.
+        object whose size or storage time differs from the listing has changed,
+        which is an error, or leaves it out if `skip_changed` is set.
         """
         spark = manifest.sparkSession
         columns = [*_MANIFEST, *(n for n in ("readers", "stored_at") if n in manifest.columns)]
@@ -74,21 +76,22 @@ class Batch:
             manifest.select(*columns).collect(), key=lambda row: (row.last_modified, row.key)
         )
         found = _look(spark, [row.path for row in rows])
-        objects, modified, versions = [], {}, {}
+        objects, modified, versions, readers, changed = [], {}, {}, {}, {}
         for number, row in enumerate(rows):
             seen = found.get(_location(row.path)) or found.get(_location(unquote(row.path)))
             stored_at = row.stored_at if "stored_at" in columns else None
             if seen is None or seen[3] != row.size or stored_at not in (None, seen[2]):
-                raise ObjectChanged(f"{row.key} changed during the sync")
+                changed[row.key] = f"{row.key} changed during the sync"
+                if skip_changed:
+                    continue
+                raise ObjectChanged(changed[row.key])
             file, path, time, size = seen
             objects.append(
                 ScanObject(number, row.key, path, file, size, row.kind, row.extension, row.compressed)
             )
             modified[number], versions[number] = row.last_modified, (time, size)
-        batch = Batch(spark, objects, modified, versions)
-        if "readers" in columns:
-            batch.readers = {number: set(row.readers) for number, row in enumerate(rows)}
-        return batch
+            readers[number] = set(row.readers) if "readers" in columns else set()
+        return Batch(spark, objects, modified, versions, {}, readers, changed)
 
     def subset(self, numbers: set[int]) -> Batch:
         """The same batch with fewer objects."""
@@ -100,7 +103,7 @@ class Batch:
         objects = [replace(item, obj=item.obj + base) for item in self.objects]
         return Batch(
             self.spark, objects, {n + base: time for n, time in self.modified.items()},
-            {n + base: version for n, version in self.versions.items()},
+            {n + base: version for n, version in self.versions.items()}, {}, {}, self.changed,
         )
 
     def read_heads(self, sample_rows: int = 0) -> None:

@@ -90,7 +90,7 @@ class Bucket:
         order = [c for c in ("_s3_last_modified", "_s3_key", "_row_number", "_row_key") if c in frame.columns]
         frame = frame.orderBy(*order)
         if columns:
-            frame = frame.select(*[F.col(f"`{c}`") for c in columns])
+            frame = frame.select(*[F.col("`" + c.replace("`", "``") + "`") for c in columns])
         return [row.asDict() for row in frame.collect()]
 
     def data(self, stream):

@@ -161,3 +161,15 @@ def test_merge_lattice(spark):
     found = dict(rows.select("n", K.merged_kind(F.array_distinct("kinds"))).collect())
     for n, (a, b, c) in cases:
         assert found[n] == merge(merge(a, b), c)
+
+
+def test_objects_that_changed_since_the_listing_are_skipped(bucket):
+    from lakeloader import discover
+
+    bucket.put("s/a.jsonl", lines({"a": 1}), minutes(1))
+    bucket.put("s/b.jsonl", lines({"b": 1}), minutes(2))
+    listing = bucket.spark.createDataFrame(bucket.listing().collect(), bucket.listing().schema)
+    bucket.put("s/b.jsonl", lines({"b": 1, "c": 2}), minutes(3))
+    found = discover(listing)
+    assert "changed" in found.skipped["s/b.jsonl"]
+    assert [column.name for column in found.catalog.streams["s"].columns] == ["a"]
