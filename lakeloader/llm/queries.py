@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeloader.llm import license_scan, warc
 from lakeloader.llm.base import UPPER, table
 from lakeloader.llm.exact_dedup import exact_dedup
+from lakeloader.llm.packing import cut, pack
 from lakeloader.llm.piece_codec import encode_decode
+from lakeloader.llm.simhash import near_duplicates
 
 _LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
 
@@ -34,8 +37,38 @@ def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), keep=False)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(cut(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write_archives(table(spark, sf_dir, "pages"))
+    found = warc.records(warc.read_archives(files))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP10 = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_piece_codec": op2_piece_codec,
+    "op3_license_scan": op3_license_scan,
+    "op6_simhash": op6_simhash,
+    "op9_best_fit": op9_best_fit,
+    "op10_warc": op10_warc,
 }
-ORACLES = {"op1_exact_dedup": OP1}
+ORACLES = {"op1_exact_dedup": OP1, "op3_license_scan": license_scan.oracle(), "op10_warc": OP10}
