@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloader.llm import license_scan, warc
+from lakeloader.llm import hash_shards, license_scan, merkle, warc
 from lakeloader.llm.base import UPPER, table
 from lakeloader.llm.exact_dedup import exact_dedup
+from lakeloader.llm.language_id import identify
 from lakeloader.llm.packing import cut, pack
 from lakeloader.llm.piece_codec import encode_decode
 from lakeloader.llm.simhash import near_duplicates
@@ -41,6 +42,18 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def op5_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_shards.assign(table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -67,8 +80,16 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_piece_codec": op2_piece_codec,
     "op3_license_scan": op3_license_scan,
+    "op4_merkle": op4_merkle,
+    "op5_hash_shards": op5_hash_shards,
     "op6_simhash": op6_simhash,
+    "op7_language_id": op7_language_id,
     "op9_best_fit": op9_best_fit,
     "op10_warc": op10_warc,
 }
-ORACLES = {"op1_exact_dedup": OP1, "op3_license_scan": license_scan.oracle(), "op10_warc": OP10}
+ORACLES = {
+    "op1_exact_dedup": OP1,
+    "op3_license_scan": license_scan.oracle(),
+    "op5_hash_shards": hash_shards.oracle(),
+    "op10_warc": OP10,
+}
