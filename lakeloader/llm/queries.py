@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloader.llm import hash_shards, license_scan, merkle, warc
-from lakeloader.llm.base import UPPER, table
+from lakeloader.llm import hash_shards, license_scan, merkle, substring_dedup, warc
+from lakeloader.llm.base import UPPER, table, tokenizer
 from lakeloader.llm.exact_dedup import exact_dedup
 from lakeloader.llm.language_id import identify
 from lakeloader.llm.packing import cut, pack
@@ -15,13 +15,6 @@ from lakeloader.llm.simhash import near_duplicates
 _LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
 
 
-def tokenizer(name: str) -> str:
-    """The place of a public tokenizer's file."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -58,6 +51,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(cut(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
 
@@ -68,6 +65,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 OP10 = """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
@@ -84,12 +87,15 @@ QUERIES = {
     "op5_hash_shards": op5_hash_shards,
     "op6_simhash": op6_simhash,
     "op7_language_id": op7_language_id,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_best_fit": op9_best_fit,
     "op10_warc": op10_warc,
+    "pipeline": pipeline,
 }
 ORACLES = {
     "op1_exact_dedup": OP1,
     "op3_license_scan": license_scan.oracle(),
     "op5_hash_shards": hash_shards.oracle(),
+    "op8_substring_dedup": substring_dedup.oracle(),
     "op10_warc": OP10,
 }
