@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloader.session import prepare
 
@@ -37,8 +38,21 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def in_tasks(frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def unused(frame: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column of the frame has, in either case."""
+    taken = {name.lower() for name in frame.columns}
+    made = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        made.append(name)
+    return made
+
+
+def in_tasks(frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """Run `work` on each partition's stream of Arrow batches."""
+    prepare(frame.sparkSession)
     return frame.mapInArrow(work, schema)
 
 

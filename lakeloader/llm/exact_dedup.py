@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloader.llm.base import column, in_tasks, mix
+from lakeloader.llm.base import column, in_tasks, mix, unused
 from lakeloader.session import written
 
 #: Distinct digests of one shard: about 2 MB of slots.
@@ -205,5 +205,6 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None, id_column: st
 
 def drop_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """`docs` without the documents whose text a larger id has, too; all columns stay as they are."""
-    kept = exact_dedup(docs, None, id_column, text_column).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, column(id_column).cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    (key,) = unused(docs, "key")
+    kept = exact_dedup(docs, None, id_column, text_column).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(kept, column(id_column).cast("long").eqNullSafe(F.col(key)), "left_semi")

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloader.llm.base import column
+from lakeloader.llm.base import column, unused
 from lakeloader.session import written
 
 SHARD_BYTES = 16 << 20
@@ -90,9 +90,10 @@ def directory(assigned: DataFrame) -> DataFrame:
 
 def write_shards(docs: DataFrame, assigned: DataFrame, folder: str, id_column: str = "doc_id") -> None:
     """Write every shard's documents to a folder of its own; ids must be unique."""
-    shards = assigned.select(F.col("doc_id").alias("__id"), F.concat(F.lit("s"), F.col("shard")).alias("shard"))
-    joined = docs.join(shards, column(id_column).cast("long").eqNullSafe(F.col("__id"))).drop("__id")
-    joined.repartition("shard").write.partitionBy("shard").parquet(folder)
+    key, shard = unused(docs, "key", "shard")
+    shards = assigned.select(F.col("doc_id").alias(key), F.concat(F.lit("s"), F.col("shard")).alias(shard))
+    joined = docs.join(shards, column(id_column).cast("long").eqNullSafe(F.col(key))).drop(key)
+    joined.repartition(shard).write.partitionBy(shard).parquet(folder)
 
 
 def oracle(max_bytes: int = SHARD_BYTES, documents: str = "documents") -> str:

@@ -257,4 +257,4 @@ def keep_known(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
             fits = [bool(scorer and text and _LETTER.search(text)) and not scorer(text)[2] for text in texts]
             yield batch.filter(pa.array(fits, pa.bool_()))
 
-    return docs.mapInArrow(work, docs.schema)
+    return in_tasks(docs, work, docs.schema)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloader.llm.base import column, in_tasks
+from lakeloader.llm.base import column, in_tasks, unused
 from lakeloader.session import written
 
 SEED = 42
@@ -204,6 +204,7 @@ def keep_one(
     docs: DataFrame, width: int = SHINGLE_WORDS, limit: int = LIMIT, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """The document with the smallest id of every component, with all columns as they are."""
+    (key,) = unused(docs, "key")
     found = near_duplicates(docs, width, limit, id_column, text_column)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, column(id_column).cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(kept, column(id_column).cast("long").eqNullSafe(F.col(key)), "left_semi")

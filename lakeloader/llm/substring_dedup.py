@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloader.llm.base import column, in_tasks, mix, slices
+from lakeloader.llm.base import column, in_tasks, mix, slices, unused
 from lakeloader.llm.fm_index import FmIndex
 from lakeloader.session import written
 
@@ -340,19 +340,16 @@ FROM d LEFT JOIN k USING (doc_id)
 
 def clean(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """`docs` with repeated words taken out of the texts; a text that loses none stays as it is."""
-    spans = repeats(docs, id_column, text_column).select(
-        F.col("id").alias("__id"), F.col("variant").alias("__variant"), F.col("spans").alias("__spans")
-    )
-    text = column(text_column).cast("string")
-    same = (F.coalesce(column(id_column).cast("long"), F.lit(NO_ID)) == F.col("__id")) & (
-        F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__variant")
-    )
-    joined = docs.join(spans, same, "left")
+    key, variant, spans = unused(docs, "key", "variant", "spans")
+    found = repeats(docs, id_column, text_column).toDF(key, variant, spans)
+    text = F.coalesce(column(text_column).cast("string"), F.lit(""))
+    same = (F.coalesce(column(id_column).cast("long"), F.lit(NO_ID)) == F.col(key)) & (F.xxhash64(text) == F.col(variant))
+    joined = docs.join(found, same, "left")
     columns = [column(name) for name in docs.columns]
     at = docs.columns.index(text_column)
     names = [f"c{i}" for i in range(len(columns))]
     # Other columns may have any names and types; they pass through as they are.
-    plain = joined.select(*[x.alias(name) for x, name in zip(columns, names)], F.col("__spans").alias("spans"))
+    plain = joined.select(*[x.alias(name) for x, name in zip(columns, names)], F.col(spans).alias("spans"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -362,5 +359,5 @@ def clean(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
             made = batch.set_column(at, names[at], pa.array(texts, pa.string()))
             yield made.select(names)
 
-    done = plain.mapInArrow(work, plain.drop("spans").schema)
+    done = in_tasks(plain, work, plain.drop("spans").schema)
     return done.select(*[F.col(name).alias(old) for name, old in zip(names, docs.columns)])
