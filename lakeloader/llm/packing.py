@@ -12,8 +12,11 @@ documents of their own; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
+from struct import pack as packed_numbers
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,29 @@ NODE_ITEMS = 100_000
 FAN_IN = 8
 #: A round that removes less than this share of the bins is the last.
 LEAST_GAIN = 0.01
-TABLE_CHUNKS = 400_000
+#: Words and parts of words a task keeps at once.
+TABLE_WORDS = 500_000
+#: How tokenizers of the kind that has the short way split a text.
+SPLITS = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split", "behavior": "Removed", "invert": True,
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+_PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+_PART = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 MEMBER = np.dtype(
     [("doc_id", "<i8"), ("no_id", "?"), ("piece", "<i4"), ("start", "<i8"), ("length", "<i4"), ("ids_crc32", "<u4")]
 )
@@ -39,27 +64,53 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 BINS = "size int, members binary, done boolean"
 
 
-class WordTokenizer:
+class WordTokenizer(dict):
     """Ids of whole texts; each distinct word between blanks is tokenized once per task.
 
-    For tokenizers that drop white space, so that no token spans it.
+    For tokenizers that drop white space, so that no token spans it. A word of Latin
+    letters, digits and punctuation falls apart in the same way for every tokenizer
+    of the kind `SPLITS`; its parts go to the tokenizer's model without the general
+    way's bookkeeping. All other words go the general way.
     """
 
     def __init__(self, file: str):
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(file)
-        self.table: dict[str, bytes] = {}
+        self.general = Tokenizer.from_file(file)
+        self.model = self.general.model
+        settings = json.loads(self.general.to_str())
+        self.plain = _PLAIN if all(settings[name] == kind for name, kind in SPLITS.items()) else re.compile("(?!)")
+        self.parts: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        table = self.table
-        if len(table) > TABLE_CHUNKS:
-            table.clear()
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = list({word for words in split for word in words if word not in table})
-        for word, found in zip(new, self.model.encode_batch(new, add_special_tokens=False)):
-            table[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join([table[word] for word in words]) for words in split]
+    def __missing__(self, word: str) -> bytes:
+        if self.plain.fullmatch(word) and "<|" not in word:
+            ids = b"".join([self.parts.get(part) or self._part(part) for part in _PART.findall(word.lower())])
+        else:
+            ids = np.array(self.general.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = ids
+        return ids
+
+    def _part(self, part: str) -> bytes:
+        shown = part if part.isascii() else part.encode().decode("latin-1").translate(_SHOWN)
+        found = [token.id for token in self.model.tokenize(shown)]
+        ids = packed_numbers(f"<{len(found)}I", *found)
+        self.parts[part] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        if len(self) + len(self.parts) > TABLE_WORDS:
+            self.clear()
+            self.parts.clear()
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+def _shown() -> dict[int, str]:
+    """Byte-level models see bytes without a printable character as characters from 256 on."""
+    hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_SHOWN = _shown()
 
 
 def cut(
@@ -72,9 +123,8 @@ def cut(
         tokenizer = WordTokenizer(tokenizer_file)
         for batch in slices(batches):
             rows: list[list] = [[], [], [], [], []]
-            encoded = tokenizer.encode([text or "" for text in batch.column("text").to_pylist()])
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
-                ids += end
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                ids = tokenizer.encode(text or "") + end
                 for piece, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
                     for held, value in zip(rows, (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part))):
