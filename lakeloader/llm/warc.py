@@ -18,6 +18,7 @@ URL are percent-encoded, a null URL has no header; empty tables give no files.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloader.llm.base import column, in_tasks, slices
@@ -136,7 +137,6 @@ def _files(path: str) -> tuple[pa.fs.FileSystem, str]:
 
 def read_archives(files: DataFrame) -> DataFrame:
     """All records of the files named in `path`, and a row with a `problem` for each gap."""
-    spark: SparkSession = files.sparkSession
     paths = files.select("path").repartition(max(files.count(), 1), "path")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +154,6 @@ def read_archives(files: DataFrame) -> DataFrame:
                             rows, held = [], 0
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    spark.sparkContext  # noqa: B018 - the frame's session must still be alive
     return in_tasks(paths, work, RECORDS)
 
 
@@ -174,14 +173,23 @@ def gaps(rows: DataFrame) -> DataFrame:
 def salvage(source) -> Iterator[dict]:
     """Records and gaps of an open file, in order of their bytes."""
     size, at = source.size(), 0
+    gap = None
     while at < size:
         try:
             found, end = _record_at(source, at, size)
-            yield found | {"first_byte": at, "end_byte": end}
         except Damaged as damage:
             end = _next_start(source, at + 1, size)
-            yield {"first_byte": at, "end_byte": end, "problem": str(damage)}
+            # Places that only looked like a record lengthen the gap.
+            gap = gap or {"first_byte": at, "problem": str(damage)}
+            gap["end_byte"] = end
+        else:
+            if gap:
+                yield gap
+                gap = None
+            yield found | {"first_byte": at, "end_byte": end}
         at = end
+    if gap:
+        yield gap
 
 
 def _record_at(source, at: int, size: int) -> tuple[dict, int]:
@@ -242,8 +250,6 @@ def _fields(head: bytes) -> dict[str, str]:
 
 def parse(data: bytes) -> tuple[dict, int]:
     """The record at the start of `data` and its length."""
-    import hashlib
-
     length = _lengths(data)
     if len(data) < length or data[length - 4 : length] != _END:
         raise Damaged("the block does not end where it should")
@@ -271,12 +277,12 @@ def _page(text: str | None) -> int | None:
 
 def _next_start(source, at: int, size: int) -> int:
     """The next place from `at` on where a member or a version line begins a record; else the end."""
-    sign = re.compile(re.escape(_GZIP) + rb"|(?<=\n)WARC/1\.[01]\r\n")
+    sign = re.compile(re.escape(_GZIP) + rb"|WARC/1\.[01]\r\n")
     while at < size:
-        # One byte before, for the line end; some after, for a sign across the border.
-        block = source.read_at(_BLOCK + 16, at - 1)
-        for found in sign.finditer(block, 1):
-            place = at - 1 + found.start()
+        # A little more than a block, for a sign across its border.
+        block = source.read_at(_BLOCK + 16, at)
+        for found in sign.finditer(block):
+            place = at + found.start()
             if found[0] != _GZIP:
                 return place
             try:
