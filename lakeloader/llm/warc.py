@@ -244,8 +244,20 @@ def _lengths(data: bytes) -> int:
 
 
 def _fields(head: bytes) -> dict[str, str]:
-    lines = head.decode("utf-8", "replace").split("\r\n")[1:]
-    return {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
+    """Names and values below the first line; a cut-off head runs into another one's lines."""
+    made: dict[str, str] = {}
+    for line in head.split(b"\r\n")[1:]:
+        name, colon, value = line.partition(b":")
+        if not colon or not re.fullmatch(rb"[!-~]+", name) or re.search(rb"[\x00-\x08\x0a-\x1f\x7f]", value):
+            raise Damaged("a line of the head is no field")
+        try:
+            field, text = name.decode().lower(), value.decode().strip()
+        except UnicodeDecodeError:
+            raise Damaged("the head is not UTF-8") from None
+        if field in made:
+            raise Damaged("a field stands twice in the head")
+        made[field] = text
+    return made
 
 
 def parse(data: bytes) -> tuple[dict, int]:
