@@ -18,15 +18,17 @@ TEXTS = [
 ]
 
 
+RULES = [(re.compile(rule.regex), rule) for rule in signatures()]
+
+
 def expected(doc_id, text):
-    rules = signatures()
     lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered)
     base, found = [], []
     for at in range(len(words)):
         seen = " ".join(words[at : at + WINDOW]) + " "
         base += [(at, label) for phrase, label in L.BASE.items() if seen.startswith(phrase + " ")]
-        matches = [(m[0].count(" "), -r.priority, r.relevance, r.label) for r in rules if (m := re.match(r.regex, seen))]
+        matches = [(m[0].count(" "), -r.priority, r.relevance, r.label) for p, r in RULES if r.keyword == words[at] and (m := p.match(seen))]
         if matches:
             size, strength, relevance, label = max(matches)
             found.append((at, at + size, label, -strength, relevance))
