@@ -248,13 +248,18 @@ def keep_known(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """
     model = fit(docs, id_column, text_column, label_column)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Other columns pass through as they are, whatever their names.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = docs.columns.index(text_column)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         scorer = Scorer(known) if known else None
         for batch in slices(batches):
-            texts = batch.column(batch.schema.get_field_index(text_column)).to_pylist()
+            texts = batch.column(at).to_pylist()
             fits = [bool(scorer and text and _LETTER.search(text)) and not scorer(text)[2] for text in texts]
             yield batch.filter(pa.array(fits, pa.bool_()))
 
-    return in_tasks(docs, work, docs.schema)
+    plain = docs.select(*[column(old).alias(name) for old, name in zip(docs.columns, names)])
+    kept = in_tasks(plain, work, plain.schema)
+    return kept.select(*[F.col(name).alias(old) for old, name in zip(docs.columns, names)])
