@@ -37,9 +37,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators need. Safe to call many times."""
     for name, value in _SETTINGS.items():
         spark.conf.set(name, value)
-    # Two passes over an object must cut it at the same places, also when
-    # executors come or go in between. So the number Spark derives the size of
-    # splits from is fixed.
+    # Two passes over the same list of objects must cut them at the same places,
+    # also when executors come or go in between. So the number Spark derives the
+    # size of splits from is fixed, beside the objects' total size.
     if spark.conf.get(SPLIT_SHARE, None) is None:
         spark.conf.set(SPLIT_SHARE, str(max(spark.sparkContext.defaultParallelism, 1)))
     _ship_package(spark)

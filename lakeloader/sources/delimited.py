@@ -26,7 +26,14 @@ from pyspark.sql import functions as F
 
 from lakeloader.functions.names import top_level_name
 from lakeloader.session import written
-from lakeloader.sources.textscan import ScanObject, may_split, split_chunks, split_runs, stitch, text_scan
+from lakeloader.sources.textscan import (
+    ScanObject,
+    cut_and_whole,
+    split_chunks,
+    split_runs,
+    stitch,
+    text_scan,
+)
 
 _BOM = b"\xef\xbb\xbf"
 # Bytes cp1252 leaves undefined.
@@ -135,17 +142,12 @@ class Delimited:
         self.quoted: set[tuple[str, int]] = set()
         self.last: dict[str, int] = {}
         self.stitched: DataFrame | None = None
-        self.scans = [
-            (text_scan(spark, list(group), line_sep))
-            for line_sep, group in itertools.groupby(
-                sorted(objects, key=lambda item: files[item.file].line_sep),
-                key=lambda item: files[item.file].line_sep,
-            )
-        ]
-        self.large = {item.file for item in may_split(spark, objects)}
-        broken = self._read_stats()
-        if broken:
-            self._find_edges(spark, [item for item in objects if item.file in broken])
+        self.scans, cut_scans = self._scan(spark, objects)
+        if self._mixed_line_ends():
+            self.scans, cut_scans = self._scan(spark, objects)
+        self.broken = self._read_stats()
+        if self.broken:
+            self._find_edges(cut_scans)
         self.schema = pa.schema(
             [("obj", pa.int32()), ("row", pa.int64()), ("notes", pa.list_(pa.string()))]
             + [(f"c{n}", pa.string()) for n in range(len(columns))]
@@ -154,6 +156,35 @@ class Delimited:
     def __getstate__(self) -> dict:
         return {**vars(self), "scans": None, "stitched": None}
 
+    def _scan(self, spark: SparkSession, objects: list[ScanObject]) -> tuple[list[DataFrame], list[DataFrame]]:
+        """Scans by line end, those of cut objects apart; these are given once more."""
+        scans, cut_scans = [], []
+        self.line_seps = []
+        for line_sep in sorted({self.files[item.file].line_sep for item in objects}):
+            group = [item for item in objects if self.files[item.file].line_sep == line_sep]
+            cut, whole = cut_and_whole(spark, group)
+            for part in filter(None, (cut, whole)):
+                scans.append(text_scan(spark, part, line_sep))
+                self.line_seps.append(line_sep)
+                if part is cut:
+                    cut_scans.append(scans[-1])
+        return scans, cut_scans
+
+    def _mixed_line_ends(self) -> bool:
+        """Whether objects that begin with bare carriage returns hold line feeds, too.
+
+        Those are then read by line feeds; the row readers know the other ends.
+        """
+        mixed = False
+        for scan, line_sep in zip(self.scans, self.line_seps):
+            if line_sep == "\n":
+                continue
+            fed = F.contains(F.col("value"), F.lit(b"\n"))
+            for row in scan.groupBy("file").agg(F.bool_or(fed).alias("fed")).where("fed").collect():
+                self.files[row.file].line_sep = "\n"
+                mixed = True
+        return mixed
+
     def rows(self) -> DataFrame:
         """The rows as `obj, row, notes, c0, c1, …`."""
         ddl = ", ".join(
@@ -206,6 +237,8 @@ class Delimited:
     def _edges(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Read each split under both cases of its start."""
         for name, block, lines in split_runs(batches):
+            if name not in self.broken:
+                continue
             delimiter = self.files[name].delimiter
             cases = [_Case(part, delimiter, bool(n)) for n, part in enumerate(itertools.tee(lines))]
             while not all(case.done for case in cases):
@@ -221,12 +254,7 @@ class Delimited:
                 schema=_EDGES_ARROW,
             )
 
-    def _find_edges(self, spark: SparkSession, objects: list[ScanObject]) -> None:
-        by_sep = itertools.groupby(
-            sorted(objects, key=lambda item: self.files[item.file].line_sep),
-            key=lambda item: self.files[item.file].line_sep,
-        )
-        scans = [text_scan(spark, list(group), line_sep) for line_sep, group in by_sep]
+    def _find_edges(self, scans: list[DataFrame]) -> None:
         edges = scans[0]
         for scan in scans[1:]:
             edges = edges.union(scan)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from lakeloader.operators.pieces import Record
 from lakeloader.session import written
 from lakeloader.sources.jsonl import BOM, decode_object
-from lakeloader.sources.textscan import ScanObject, may_split, split_runs, stitch, text_scan
+from lakeloader.sources.textscan import ScanObject, cut_and_whole, scan_parts, split_runs, stitch, text_scan
 
 CUT = "}"
 _STRING = re.compile(rb'"[^"\\]*(?:\\.[^"\\]*)*"', re.DOTALL)
@@ -393,21 +393,25 @@ class Documents:
         self.sample_rows = sample_rows
         self.numbers = {item.file: item.obj for item in objects}
         self.sizes = {item.file: None if item.compressed else item.size for item in objects}
-        large = may_split(spark, objects)
-        self.large = {item.file for item in large}
+        cut, whole = cut_and_whole(spark, objects)
+        self.cut = {item.file for item in cut}
+        # Arrays that are read whole need no outline.
+        self.plain = {item.file for item in whole if item.file in arrays}
         self.starts: dict[tuple[str, int], Start] = {}
         self.wanted: dict[str, int | None] = {}
         # Object documents that fail as a whole, before any row.
         self.failed: dict[str, str] = {}
         self.stitched: DataFrame | None = None
-        if large:
-            self._find_starts(text_scan(spark, large, CUT))
-        outlined = [item for item in objects if item.file in self.large or item.file not in arrays]
-        if outlined:
-            self._find_fields(text_scan(spark, outlined, CUT))
-        empty = {file for file, field in self.wanted.items() if field is None}
-        read = [item for item in objects if item.file not in empty and item.file not in self.failed]
-        self.pieces = text_scan(spark, read, CUT) if read else None
+        if cut:
+            self._find_starts(text_scan(spark, cut, CUT))
+        outlined = (cut, whole if len(self.plain) < len(whole) else [])
+        if any(outlined):
+            self._find_fields(scan_parts(spark, outlined, CUT))
+        # Objects without records are skipped as they are read: a scan without them
+        # could be cut at other places.
+        self.skipped = {file for file, field in self.wanted.items() if field is None} | set(self.failed)
+        parts = tuple(part if any(x.file not in self.skipped for x in part) else [] for part in (cut, whole))
+        self.pieces = scan_parts(spark, parts, CUT) if any(parts) else None
 
     def __getstate__(self) -> dict:
         # Tasks get the numbers, not the DataFrames.
@@ -416,6 +420,8 @@ class Documents:
     def records(self, batches: Iterator[pa.RecordBatch]) -> Iterator[Record]:
         """Decode the records that lie inside a task's splits."""
         for file, block, pieces in split_runs(batches):
+            if file in self.skipped:
+                continue
             obj = self.numbers[file]
             walk = self._walk(file, block, self.wanted.get(file))
             try:
@@ -433,7 +439,7 @@ class Documents:
 
     def _walk(self, file: str, block: int, wanted: int | None) -> Walk:
         start = self.starts.get((file, block))
-        if start is None and (block or file in self.large):
+        if start is None and (block or file in self.cut):
             raise RuntimeError(f"{file}: the split at byte {block} was not counted")
         return Walk(start or Start(), wanted)
 
@@ -463,6 +469,8 @@ class Documents:
     def _outline(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row per split: its fields, its records, and the bytes at its borders."""
         for file, block, pieces in split_runs(batches):
+            if file in self.plain:
+                continue
             walk = self._walk(file, block, None)
             error = None
             try:

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from lakeloader.operators.pieces import Record
 from lakeloader.sources.textscan import (
     ScanObject,
+    cut_and_whole,
     is_blank,
-    may_split,
     offset_of,
+    scan_parts,
     split_offsets,
     split_runs,
     text_scan,
@@ -40,9 +41,10 @@ class JsonLines:
 
     def __init__(self, spark: SparkSession, objects: list[ScanObject]):
         self.numbers = {item.file: item.obj for item in objects}
-        large = may_split(spark, objects)
-        self.offsets = split_offsets(_count_lines(text_scan(spark, large, None)) if large else [])
-        self.lines = text_scan(spark, objects, None).where(~is_blank(F.col("value")))
+        parts = cut_and_whole(spark, objects)
+        self.cut = {item.file for item in parts[0]}
+        self.offsets = split_offsets(_count_lines(text_scan(spark, parts[0], None)) if self.cut else [])
+        self.lines = scan_parts(spark, parts, None).where(~is_blank(F.col("value")))
 
     def __getstate__(self) -> dict:
         # Tasks get the numbers, not the DataFrame.
@@ -51,7 +53,7 @@ class JsonLines:
     def records(self, batches: Iterator[pa.RecordBatch]) -> Iterator[Record]:
         """Decode a task's lines."""
         for file, block, lines in split_runs(batches):
-            obj, row = self.numbers[file], offset_of(self.offsets, file, block)
+            obj, row = self.numbers[file], offset_of(self.offsets, self.cut, file, block)
             for line in lines:
                 row += 1
                 if row == 1 and line.startswith(BOM):

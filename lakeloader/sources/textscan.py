@@ -4,6 +4,10 @@ Spark's text source reads objects in splits. Rows of one split arrive in order
 in one task. A row's number in its object is therefore the number of rows in
 the earlier splits plus its place in its own split. Only objects that are
 larger than one split need the first part, from a counting pass in the JVM.
+
+Spark derives the size of splits from the total size of a scan's files. So the
+objects that are cut are scanned apart from the others, and every pass over them
+scans the same list: it is cut at the same places.
 """
 
 from __future__ import annotations
@@ -58,13 +62,38 @@ def _bytes_setting(spark: SparkSession, name: str) -> int:
     return int(number) * _UNITS[unit]
 
 
-def may_split(spark: SparkSession, objects: list[ScanObject]) -> list[ScanObject]:
-    """The objects Spark may read in more than one split."""
+def _split_bytes(spark: SparkSession, objects: list[ScanObject]) -> int:
+    """The size of splits in a scan of exactly these objects."""
     open_cost = _bytes_setting(spark, "spark.sql.files.openCostInBytes")
     largest = _bytes_setting(spark, "spark.sql.files.maxPartitionBytes")
     share = sum(item.size + open_cost for item in objects) // int(spark.conf.get(SPLIT_SHARE))
-    floor = min(largest, max(open_cost, share))
-    return [item for item in objects if item.size > floor and not item.compressed]
+    return min(largest, max(open_cost, share))
+
+
+def cut_and_whole(spark: SparkSession, objects: list[ScanObject]) -> tuple[list[ScanObject], list[ScanObject]]:
+    """Objects that may be read in several splits, and objects that a scan of just them reads whole.
+
+    Without the larger ones a scan has smaller splits, which may cut others.
+    """
+    cut: list[ScanObject] = []
+    whole = list(objects)
+    while whole:
+        size = _split_bytes(spark, whole)
+        larger = [item for item in whole if item.size > size and not item.compressed]
+        if not larger:
+            break
+        cut += larger
+        whole = [item for item in whole if item.size <= size or item.compressed]
+    return cut, whole
+
+
+def scan_parts(spark: SparkSession, parts: tuple[list[ScanObject], ...], line_sep: str | None) -> DataFrame:
+    """The lines of all parts, each of them a scan of its own."""
+    scans = [text_scan(spark, part, line_sep) for part in parts if part]
+    whole = scans[0]
+    for more in scans[1:]:
+        whole = whole.unionAll(more)
+    return whole
 
 
 # What the row readers skip: a line with nothing but white space, also after a
@@ -120,11 +149,11 @@ def split_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, It
         yield file, block, itertools.chain.from_iterable(values.to_pylist() for values in chunks)
 
 
-def offset_of(offsets: dict[tuple[str, int], int], file: str, block: int) -> int:
-    """The offset of a split. A split that was never counted is an error."""
+def offset_of(offsets: dict[tuple[str, int], int], cut: set[str], file: str, block: int) -> int:
+    """The offset of a split. A split of a cut object that was never counted is an error."""
     found = offsets.get((file, block))
     if found is None:
-        if block:
+        if block or file in cut:
             raise RuntimeError(f"{file}: the split at byte {block} was not counted")
         return 0
     return found
