@@ -45,7 +45,7 @@ INTERNAL = (OBJ, ROW, POS, NOTES, ERROR)
 _MANIFEST = ("key", "path", "last_modified", "size", "etag", "kind", "extension", "compressed")
 
 
-def _location(path: str) -> str:
+def location_of(path: str) -> str:
     """A path without its scheme's spelling, to match `file:/x` and `file:///x`."""
     return re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:/*|^/+", "", path)
 
@@ -68,7 +68,8 @@ class Batch:
 
         Gives the file names as Spark spells them, and today's versions. An
         object whose size or storage time differs from the listing has changed,
-        which is an error, or leaves it out if `skip_changed` is set.
+        which is an error, or leaves it out if `skip_changed` is set; `changed`
+        then tells which, the first one in read order first.
         """
         spark = manifest.sparkSession
         columns = [*_MANIFEST, *(n for n in ("readers", "stored_at") if n in manifest.columns)]
@@ -78,7 +79,7 @@ class Batch:
         found = _look(spark, [row.path for row in rows])
         objects, modified, versions, readers, changed = [], {}, {}, {}, {}
         for number, row in enumerate(rows):
-            seen = found.get(_location(row.path)) or found.get(_location(unquote(row.path)))
+            seen = found.get(location_of(row.path)) or found.get(location_of(unquote(row.path)))
             stored_at = row.stored_at if "stored_at" in columns else None
             if seen is None or seen[3] != row.size or stored_at not in (None, seen[2]):
                 changed[row.key] = f"{row.key} changed during the sync"
@@ -118,13 +119,16 @@ class Batch:
         for row in heads(frame, sample_rows).collect():
             self.heads[row.obj] = row.asDict()
 
+    def overwritten(self) -> list[ScanObject]:
+        """The objects that were overwritten since the batch was collected, in read order."""
+        found = _look(self.spark, [item.path for item in self.objects])
+        seen = {item.obj: found.get(location_of(item.path)) for item in self.objects}
+        return [x for x in self.objects if seen[x.obj] is None or seen[x.obj][2:] != self.versions[x.obj]]
+
     def check_versions(self) -> None:
         """Fail if an object was overwritten since the batch was collected."""
-        found = _look(self.spark, [item.path for item in self.objects])
-        for item in self.objects:
-            seen = found.get(_location(item.path))
-            if seen is None or seen[2:] != self.versions[item.obj]:
-                raise ObjectChanged(f"{item.key} changed during the sync")
+        for item in self.overwritten():
+            raise ObjectChanged(f"{item.key} changed during the sync")
 
     def of(self, *kinds: str) -> list[ScanObject]:
         return [item for item in self.objects if item.kind in kinds]
@@ -147,7 +151,7 @@ def _look(spark: SparkSession, paths: list[str]) -> dict[str, tuple]:
     rows = found.select(
         place.getField("file_path").alias("file"), "path", "modificationTime", "length"
     ).collect()
-    return {_location(row.path): tuple(row) for row in rows}
+    return {location_of(row.path): tuple(row) for row in rows}
 
 
 def batch_errors(batch: Batch) -> list[tuple[int, str]]:

@@ -9,17 +9,20 @@ driver never holds more than one batch's object list.
 from __future__ import annotations
 
 import datetime
+import re
+import time
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloader.model import JSONL, KEY, LAST_MODIFIED, LIMITED_MAX_OBJECTS, LoadError
+from lakeloader.model import JSONL, KEY, LAST_MODIFIED, LIMITED_MAX_OBJECTS, LoadError, ObjectChanged
 from lakeloader.operators import incremental as inc
 from lakeloader.plans.catalog import Catalog, Group, Stream
-from lakeloader.plans.read import ERROR, NOTES, OBJ, POS, ROW, Batch, GroupRows, read_order, schema_notes
+from lakeloader.plans.read import ERROR, NOTES, OBJ, POS, ROW, Batch, GroupRows, location_of, read_order, schema_notes
 from lakeloader.plans.state import Sink
 from lakeloader.session import local_frame, prepare, written
 from lakeloader.sources.jsonl import physical_line
@@ -39,6 +42,8 @@ class Settings:
     limits: dict[str, int] = field(default_factory=dict)
     checkpoint_objects: int = 10_000
     checkpoint_bytes: int = 1 << 40
+    # A batch that ends so long after the last commit is committed at once.
+    checkpoint_seconds: float = 300
     # False when a listing holds only some of the objects, such as new ones.
     whole_listing: bool = True
 
@@ -145,6 +150,10 @@ class _Failure:
     key: str
     time: datetime.datetime
     message: str
+    changed: bool = False
+
+    def error(self) -> LoadError:
+        return (ObjectChanged if self.changed else LoadError)(self.message)
 
 
 class _Run:
@@ -161,7 +170,8 @@ class _Run:
         self.runs: list[tuple[str, str]] = []
         self.batches: list[tuple[str, int]] = []
         self.complete: set[str] = set()
-        self.waiting = 0
+        self.waiting = self.waiting_bytes = 0
+        self.committed_at = time.monotonic()
         self.times: list[tuple[datetime.datetime, datetime.datetime]] = []
         self.window: DataFrame | None = None
 
@@ -184,14 +194,14 @@ class _Run:
             inc.refresh_window(window, self.manifest, members, settings.whole_listing), "window"
         )
         sizes: dict[str, list[tuple]] = {}
-        times = [F.min("last_modified"), F.max("last_modified")]
+        times = [F.sum("size"), F.min("last_modified"), F.max("last_modified")]
         for stream, *batch in self.plan.groupBy("stream", "batch").agg(F.count("*"), *times).collect():
             sizes.setdefault(stream, []).append(tuple(batch))
         for group in self.groups:
             if self._limited(group) == {stream.name for stream in group.active().values()}:
                 self._sample(group)
                 continue
-            for number, count, first, last in sorted(sizes.get(group.root, ())):
+            for number, count, size, first, last in sorted(sizes.get(group.root, ())):
                 self.times.append((first, last))
                 part = self.plan.where((F.col("stream") == group.root) & (F.col("batch") == number))
                 runs, failure = self._load(group, part)
@@ -199,10 +209,12 @@ class _Run:
                 if failure is not None:
                     before = inc.before_failure(part, F.lit(failure.time), F.lit(failure.key))
                     self._commit(before, group)
-                    raise LoadError(failure.message)
+                    raise failure.error()
                 self.batches.append((group.root, number))
                 self.waiting += count
-                if self.waiting >= settings.checkpoint_objects:
+                self.waiting_bytes += size
+                full = self.waiting >= settings.checkpoint_objects or self.waiting_bytes >= settings.checkpoint_bytes
+                if full or time.monotonic() - self.committed_at >= settings.checkpoint_seconds:
                     self._commit()
             self.complete.add(group.root)
         self._commit()
@@ -247,28 +259,35 @@ class _Run:
         if rows or self.runs:
             self.sink.commit(bookmarks, window, self.runs)
             self.result.commits += 1
-        self.runs, self.batches, self.complete, self.waiting, self.times = [], [], set(), 0, []
+        self.runs, self.batches, self.complete, self.times = [], [], set(), []
+        self.waiting = self.waiting_bytes = 0
+        self.committed_at = time.monotonic()
 
     def _sample(self, group: Group) -> None:
         """A sample read: at most 20 objects, and no more than the limits need.
 
-        The state stays as it is, because a limit can drop rows.
+        The state stays as it is, because a limit can drop rows. An object that
+        fails counts only if the ones before it leave a limit open.
         """
         objects = self.plan.where(F.col("stream") == group.root)
         first = objects.orderBy("last_modified", "key").limit(LIMITED_MAX_OBJECTS)
         rows = sorted(first.collect(), key=lambda row: (row.last_modified, row.key))
         names = [stream.name for stream in group.active().values()]
         taken = 0
+
+        def full() -> bool:
+            return all(self.given[name] >= self.settings.limits[name] for name in names)
+
         for size in (1, 4, LIMITED_MAX_OBJECTS):
-            if all(self.given[name] >= self.settings.limits[name] for name in names) or taken >= len(rows):
+            if full() or taken >= len(rows):
                 return
             some = local_frame(self.spark, rows[taken : taken + size], first.schema)
             taken += size
             runs, failure = self._load(group, some)
             self.runs += runs
-            if failure is not None:
+            if failure is not None and not full():
                 self._commit()
-                raise LoadError(failure.message)
+                raise failure.error()
 
     def _load(self, group: Group, part: DataFrame) -> tuple[list[tuple[str, str]], _Failure | None]:
         """Write the rows of a batch. Gives its run folders, and the first failure.
@@ -276,22 +295,37 @@ class _Run:
         After a failure the rows of the objects before it are kept, and nothing
         of the others.
         """
-        batch = Batch.collect(part)
-        self.result.objects_read += len(batch.objects)
+        batch = Batch.collect(part, skip_changed=True)
         failure: _Failure | None = None
+        for key, message in batch.changed.items():
+            failure = self._changed_before(part, key, message)
+            batch = batch.subset({x.obj for x in batch.objects if (batch.modified[x.obj], x.key) < (failure.time, key)})
+            break
+        self.result.objects_read += len(batch.objects)
         while batch.objects:
+            given = dict(self.given)
             try:
                 runs, worse = self._write(batch, group)
-            except PySparkException as err:
+            except (PySparkException, Py4JJavaError) as err:
                 runs, worse = [], _unreadable(batch, err)
             if worse is None:
-                batch.check_versions()
-                return runs, failure
+                overwritten = batch.overwritten()
+                if not overwritten:
+                    return runs, failure
+                first = overwritten[0]
+                message = f"{first.key} changed during the sync"
+                worse = _Failure(first.obj, first.key, batch.modified[first.obj], message, changed=True)
+                self.given = given
             # Look again at the objects before it: one of them may fail, too.
             failure = worse
             batch = batch.subset(set(range(worse.obj)))
         return [], failure
 
+    def _changed_before(self, part: DataFrame, key: str, message: str) -> _Failure:
+        """The failure of an object that had changed before its batch was read."""
+        row = part.where(F.col("key") == key).select("last_modified").first()
+        return _Failure(-1, key, row.last_modified, message, changed=True)
+
     def _write(self, batch: Batch, group: Group) -> tuple[list[tuple[str, str]], _Failure | None]:
         active = group.active()
         rows = GroupRows(batch, group, active, stage=True)
@@ -343,11 +377,17 @@ class _Run:
         notes.setdefault(stream, set()).add(text)
 
 
-def _unreadable(batch: Batch, err: PySparkException) -> _Failure:
+# Fixed text: how Spark names the file of a failed read.
+_FAILED_FILE = re.compile(r"while reading file (.+?)\.\s+(?:SQLSTATE|Details)", re.S)
+
+
+def _unreadable(batch: Batch, err: Exception) -> _Failure:
     """The object a failed read is about, if the error names one of the batch."""
     text = str(err)
+    named = {location_of(path) for path in _FAILED_FILE.findall(text)}
     for item in batch.objects:
-        if any(name in text for name in (item.file, unquote(item.file), item.path)):
-            message = f"could not read {item.key}: {text.splitlines()[0]}"
+        if named & {location_of(path) for path in (item.file, unquote(item.file), item.path)}:
+            reason = re.findall(r"Caused by: (.+)", text)
+            message = f"could not read {item.key}: {reason[-1] if reason else text.splitlines()[0]}"
             return _Failure(item.obj, item.key, batch.modified[item.obj], message)
     raise err
