@@ -94,47 +94,62 @@ def _top_name(key: str, child: bool) -> str:
     return name
 
 
-def _open_row(record: dict, level: int, child: bool):
-    """A row's own columns, its lists of objects, containers and renamed keys."""
-    values: dict[str, Any] = {}
-    lists: list[tuple[Path, list]] = []
-    containers: set[str] = set()
-    renamed: list[str] = []
-    known = _TOP_NAMES[child]
-    for key, value in record.items():
-        if type(value) in _SCALARS:
-            name = known.get(key) or _top_name(key, child)
-            values[name] = value
-            if name != key:
-                renamed.append(f"{key} to {name}")
+class _Row:
+    """What a record holds itself: columns, lists of objects, containers and renamed keys."""
+
+    def __init__(self, level: int, child: bool):
+        self.level, self.child = level, child
+        self.values: dict[str, Any] = {}
+        self.lists: list[tuple[Path, list]] = []
+        self.containers: set[str] = set()
+        self.renamed: list[str] = []
+
+    def put(self, key: str, name: str, value: Any, top: bool) -> None:
+        self.values[name] = value
+        if top and name != key:
+            self.renamed.append(f"{key} to {name}")
+
+    def inner(self, path: Path, value: Any) -> dict:
+        """Take a nested value. Gives what of it is still to be opened."""
+        name = column_name(path, self.child)
+        may_open = self.level + len(path) < MAX_DEPTH
+        items = None if isinstance(value, dict) else [item for item in value if item is not None]
+        if items is None:
+            self.containers.add(name)
+            if may_open:
+                return value
+        elif not items:
+            return {}
+        elif may_open and {type(item) for item in items} == {dict}:
+            self.containers.add(name)
+            self.lists.append((path, value))
+            return {}
+        # Too deep, or a list of other things: one column with all of it as text.
+        self.put(path[0], name, dump(value), len(path) == 1)
+        return {}
+
+
+def _open_row(record: dict, level: int, child: bool) -> _Row:
+    """Open a record and the objects in it, keeping the order of their keys."""
+    row, known = _Row(level, child), _TOP_NAMES[child]
+    waiting: list[tuple[Path, Iterator[tuple[Any, Any]]]] = [((), iter(record.items()))]
+    while waiting:
+        path, members = waiting[-1]
+        for key, value in members:
+            if type(value) in _SCALARS:
+                name = column_name((*path, str(key)), child) if path else known.get(key) or _top_name(key, child)
+                row.put(key, name, value, not path)
+            elif isinstance(value, (dict, list, tuple)):
+                here = (*path, str(key))
+                below = row.inner(here, value)
+                if below:
+                    waiting.append((here, iter(below.items())))
+                    break
+            else:
+                row.put(str(key), column_name((*path, str(key)), child), value, not path)
         else:
-            _open_value((str(key),), value, level, child, values, lists, containers, renamed)
-    return values, lists, containers, renamed
-
-
-def _open_value(path, value, level, child, values, lists, containers, renamed) -> None:
-    """Put a value that may be an object or a list where it belongs."""
-    name = column_name(path, child)
-    capped = level + len(path) >= MAX_DEPTH
-    if isinstance(value, dict):
-        containers.add(name)
-        if not capped:
-            for key, item in value.items():
-                _open_value(path + (str(key),), item, level, child, values, lists, containers, renamed)
-            return
-        value = dump(value)
-    elif isinstance(value, (list, tuple)):
-        filled = [item for item in value if item is not None]
-        if not filled:
-            return
-        if not capped and all(isinstance(item, dict) for item in filled):
-            containers.add(name)
-            lists.append((path, value))
-            return
-        value = dump(value)
-    values[name] = value
-    if len(path) == 1 and name != path[0]:
-        renamed.append(f"{path[0]} to {name}")
+            waiting.pop()
+    return row
 
 
 def parts(record: dict, row: int) -> Iterator[Part]:
@@ -146,11 +161,11 @@ def parts(record: dict, row: int) -> Iterator[Part]:
             stack.pop()
             continue
         lineage, item, level, above, parent, index, suffix, position = step
-        values, lists, containers, renamed = _open_row(item, level, bool(lineage))
-        values.update(above)
-        yield Part(lineage, values, containers, renamed, parent, index, suffix, position)
-        if lists:
-            stack.append(_items(lineage, item, level, suffix, position, lists))
+        own = _open_row(item, level, bool(lineage))
+        own.values.update(above)
+        yield Part(lineage, own.values, own.containers, own.renamed, parent, index, suffix, position)
+        if own.lists:
+            stack.append(_items(lineage, item, level, suffix, position, own.lists))
 
 
 def _items(lineage, item, level, suffix, position, lists):

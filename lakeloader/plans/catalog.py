@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from lakeloader.functions import kinds as K
-from lakeloader.functions.names import Lineage, Path, child_stream_name
+from lakeloader.functions.names import Lineage, NameBook, Path, child_stream_name
 from lakeloader.model import (
     CHILD_KEYS,
     CHILD_METADATA,
@@ -263,19 +263,21 @@ class PlannedChild:
 def plan_child_names(
     children: Iterable[tuple[str, Lineage]], file_streams: Iterable[str]
 ) -> Iterator[PlannedChild]:
-    """Name child streams. File streams keep their names; a clash gets `_2`, `_3`.
+    """Name child streams, one level of nesting after the other.
 
-    Parents come first, so a child's name builds on its parent's final name.
+    A name is made of the parent stream's own, final one. Names of file streams and
+    of levels above are taken.
     """
-    taken = set(file_streams)
-    names: dict[tuple[str, Lineage], str] = {}
-    for root, lineage in sorted(children, key=lambda item: (len(item[1]), item[0], item[1])):
-        parent = names.get((root, lineage[:-1]), root)
-        natural = name = child_stream_name(parent, lineage[-1])
-        suffix = 1
-        while name in taken:
-            suffix += 1
-            name = f"{natural}_{suffix}"
-        taken.add(name)
-        names[root, lineage] = name
-        yield PlannedChild(name, natural, parent, root, lineage)
+    book = NameBook(file_streams)
+    levels: dict[int, list[tuple[str, Lineage]]] = {}
+    for root, lineage in children:
+        levels.setdefault(len(lineage), []).append((root, lineage))
+    above: dict[tuple[str, Lineage], str] = {}
+    for depth in sorted(levels):
+        level = {}
+        for root, lineage in sorted(levels[depth]):
+            parent = above.get((root, lineage[:-1]), root)
+            natural = child_stream_name(parent, lineage[-1])
+            level[root, lineage] = book.claim(natural)
+            yield PlannedChild(level[root, lineage], natural, parent, root, lineage)
+        above = level

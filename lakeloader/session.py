@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import pathlib
 import posixpath
+import re
 import tempfile
 import uuid
 import zipfile
@@ -63,10 +64,12 @@ def _ship_package(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: the session's `spark.checkpoint.dir`.
 
-    Only a session that names none (a local test) gets a temporary folder.
+    Only a local session that names none (a test) gets a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         folder = tempfile.mkdtemp(prefix="lakeloader-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

@@ -300,21 +300,23 @@ class Walk:
 
 
 def record_field(fields: list[Field]) -> int | None:
-    """The field that holds the records. None when its array is empty.
+    """The number of the field that holds the records; None if it holds no item.
 
-    Only an array whose every item is an object counts. One such array must
-    be filled, or there must be exactly one empty one.
+    Candidates are arrays without an item that is no object. Empty ones matter only
+    if none has items, and then there has to be just one.
     """
-    arrays = [item for item in fields if item.opened == "[" and not item.others]
-    filled = [item for item in arrays if item.objects]
-    if len(filled) > 1:
-        names = [item.name for item in filled]
-        raise DocumentError(f"the JSON object has more than one array of objects: {names}")
-    if filled:
-        return filled[0].number
-    if len(arrays) == 1:
-        return None
-    raise DocumentError("the JSON object has no single field that holds an array of objects")
+    fullest_first = sorted(
+        (item for item in fields if item.opened == "[" and item.others == 0), key=lambda item: -item.objects
+    )
+    match [item.objects > 0 for item in fullest_first[:2]]:
+        case [True, True]:
+            rivals = ", ".join(sorted(str(item.name) for item in fullest_first if item.objects))
+            raise DocumentError(f"several fields of the document hold records: {rivals}")
+        case [True, *_]:
+            return fullest_first[0].number
+        case [False]:
+            return None
+    raise DocumentError("it can't be told which field of the document holds records")
 
 
 _SUMS = "file string, block bigint, bytes bigint, first string, out_string boolean, out_depth int, in_string boolean, in_depth int"
