@@ -11,12 +11,12 @@ so a segment can only meet segments of its own minimizer's shard:
 3. the first ones of minimizers with several different segments go to shards. Each
    shard builds an FM-index and searches its segments' windows backward in it; a
    window with an earlier occurrence is reported;
-4. a minimizer with more than `HOT_SEGMENTS` different segments would make its shard
-   grow without bound. Its windows are dealt by their own hash instead, and all but
-   the first of equal ones are repeats.
+4. a minimizer whose different segments have more words than a shard would make its
+   shard grow without bound. Its windows are dealt by their own hash instead, and all
+   but the first of equal ones are repeats.
 
 The reported intervals meet the texts once more, by document. Steps are written to
-the shared folder, and each step's shuffle files may go before the next.
+the shared folder and deleted after their last use.
 
 Defined results: null text has no words; rows that share id and text count as one
 document, rows that share only the id are ordered by a hash of their text; a null id
@@ -39,13 +39,12 @@ from pyspark.sql import functions as F
 
 from lakeloader.llm.base import column, in_tasks, mix, slices, unused
 from lakeloader.llm.fm_index import FmIndex
-from lakeloader.session import written
+from lakeloader.session import fresh_folder
 
 WINDOW = 20
 SHINGLE = 5
-#: Words in one shard's index, on average.
+#: Words in one shard's index on average, and words of one minimizer at most.
 SHARD_WORDS = 250_000
-HOT_SEGMENTS = 1000
 NO_ID = -(1 << 63)
 _TABLE_WORDS = 500_000
 _FACTORS = (np.random.default_rng(20).integers(1, 1 << 62, WINDOW, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -136,14 +135,25 @@ def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
-def _step(frame: DataFrame, label: str) -> DataFrame:
-    """Write a step; what it shuffled can go at once, not when the driver's memory fills."""
-    done = written(frame, label)
-    spark: SparkSession = frame.sparkSession
-    del frame
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return done
+class _Steps:
+    """Written steps of one run, which are deleted after their last use."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, {}
+
+    def write(self, frame: DataFrame, label: str) -> DataFrame:
+        folder = fresh_folder(self.spark, label)
+        frame.write.parquet(folder)
+        self.folders[label] = folder
+        return self.spark.read.schema(frame.schema).parquet(folder)
+
+    def delete(self, *labels: str) -> None:
+        """Delete steps, and let shuffle files go now, not when the driver's memory fills."""
+        for label in labels:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folders.pop(label))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        self.spark._jvm.System.gc()
 
 
 def _minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,13 +165,17 @@ def _minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _each(batches, work, _schema("mini long, id long, variant long, start int"))
 
 
-def _survivors(keyed: DataFrame) -> DataFrame:
+def _survivors(keyed: DataFrame, steps: _Steps) -> DataFrame:
     """The texts with the starts of segments whose minimizer occurs more than once."""
-    found = _step(in_tasks(keyed, _minimizers, "mini long, id long, variant long, start int"), "minimizers")
-    often = found.groupBy("mini").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mini")
+    found = steps.write(in_tasks(keyed, _minimizers, "mini long, id long, variant long, start int"), "minimizers")
+    # A written side lets Spark split the other one where a minimizer is very common.
+    often = steps.write(found.groupBy("mini").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mini"), "often")
     starts = found.join(often, "mini", "left_semi").groupBy("id", "variant").agg(F.collect_set("start").alias("starts"))
-    starts = _step(starts, "repeated-minimizers")
-    return _step(keyed.join(starts, ["id", "variant"]), "candidates")
+    starts = steps.write(starts, "starts")
+    steps.delete("minimizers", "often")
+    candidates = steps.write(keyed.join(starts, ["id", "variant"]), "candidates")
+    steps.delete("starts")
+    return candidates
 
 
 def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,11 +194,11 @@ def _position() -> F.Column:
     return F.struct("id", "variant", "start")
 
 
-def _repeated_segments(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _repeated_segments(candidates: DataFrame, steps: _Steps) -> tuple[DataFrame, DataFrame]:
     """Intervals of segments that are copies, and the first segments that must be searched."""
     rows = in_tasks(candidates.select("id", "variant", "text", "starts"), _segment_rows, "mini long, content long, " + SEGMENT)
-    rows = _step(rows, "segments")
-    groups = _step(
+    rows = steps.write(rows, "segments")
+    groups = steps.write(
         rows.groupBy("mini", "content").agg(
             F.min(_position()).alias("first"), F.first("windows").alias("windows"), F.count(F.lit(1)).alias("n")
         ),
@@ -192,9 +206,14 @@ def _repeated_segments(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     copies = rows.join(groups.where("n > 1").select("mini", "content", "first"), ["mini", "content"])
     copies = copies.where(_position() > F.col("first")).select("id", "variant", "start", "windows").distinct()
-    kinds = groups.groupBy("mini").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    searched = groups.join(kinds, "mini").select("mini", "first.*", "windows", (F.col("kinds") > HOT_SEGMENTS).alias("hot"))
-    return _step(copies, "copies"), _step(searched, "searched")
+    kinds = (
+        groups.groupBy("mini").agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("windows") + WINDOW - 1).alias("words"))
+        .where("kinds > 1")
+    )
+    searched = groups.join(steps.write(kinds, "kinds"), "mini").select("mini", "first.*", "windows", (F.col("words") > SHARD_WORDS).alias("hot"))
+    found = steps.write(copies, "copies"), steps.write(searched, "searched")
+    steps.delete("segments", "segment-groups", "kinds")
+    return found
 
 
 def _with_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +282,7 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _each(batches, work, _schema("one long, two long, " + SEGMENT))
 
 
-def _searched_intervals(candidates: DataFrame, searched: DataFrame) -> DataFrame:
+def _searched_intervals(candidates: DataFrame, searched: DataFrame, steps: _Steps) -> DataFrame:
     total = searched.agg(F.sum(F.col("windows") + WINDOW).alias("words")).first().words or 0
     shards = max(1, -(-total // SHARD_WORDS))
     shard = F.when(F.col("hot"), F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64("mini"), F.lit(shards)))
@@ -271,7 +290,8 @@ def _searched_intervals(candidates: DataFrame, searched: DataFrame) -> DataFrame
         searched.withColumn("shard", shard).groupBy("id", "variant")
         .agg(F.collect_list(F.struct("shard", "start", "windows")).alias("listed"))
     )
-    texts = _step(candidates.select("id", "variant", "text").join(listed, ["id", "variant"]), "searched-texts")
+    texts = steps.write(candidates.select("id", "variant", "text").join(listed, ["id", "variant"]), "searched-texts")
+    steps.delete("candidates", "searched")
     cold = texts.withColumn("listed", F.filter("listed", lambda x: x["shard"] >= 0)).where(F.size("listed") > 0)
     rows = in_tasks(cold, _with_words, "shard long, " + SEGMENT + ", words binary")
     found = rows.groupBy("shard").applyInArrow(search_shard, SEGMENT)
@@ -279,16 +299,21 @@ def _searched_intervals(candidates: DataFrame, searched: DataFrame) -> DataFrame
     windows = in_tasks(hot, _window_rows, "one long, two long, " + SEGMENT)
     firsts = windows.groupBy("one", "two").agg(F.min(_position()).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = windows.join(firsts, ["one", "two"]).where(_position() > F.col("first"))
-    return _step(found.unionAll(later.select("id", "variant", "start", "windows")), "found")
+    found = steps.write(found.unionAll(later.select("id", "variant", "start", "windows")), "found")
+    steps.delete("searched-texts")
+    return found
 
 
 def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per document (`id`, `variant`) with repeats: `spans`, runs of repeated windows as `start, windows`."""
-    candidates = _survivors(_keyed(docs, id_column, text_column))
-    copies, searched = _repeated_segments(candidates)
-    found = copies.unionAll(_searched_intervals(candidates, searched))
+    steps = _Steps(docs.sparkSession)
+    candidates = _survivors(_keyed(docs, id_column, text_column), steps)
+    copies, searched = _repeated_segments(candidates, steps)
+    found = copies.unionAll(_searched_intervals(candidates, searched, steps))
     spans = found.groupBy("id", "variant").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
-    return _step(spans, "spans")
+    spans = steps.write(spans, "spans")
+    steps.delete("copies", "found")
+    return spans
 
 
 def kept_words(words: list[bytes], spans: list[dict]) -> list[bytes]:

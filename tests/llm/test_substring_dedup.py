@@ -57,10 +57,9 @@ def test_awkward_rows(documents):
     assert rows_of(S.remove_repeats(documents)) == expected(awkward())
 
 
-@pytest.mark.parametrize("hot, shard", [(1000, 250_000), (1, 250_000), (3, 100)])
-def test_shared_passages(spark, monkeypatch, hot, shard):
-    """Also with every crowded minimizer dealt by windows, and with many small shards."""
-    monkeypatch.setattr(S, "HOT_SEGMENTS", hot)
+@pytest.mark.parametrize("shard", [250_000, 1, 100])
+def test_shared_passages(spark, monkeypatch, shard):
+    """Also with every minimizer dealt by windows, and with many small shards."""
     monkeypatch.setattr(S, "SHARD_WORDS", shard)
     rows = shared_passages(9, 150)
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
