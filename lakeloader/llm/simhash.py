@@ -177,10 +177,11 @@ def components(edges: DataFrame) -> DataFrame:
             return edges
         before = seen
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # A written side lets Spark split the edges of a node with very many.
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = written(large, "edges")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         moved = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = written(moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
 
