@@ -42,6 +42,8 @@ CALIBRATION = 0.25
 REJECT_SHARE = 0.0005
 #: No threshold above this: a rejected text fits no language.
 HIGHEST_THRESHOLD = 0.35
+#: Different hashes that pick the sample.
+HASHES = 1 << 62
 _AT_ONCE = 1 << 20
 _LETTER = re.compile(r"[^\W\d_]")
 _OTHER = re.compile(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]+")
@@ -146,20 +148,63 @@ def _calibrate(model: Model, scores: np.ndarray, labels: np.ndarray) -> None:
         model.threshold = min(reached * 0.5, HIGHEST_THRESHOLD)
 
 
+def shares(sizes: dict[str, int], most: int) -> dict[str, int]:
+    """How many documents of each language are learned from: all of a small one, and what that leaves to the larger ones."""
+    left, made = most, {}
+    for i, (language, n) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        made[language] = min(n, left // (len(sizes) - i))
+        left -= made[language]
+    return made
+
+
+def _smallest(keyed: DataFrame, sizes: dict[str, int], wanted: dict[str, int]) -> dict[tuple[str, int], int]:
+    """The rows of each language with its smallest hashes, as many as wanted: how many of each `lang, hashed`.
+
+    Only hashes below a cut of the language's own are looked at, somewhat more than
+    wanted. Where repeated rows leave fewer, the cut is raised.
+    """
+    cuts = {x: min(1.0, (1.3 * n + 40) / sizes[x]) for x, n in wanted.items() if n}
+    made: dict[tuple[str, int], int] = {}
+    while cuts:
+        found: dict[str, list[tuple[int, int]]] = {x: [] for x in cuts}
+        for row in keyed.where(F.col("hashed") < _cut(cuts)).groupBy("lang", "hashed").agg(F.count(F.lit(1)).alias("n")).collect():
+            found[row.lang].append((row.hashed, row.n))
+        raised = {}
+        for language, rows in found.items():
+            left = wanted[language]
+            if sum(n for _, n in rows) < left and cuts[language] < 1:
+                raised[language] = min(1.0, 8 * cuts[language])
+                continue
+            for hashed, n in sorted(rows):
+                if left:
+                    made[language, hashed] = min(n, left)
+                    left -= made[language, hashed]
+        cuts = raised
+    return made
+
+
+def _cut(cuts: dict[str, float]) -> Column:
+    return F.coalesce(*[F.when(F.col("lang") == x, F.lit(int(share * HASHES))) for x, share in cuts.items()])
+
+
 def sample(labelled: DataFrame, most: int = SAMPLE_DOCUMENTS) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """Features of at most `most` documents of `doc_id, text, lang`, as evenly over languages as they allow.
 
-    Which ones is settled by a hash, and only their features come to the driver.
+    Which ones is settled by a hash within each language, so that no language's share
+    depends on the others' sizes, and only their features come to the driver.
     """
     named = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
     sizes = {row.lang: row.n for row in named.collect()}
     if not sizes:
         return []
-    quota = max(1, most // len(sizes))
-    hashed = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    # A little more than the quota on average, and then the quota at most.
-    cut = F.coalesce(*[F.when(F.col("lang") == x, F.lit(int(min(1, 1.3 * quota / n) * (1 << 30)))) for x, n in sizes.items()])
-    chosen = labelled.withColumn("hashed", hashed).where(F.col("hashed") < cut)
+    keyed = labelled.withColumn("hashed", F.pmod(F.xxhash64("doc_id", "text"), F.lit(HASHES)))
+    taken = _smallest(keyed.select("lang", "hashed"), sizes, shares(sizes, most))
+    last: dict[str, int] = {}
+    for language, place in taken:
+        last[language] = max(last.get(language, 0), place + 1)
+    below = F.coalesce(*[F.when(F.col("lang") == x, F.lit(end)) for x, end in last.items()])
+    # Repeated rows have equal features, which are counted once and taken as often.
+    chosen = keyed.select("lang", "hashed", "text").where(F.col("hashed") < below).dropDuplicates(["lang", "hashed"])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -173,9 +218,12 @@ def sample(labelled: DataFrame, most: int = SAMPLE_DOCUMENTS) -> list[tuple[str,
                 ["lang", "hashed", "buckets", "counts"],
             )
 
-    rows = in_tasks(chosen.select("lang", "hashed", "text"), features, "lang string, hashed long, buckets binary, counts binary")
-    found = rows.orderBy("hashed", "lang").limit(most).collect()
-    return [(x.lang, np.frombuffer(x.buckets, "<u2"), np.frombuffer(x.counts, "<f4")) for x in found]
+    rows = in_tasks(chosen, features, "lang string, hashed long, buckets binary, counts binary").collect()
+    made = []
+    for x in sorted(rows, key=lambda x: (x.hashed, x.lang)):
+        features_of = (x.lang, np.frombuffer(x.buckets, "<u2"), np.frombuffer(x.counts, "<f4"))
+        made += [features_of] * taken.get((x.lang, x.hashed), 0)
+    return made
 
 
 def predict(docs: DataFrame, model: Model | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

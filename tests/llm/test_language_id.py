@@ -75,3 +75,16 @@ def test_probabilities_are_calibrated():
     assert 0 < model.threshold <= I.HIGHEST_THRESHOLD
     assert model.languages == ["a", "b"]
     assert I.train([]) is None
+
+
+def test_sample_keeps_rare_languages(spark):
+    """Each language keeps its share, whatever the others' sizes, and repeated rows count as rows."""
+    rows = spark.range(60_000).selectExpr(
+        "id AS doc_id", "concat('text ', id) AS text", "CASE WHEN id % 1000 = 0 THEN 'rare' WHEN id % 3 = 0 THEN 'b' ELSE 'a' END AS lang"
+    )
+    repeated = spark.range(20_000).selectExpr("cast(null AS long) AS doc_id", "concat('again ', id % 3) AS text", "'same' AS lang")
+    found = [language for language, _, _ in I.sample(rows.unionAll(repeated), 400)]
+    assert {x: found.count(x) for x in found} == {"rare": 60, "same": 113, "b": 113, "a": 114}
+    many = spark.range(360_500).selectExpr("id AS doc_id", "concat('w', id) AS text", "if(id < 500, 'small', concat('l', id % 18)) AS lang")
+    found = [language for language, _, _ in I.sample(many, 380)]
+    assert {found.count(x) for x in found} == {20} and len(set(found)) == 19
