@@ -10,8 +10,16 @@ of embeddings and weights.
 
 Defined results: null texts and texts without a letter get `und`, score 0 and are
 rejected; without labelled documents every text does; a null id is not held out;
-an empty table gives no rows. A document is rejected if its calibrated probability
-is below the threshold, which all but `REJECT_SHARE` of the right answers reach.
+an empty table gives no rows. A document is rejected for either of two reasons:
+
+- it is undecided between learned languages: the way of its calibrated probability from
+  an even answer (0) to certainty (1) is below the threshold, which all but
+  `REJECT_SHARE` of the right answers reach and which is `HIGHEST_THRESHOLD` at most;
+- it is foreign to the answer's language: its n-grams are rarer in it than those of all
+  but `REJECT_SHARE` of the right answers, by the mean of their logarithmic frequencies,
+  whose spread depends on the text's length. The softmax alone is sure of random
+  letters, too. A language with fewer than `LEAST_HELD` right answers in the held-back
+  part has no measure of its own texts, and nothing is rejected as foreign to it.
 """
 
 from __future__ import annotations
@@ -40,8 +48,12 @@ RATE = 0.5
 CALIBRATION = 0.25
 #: Of rightly labelled documents so many may be rejected.
 REJECT_SHARE = 0.0005
-#: No threshold above this: a rejected text fits no language.
+#: An answer this far from an even one is decided, however sure the right answers are.
 HIGHEST_THRESHOLD = 0.35
+#: Right answers by which a language's own texts are measured, at least.
+LEAST_HELD = 20
+#: Lowest share of them by which rarer ones are told.
+TAIL = 0.1
 #: Different hashes that pick the sample.
 HASHES = 1 << 62
 _AT_ONCE = 1 << 20
@@ -86,10 +98,20 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    #: Logarithmic frequency of each bucket in each language, and by language its mean
+    #: over a text, the variance between texts, and that of a single n-gram.
+    usual: np.ndarray | None = None
+    spread: np.ndarray | None = None
+    least_familiar: float = -np.inf
 
     def table(self) -> np.ndarray:
-        """What one n-gram of each bucket adds to the languages' scores."""
-        return np.ascontiguousarray((self.embeddings @ self.weights).astype(np.float32))
+        """What one n-gram of each bucket adds to the languages' scores, and then to their familiarity."""
+        return np.ascontiguousarray(np.hstack([self.embeddings @ self.weights, self.usual]).astype(np.float32))
+
+    def familiarity(self, means: np.ndarray, grams: np.ndarray, answers: np.ndarray) -> np.ndarray:
+        """How far texts lie from the mean of their answer's language, in deviations of texts of their length."""
+        middle, between, single = self.spread[answers].T
+        return (means - middle) / np.sqrt(between + single / np.maximum(grams, 1))
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
@@ -105,6 +127,7 @@ def train(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> M
     draw = np.random.default_rng(seed)
     number = {language: i for i, language in enumerate(languages)}
     data = [(number[x], at.astype(np.int64), (n / n.sum()).astype(np.float32)) for x, at, n in samples if n.sum() > 0]
+    lengths = np.array([n.sum() for _, _, n in samples if n.sum() > 0])
     order = draw.permutation(len(data))
     held = order[: int(len(data) * CALIBRATION)]
     fitted = order[len(held) :]
@@ -126,15 +149,28 @@ def train(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> M
             # The buckets of one text are distinct. The shares are small, so their
             # step is scaled by the number of buckets.
             embeddings[at] -= (rate * len(at)) * share[:, None] * back
-    model = Model(languages, embeddings, weights, bias)
+    seen = np.full((BUCKETS, len(languages)), 0.5)
+    for which in fitted:
+        label, at, share = data[which]
+        seen[at, label] += share * lengths[which]
+    usual = np.log(seen / seen.sum(axis=0) * BUCKETS)
+    model = Model(languages, embeddings, weights, bias, usual=usual, spread=np.tile([0.0, np.inf, 0.0], (len(languages), 1)))
     if len(held):
         scores = np.array([data[i][2] @ embeddings[data[i][1]] for i in held]) @ weights + bias
-        _calibrate(model, scores, np.array([data[i][0] for i in held]))
+        labels = np.array([data[i][0] for i in held])
+        right = _calibrate(model, scores, labels)
+        _measure(model, [(*data[i], lengths[i]) for i in held[right]])
     return model
 
 
-def _calibrate(model: Model, scores: np.ndarray, labels: np.ndarray) -> None:
-    """The temperature with the least log loss, and the threshold nearly all right answers reach."""
+def _decided(sure: np.ndarray) -> np.ndarray:
+    """Where the best answer lies between an even one, 0, and certainty, 1."""
+    even = 1 / sure.shape[-1]
+    return (sure.max(axis=-1) - even) / (1 - even) if even < 1 else np.ones(sure.shape[:-1])
+
+
+def _calibrate(model: Model, scores: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """The temperature with the least log loss, and the threshold nearly all right answers reach; which are right."""
     rows = np.arange(len(labels))
 
     def loss(temperature: float) -> float:
@@ -144,8 +180,34 @@ def _calibrate(model: Model, scores: np.ndarray, labels: np.ndarray) -> None:
     sure = _softmax(scores / model.temperature)
     right = sure.argmax(axis=1) == labels
     if right.any():
-        reached = float(np.quantile(sure[rows, labels][right], REJECT_SHARE))
-        model.threshold = min(reached * 0.5, HIGHEST_THRESHOLD)
+        model.threshold = min(float(np.quantile(_decided(sure)[right], REJECT_SHARE)), HIGHEST_THRESHOLD)
+    return right
+
+
+def _measure(model: Model, held: list[tuple[int, np.ndarray, np.ndarray, float]]) -> None:
+    """How familiar the texts of each language are, by `(label, buckets, shares, n-grams)` of right answers."""
+    labels, grams = np.array([x[0] for x in held], np.int64), np.array([x[3] for x in held])
+    means = np.array([share @ model.usual[at, label] for label, at, share, _ in held])
+    squares = np.array([share @ model.usual[at, label] ** 2 for label, at, share, _ in held])
+    measured = np.zeros(len(held), bool)
+    for label in range(len(model.languages)):
+        of = labels == label
+        if of.sum() < LEAST_HELD:
+            continue
+        measured |= of
+        single = float(np.mean(squares[of] - means[of] ** 2))
+        middle = float(np.median(means[of]))
+        between = float(np.mean((means[of] - middle) ** 2 - single / grams[of]))
+        model.spread[label] = middle, max(between, 1e-3), single
+    if measured.any():
+        model.least_familiar = _low(model.familiarity(means, grams, labels)[measured], REJECT_SHARE)
+
+
+def _low(values: np.ndarray, share: float) -> float:
+    """A quantile that may lie beyond a small sample: the lowest `TAIL` of it is carried on as an exponential tail."""
+    edge = float(np.quantile(values, TAIL))
+    beyond = edge - values[values <= edge]
+    return min(float(np.quantile(values, share)), edge - float(beyond.mean()) * float(np.log(TAIL / share)))
 
 
 def shares(sizes: dict[str, int], most: int) -> dict[str, int]:
@@ -253,7 +315,7 @@ class Scorer:
 
     def __call__(self, text: str) -> tuple[str, float, bool]:
         data, model = normal(text), self.model
-        total, seen = np.zeros(len(model.languages)), 0
+        total, seen = np.zeros(self.table.shape[1]), 0
         for at in range(0, len(data), _AT_ONCE):
             part = data[at : at + _AT_ONCE + max(ORDERS) - 1]
             if at and len(part) < max(ORDERS):
@@ -264,9 +326,11 @@ class Scorer:
             else:
                 total += self.table[found].sum(axis=0, dtype=np.float64)
             seen += len(found)
-        sure = _softmax((total / max(seen, 1) + model.bias) / model.temperature)
+        means, known = total / max(seen, 1), len(model.languages)
+        sure = _softmax((means[:known] + model.bias) / model.temperature)
         best = int(sure.argmax())
-        return model.languages[best], float(sure[best]), bool(sure[best] < model.threshold)
+        familiar = model.familiarity(means[known + best], np.float64(seen), best)
+        return model.languages[best], float(sure[best]), bool(_decided(sure) < model.threshold or familiar < model.least_familiar)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -1,8 +1,11 @@
 """Language identification: held-out accuracy, rejection and its rules."""
 
+import random
 import zlib
 
+import duckdb
 import numpy as np
+import pytest
 
 from lakeloader.llm import language_id as I
 from llm_cases import awkward
@@ -88,3 +91,23 @@ def test_sample_keeps_rare_languages(spark):
     many = spark.range(360_500).selectExpr("id AS doc_id", "concat('w', id) AS text", "if(id < 500, 'small', concat('l', id % 18)) AS lang")
     found = [language for language, _, _ in I.sample(many, 380)]
     assert {found.count(x) for x in found} == {20} and len(set(found)) == 19
+
+
+@pytest.mark.parametrize("left_out", [("de",), ("de", "es")])
+def test_text_of_no_learned_language_goes(left_out):
+    """Three languages or two: other languages and random letters are rejected, clean held-out documents stay."""
+    rows = duckdb.sql(f"SELECT doc_id, text, lang FROM '{TABLES}/documents.parquet' WHERE text IS NOT NULL").fetchall()
+    rows = [(zlib.crc32(str(doc_id).encode()) % 4 == 2, text, lang) for doc_id, text, lang in rows if I._LETTER.search(text)]
+    samples = []
+    for held, text, lang in rows:
+        if not held and lang not in left_out:
+            found = I.counts(text)
+            samples.append((lang, np.flatnonzero(found).astype("<u2"), found[found > 0].astype("<f4")))
+    scorer = I.Scorer(I.train(samples))
+    clean = [scorer(text)[2] for held, text, lang in rows if held and lang not in left_out]
+    foreign = [scorer(text)[2] for held, text, lang in rows if held and lang in left_out]
+    draw = random.Random(3)
+    letters = [scorer("".join(draw.choices("abcdefghijklmnopqrstuvwxyz    ", k=k)))[2] for k in (100, 1000) for _ in range(100)]
+    assert sum(clean) <= 0.02 * len(clean)
+    assert sum(foreign) >= 0.9 * len(foreign) and sum(letters) >= 0.95 * len(letters)
+    assert scorer("русский текст о погоде и людях которые живут у моря")[2]
