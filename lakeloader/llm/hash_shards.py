@@ -8,7 +8,8 @@ large go on with more bits in another round.
 Equal keys can't be told apart by their bits: past the last of them the bits of a
 row's own place go on. Defined results: null text has no bytes; a null key counts
 as empty text; a single row over the limit is a shard of its own; an empty table
-gives no rows.
+gives no rows. `shard_documents` puts each row, repeated ones and null ids included,
+into one shard once: a row's columns go along with its bits, never by a join of ids.
 """
 
 from __future__ import annotations
@@ -36,7 +37,14 @@ def hash_bits(key: Column) -> Column:
 
 def assign(docs: DataFrame, max_bytes: int = SHARD_BYTES, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of `docs`: `doc_id, bytes, shard` (its bits), `depth, shard_bytes, shard_docs`."""
+    placed = _placed(docs, max_bytes, id_column, text_column)
+    return placed.select("doc_id", "bytes", "shard", F.length("shard").alias("depth"), "shard_bytes", "shard_docs")
+
+
+def _placed(docs: DataFrame, max_bytes: int, id_column: str, text_column: str, *carried: Column) -> DataFrame:
+    """Rows with their shards; carried columns are written beside the bits."""
     rows = docs.select(
+        *carried,
         column(id_column).cast("long").alias("doc_id"),
         F.coalesce(F.octet_length(column(text_column).cast("string")), F.lit(0)).cast("long").alias("bytes"),
         F.monotonically_increasing_id().alias("row"),
@@ -46,7 +54,7 @@ def assign(docs: DataFrame, max_bytes: int = SHARD_BYTES, id_column: str = "doc_
     rows = written(rows.withColumn("bits", bits), "hash-bits")
     total = rows.agg(F.sum("bytes")).first()[0] or 0
     depth = min(max(math.ceil(math.log2(max(total, 1) / max_bytes)), 0) + FINER, 2 * KEY_BITS)
-    known, pending, above = [], rows, 0
+    known, pending, above = [], rows.select("bits", "bytes"), 0
     while True:
         cells = written(_cells(pending, above, depth, max_bytes, last=depth == 2 * KEY_BITS), "cells")
         known.append(cells.where("shard IS NOT NULL").select(F.lit(depth).alias("cell_depth"), "cell", "shard", "shard_bytes", "shard_docs"))
@@ -63,8 +71,7 @@ def assign(docs: DataFrame, max_bytes: int = SHARD_BYTES, id_column: str = "doc_
     depths = [x.cell_depth for x in shards.select("cell_depth").distinct().collect()]
     # A cell lies in one round's table only, so each row meets one shard.
     cells_of = F.explode(F.array(*[F.substring("bits", 1, x) for x in depths])) if depths else F.lit("")
-    placed = rows.withColumn("cell", cells_of).join(shards.drop("cell_depth"), "cell")
-    return placed.select("doc_id", "bytes", "shard", F.length("shard").alias("depth"), "shard_bytes", "shard_docs")
+    return rows.withColumn("cell", cells_of).join(shards.drop("cell_depth"), "cell")
 
 
 def _cells(rows: DataFrame, above: int, depth: int, max_bytes: int, last: bool) -> DataFrame:
@@ -88,8 +95,38 @@ def directory(assigned: DataFrame) -> DataFrame:
     )
 
 
+def shard_documents(
+    docs: DataFrame, folder: str, max_bytes: int = SHARD_BYTES, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """Write every shard's documents, each row once, to a folder of its own, and read them back.
+
+    All columns as they are, and the shard's folder as the last one, `shard`.
+    """
+    (shard,) = unused(docs, "shard")
+    document = F.struct(*[column(old).alias(f"c{i}") for i, old in enumerate(docs.columns)]).alias("document")
+    placed = _placed(docs, max_bytes, id_column, text_column, document)
+    made = placed.select(
+        *[F.col(f"document.c{i}").alias(old) for i, old in enumerate(docs.columns)], F.concat(F.lit("s"), F.col("shard")).alias(shard)
+    )
+    made.repartition(column(shard)).write.option("compression", "zstd").partitionBy(shard).parquet(folder)
+    return docs.sparkSession.read.schema(made.schema).parquet(folder)
+
+
+def read_assignment(sharded: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of `assign`, from written shards."""
+    rows = sharded.select(
+        column(id_column).cast("long").alias("doc_id"),
+        F.coalesce(F.octet_length(column(text_column).cast("string")), F.lit(0)).cast("long").alias("bytes"),
+        F.substring(column(sharded.columns[-1]), 2, 2 * KEY_BITS).alias("shard"),
+    )
+    sums = rows.groupBy("shard").agg(F.sum("bytes").alias("shard_bytes"), F.count(F.lit(1)).alias("shard_docs"))
+    return rows.join(sums, "shard").select("doc_id", "bytes", "shard", F.length("shard").alias("depth"), "shard_bytes", "shard_docs")
+
+
 def write_shards(docs: DataFrame, assigned: DataFrame, folder: str, id_column: str = "doc_id") -> None:
-    """Write every shard's documents to a folder of its own; ids must be unique."""
+    """Write every shard's documents by an assignment of their ids; repeated ids are an error (see `shard_documents`)."""
+    if assigned.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").head(1):
+        raise ValueError("an assignment by id can't tell rows that share an id apart; use shard_documents")
     key, shard = unused(docs, "key", "shard")
     shards = assigned.select(F.col("doc_id").alias(key), F.concat(F.lit("s"), F.col("shard")).alias(shard))
     joined = docs.join(shards, column(id_column).cast("long").eqNullSafe(F.col(key))).drop(key)

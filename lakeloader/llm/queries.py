@@ -11,6 +11,7 @@ from lakeloader.llm.language_id import identify
 from lakeloader.llm.packing import cut, pack
 from lakeloader.llm.piece_codec import encode_decode
 from lakeloader.llm.simhash import near_duplicates
+from lakeloader.session import fresh_folder
 
 _LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
 
@@ -40,7 +41,8 @@ def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hash_shards.assign(table(spark, sf_dir, "documents"))
+    sharded = hash_shards.shard_documents(table(spark, sf_dir, "documents"), fresh_folder(spark, "shards"))
+    return hash_shards.read_assignment(sharded)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,3 +51,27 @@ def test_empty_table_and_writing(spark, no_documents, tmp_path):
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert rows_of(back, "doc_id", "text") == rows_of(frame)
     assert len(list((tmp_path / "shards").glob("shard=s*"))) >= 5
+
+
+@pytest.mark.parametrize("limit", [1 << 24, 5000, 100])
+def test_every_row_is_written_once(documents, no_documents, limit, tmp_path):
+    """Repeated rows and null ids, too; what is read back are the rows of the assignment."""
+    back = H.shard_documents(documents, str(tmp_path / "shards"), limit)
+    assert back.columns[:-1] == documents.columns
+    names = [f"c{i}" for i in range(len(documents.columns))]
+    assert rows_of(back.toDF(*names, "last"), *names) == rows_of(documents.toDF(*names))
+    read = H.read_assignment(back).collect()
+    assert sorted(repr((r.doc_id, r.bytes)) for r in read) == sorted(repr((x[0], len((x[1] or "").encode()))) for x in awkward())
+    assert all(r.shard_bytes <= limit or r.shard_docs == 1 for r in read)
+    assert H.read_assignment(H.shard_documents(no_documents, str(tmp_path / "none"), limit)).count() == 0
+
+
+def test_assignments_by_id_refuse_repeated_ids(documents, tmp_path):
+    with pytest.raises(ValueError, match="share an id"):
+        H.write_shards(documents, H.assign(documents), str(tmp_path / "shards"))
+
+
+def test_query_reads_written_shards(spark, small_tables, tmp_path):
+    back = H.shard_documents(spark.read.parquet(f"{small_tables}/documents.parquet"), str(tmp_path / "shards"), 20_000)
+    known = duckdb.connect().sql(H.oracle(20_000, f"'{small_tables}/documents.parquet'")).fetchall()
+    assert rows_of(H.read_assignment(back)) == sorted(known, key=repr)
