@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloader.session import prepare
+from lakeloader.session import fresh_folder, prepare
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Rows of an Arrow batch that are turned into Python objects at once.
@@ -56,6 +56,25 @@ def in_tasks(frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterat
     return frame.mapInArrow(work, schema)
 
 
+class Steps:
+    """Written steps of one run, which can be deleted after their last use."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, {}
+
+    def write(self, frame: DataFrame, label: str) -> DataFrame:
+        """Write a frame to the shared folder and read it back."""
+        folder = fresh_folder(self.spark, label)
+        frame.write.parquet(folder)
+        self.folders[label] = folder
+        return self.spark.read.schema(frame.schema).parquet(folder)
+
+    def delete(self, *labels: str) -> None:
+        for label in labels:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folders.pop(label))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded length."""
     for batch in batches:

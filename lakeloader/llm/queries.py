@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloader.llm import hash_shards, license_scan, merkle, substring_dedup, warc
+from lakeloader.llm import divergence, hash_shards, license_scan, merkle, mixing, substring_dedup, vector_codes, warc
 from lakeloader.llm.base import UPPER, table, tokenizer
 from lakeloader.llm.exact_dedup import exact_dedup
 from lakeloader.llm.language_id import identify
@@ -67,6 +67,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.summary(mixing.assign(table(spark, sf_dir, "documents")))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.summary(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,6 +104,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_best_fit": op9_best_fit,
     "op10_warc": op10_warc,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_source_mix": op12_source_mix,
+    "op13_vector_codes": op13_vector_codes,
     "pipeline": pipeline,
 }
 ORACLES = {
@@ -100,4 +115,9 @@ ORACLES = {
     "op5_hash_shards": hash_shards.oracle(),
     "op8_substring_dedup": substring_dedup.oracle(),
     "op10_warc": OP10,
+    "op11_source_divergence": divergence.oracle(),
+    "op12_source_mix": mixing.oracle(),
+    "op13_vector_codes": vector_codes.oracle(),
 }
+#: Queries SQL can't express; `tests/llm` holds them against plain models.
+MODELLED = frozenset({"op2_piece_codec", "op4_merkle", "op6_simhash", "op7_language_id", "op9_best_fit", "pipeline"})

@@ -38,7 +38,7 @@ def test_whole_run(spark, small_tables):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_agree_with_sql(spark, small_tables, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "embeddings", "pages"):
         connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{small_tables}/{table}.parquet'")
     known = connection.sql(queries.ORACLES[name])
     columns = sorted(known.columns)
