@@ -12,19 +12,9 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(pathlib.Path(__file__).parent.parent))
 
+from cases import minutes  # noqa: E402
 from lakeloader import Settings, Sink, discover, list_objects, prepare, sync  # noqa: E402
 
-BASE = datetime.datetime(2026, 9, 1, 12, tzinfo=datetime.timezone.utc)
-
-
-def minutes(number):
-    return BASE + datetime.timedelta(minutes=number)
-
-
-def iso(number):
-    return minutes(number).isoformat()
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (

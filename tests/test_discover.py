@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import minutes
+from cases import minutes
 
 from lakeloader import Catalog, Column, Stream
 from lakeloader.functions import kinds as K

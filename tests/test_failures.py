@@ -5,7 +5,7 @@ import json
 import random
 
 import pytest
-from conftest import minutes
+from cases import minutes
 
 from lakeloader import LoadError, ObjectChanged
 from lakeloader.plans.read import Batch

@@ -6,7 +6,7 @@ import json
 import random
 
 import pytest
-from conftest import minutes
+from cases import minutes
 
 
 @pytest.fixture

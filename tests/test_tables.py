@@ -1,7 +1,7 @@
 """Streams as DataFrames and views, and streaming listings."""
 
 import pytest
-from conftest import minutes
+from cases import minutes
 from pyspark.sql import functions as F
 
 from lakeloader import Settings, Sink, read_tables

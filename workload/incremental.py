@@ -253,8 +253,8 @@ ORACLES = {
     "sync_twice": _expected("events", "event_id", _EVENT_COLUMNS, ".jsonl", _EVENT_VALUES),
     "sync_child_batches": _child_sql(".jsonl"),
     "limit_rows": f"""SELECT 'orders' AS stream, o_orderkey AS parent, -1 AS idx FROM
-          (SELECT * FROM orders ORDER BY {bucket_sql('orders', 'o_orderkey')}, o_orderkey LIMIT 2500)
+          (SELECT * FROM orders ORDER BY {bucket_sql('o_orderkey')}, o_orderkey LIMIT 2500)
         UNION ALL SELECT * FROM (SELECT 'orders__lines', o_orderkey, idx FROM orders, (VALUES (0), (2)) AS items(idx)
-          ORDER BY {bucket_sql('orders', 'o_orderkey')}, o_orderkey, idx LIMIT 700)""",
+          ORDER BY {bucket_sql('o_orderkey')}, o_orderkey, idx LIMIT 700)""",
     "stream_sync": _expected("events", "event_id", _EVENT_COLUMNS, ".jsonl", _EVENT_VALUES),
 }

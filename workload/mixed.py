@@ -1,4 +1,4 @@
-"""One large object among small ones, cut into several splits, and line ends that change.
+"""A large object among small ones, cut into several splits, and line ends that change.
 
 At small scale factors even the large object is small, so these queries lower the
 size of splits while they read; what they read is written before the sizes go back.
@@ -33,9 +33,14 @@ def small_splits(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, size)
 
 
+#: Keys of one large object and eight small ones.
+_GROUP = 100_000
+
+
 def _bucket(key: str) -> str:
-    """Even keys share one object, odd ones are dealt to eight."""
-    return f"CASE WHEN {key} % 2 = 0 THEN 0 ELSE 1 + CAST(floor({key} / 2) AS BIGINT) % 8 END"
+    """Of each range of keys the even ones share one object, the odd ones are dealt to eight."""
+    group = f"9 * CAST(floor({key} / {_GROUP}) AS BIGINT)"
+    return f"{group} + CASE WHEN {key} % 2 = 0 THEN 0 ELSE 1 + CAST(floor({key} / 2) AS BIGINT) % 8 END"
 
 
 def _uneven(rows: DataFrame, key: str) -> DataFrame:

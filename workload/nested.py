@@ -169,7 +169,7 @@ QUERIES = {
 
 def _numbered(extension: str) -> str:
     """Orders with their object key and row number."""
-    bucket = bucket_sql("orders", "o_orderkey")
+    bucket = bucket_sql("o_orderkey")
     return f"""(SELECT *, 'orders/' || {bucket} || '{extension}' AS _s3_key,
       row_number() OVER (PARTITION BY {bucket} ORDER BY o_orderkey) AS _row_number FROM orders)"""
 
@@ -220,7 +220,7 @@ ORACLES = {
         WHEN 2 THEN '[' || c_custkey || ', null, "x"]'
         WHEN 3 THEN '[{"n": ' || c_nationkey || '}, "x"]' END AS v,
         CASE c_custkey % 4 WHEN 1 THEN c_name END AS v__name FROM customer""",
-    "depth_cap": f"""SELECT row_number() OVER (PARTITION BY {bucket_sql('customer', 'c_custkey')}
+    "depth_cap": f"""SELECT row_number() OVER (PARTITION BY {bucket_sql('c_custkey')}
         ORDER BY c_custkey) AS _row_number, '{_CAPPED}' || c_custkey || '}}}}' AS capped FROM customer""",
     "select_child_only": _child_sql(".jsonl"),
     "select_columns": f"""SELECT _s3_key, _row_number, o_orderkey AS id,

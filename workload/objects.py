@@ -1,7 +1,7 @@
 """Write the given tables out as objects, so that the loader has something to load.
 
-Rows are spread over objects by ranges of a dense primary key: at least 2,000
-rows per object, and at most about 4,096 objects, however large the table.
+Rows are spread over objects by ranges of a dense primary key, 2,000 keys per
+object, so an object's rows, key and place depend on nothing else in the table.
 Each object is written row by row by one task; no object is built in memory.
 """
 
@@ -14,26 +14,20 @@ from lakeloader import prepare
 from lakeloader.session import fresh_folder
 from lakeloader.sources.listing import list_objects
 
-ROWS_PER_OBJECT, MAX_OBJECTS = 2000, 4096
+ROWS_PER_OBJECT = 2000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def per_object_sql(name: str) -> str:
-    """How many key values an object covers, in SQL."""
-    return f"(SELECT greatest({ROWS_PER_OBJECT}, ceil(count(*) / {MAX_OBJECTS}.0)) FROM {name})"
-
-
-def bucket_sql(name: str, key: str) -> str:
-    return f"CAST(floor({key} / {per_object_sql(name)}) AS BIGINT)"
+def bucket_sql(key: str) -> str:
+    return f"CAST(floor({key} / {ROWS_PER_OBJECT}) AS BIGINT)"
 
 
 def spread(rows: DataFrame, key: str) -> DataFrame:
     """Add `bucket`, the object of a row, and `pos`, its place in it."""
-    per = max(ROWS_PER_OBJECT, -(-rows.count() // MAX_OBJECTS))
-    return rows.withColumn("bucket", F.floor(F.col(key) / per)).withColumn("pos", F.col(key).cast("bigint"))
+    return rows.withColumn("bucket", F.floor(F.col(key) / ROWS_PER_OBJECT)).withColumn("pos", F.col(key).cast("bigint"))
 
 
 def cell(value: Column) -> Column:

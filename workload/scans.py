@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakeloader import build_layout, discover, read_tables
 from lakeloader.functions.jsontext import quoted
 from workload.objects import (
-    bucket_sql, delimited_lines, json_array, json_lines, listing, per_object_sql, spread, table,
+    bucket_sql, delimited_lines, json_array, json_lines, listing, spread, table,
     write_parquet, write_text,
 )
 
@@ -29,8 +29,8 @@ def _delimited(spark, folder, name, key, columns, sep=",", extension=".csv", gzi
 def _expected(name, key, columns, extension, values=None):
     """Expected rows of a table spread over objects by a dense key."""
     values = values or [f"CAST({column} AS VARCHAR) AS {column}" for column in columns]
-    return f"""SELECT '{name}/' || {bucket_sql(name, key)} || '{extension}' AS _s3_key,
-        row_number() OVER (PARTITION BY {bucket_sql(name, key)} ORDER BY {key}) AS _row_number,
+    return f"""SELECT '{name}/' || {bucket_sql(key)} || '{extension}' AS _s3_key,
+        row_number() OVER (PARTITION BY {bucket_sql(key)} ORDER BY {key}) AS _row_number,
         {', '.join(values)} FROM {name}"""
 
 
@@ -231,7 +231,7 @@ ORACLES = {
     "scan_csv_multiline": _expected("documents", "doc_id", ["doc_id", "text", "lang", "source"], ".csv"),
     "scan_csv_encodings": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents",
     "scan_csv_ragged": f"""SELECT
-        row_number() OVER (PARTITION BY {bucket_sql('customer', 'c_custkey')} ORDER BY c_custkey) AS _row_number,
+        row_number() OVER (PARTITION BY {bucket_sql('c_custkey')} ORDER BY c_custkey) AS _row_number,
         CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(NULL AS VARCHAR) AS column_3,
         CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS name_2,
         CASE WHEN c_custkey % 3 = 1 THEN CAST(c_nationkey AS VARCHAR) END AS column_5,
@@ -246,4 +246,4 @@ ORACLES = {
         CAST(c_acctbal AS VARCHAR) AS c_acctbal,
         CASE WHEN c_custkey % 3 = 1 THEN c_nationkey END AS c_nationkey FROM customer""",
 }
-__all__ = ["ORACLES", "QUERIES", "load", "per_object_sql"]
+__all__ = ["ORACLES", "QUERIES", "load"]

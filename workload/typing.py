@@ -158,8 +158,8 @@ QUERIES = {
     "infer_kinds_objects": infer_objects,
 }
 
-_OBJECT = f"'orders/' || {bucket_sql('orders', 'o_orderkey')} || '"
-_ROW = f"row_number() OVER (PARTITION BY {bucket_sql('orders', 'o_orderkey')} ORDER BY o_orderkey)"
+_OBJECT = f"'orders/' || {bucket_sql('o_orderkey')} || '"
+_ROW = f"row_number() OVER (PARTITION BY {bucket_sql('o_orderkey')} ORDER BY o_orderkey)"
 _BAD_NUMBER = "o_orderkey % 10 IN (3, 5, 6, 8, 9)"
 _NUMBER_VALUE = """CASE o_orderkey % 10 WHEN 0 THEN o_orderkey WHEN 1 THEN -(o_orderkey + 0.25)
   WHEN 2 THEN 0.5 WHEN 4 THEN 1000000 END::DOUBLE"""
@@ -201,6 +201,6 @@ ORACLES = {
         ('props__k', 4, 'integer'), ('none', 5, 'string'), ('late__flag', 6, 'boolean'), ('gone', 7, 'string'),
         ('big', 8, 'wide-integer')) AS columns("column", ordinal, kind)""",
     "infer_kinds_objects": f"""SELECT DISTINCT {_OBJECT}.jsonl' AS key,
-        CASE {bucket_sql('orders', 'o_orderkey')} % 5 WHEN 0 THEN 'integer' WHEN 1 THEN 'number'
+        CASE {bucket_sql('o_orderkey')} % 5 WHEN 0 THEN 'integer' WHEN 1 THEN 'number'
         WHEN 2 THEN 'date-time' WHEN 3 THEN 'string' ELSE 'empty' END AS kind FROM orders""",
 }
