@@ -5,11 +5,11 @@ each other source's (part `pair`), and by which terms it stands out against the
 language as a whole (part `term`). Both are chi-square sums of shares that are
 scaled to whole numbers, so all arithmetic is exact.
 
-Tasks count terms per language and source and write the counts with the terms.
-From there on only digests of 64 bits are shuffled. Once per digest the smallest and
-the largest term are compared; where they differ, the digest stands for several terms,
-and they are numbered and counted apart. Terms are joined back to the rows that the
-result keeps.
+Tasks count terms per language and source and write the counts by digests of 64 bits,
+and each digest's term once. Only digests are shuffled with the counts. Once per digest
+the smallest and the largest term are compared; where they differ, the digest stands for
+several terms: these are counted once more, with their texts, and get numbers that tell
+them apart. Terms are joined back to the rows that the result keeps.
 
 The counts of a language are dealt to groups by digest, with the totals of its sources
 beside them. A group adds up what its terms give to the pairs of sources; terms that a
@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,15 +46,16 @@ TERMS_SHOWN = 200
 SCALE = 1_000_000_000
 DIGEST_BITS = 64
 #: A task writes its counts after so many terms, or bytes of text.
-TABLE_TERMS, TABLE_BYTES = 300_000, 64 << 20
+TABLE_TERMS, TABLE_BYTES = 600_000, 128 << 20
 #: Counts in a group of work on average, and sources whose pairs it adds up.
 GROUP_ROWS, BLOCK_SOURCES = 20_000, 512
 _PIECE = 1 << 20
+_ROWS = 50_000
 _CELLS = 1 << 21
 #: Bytes of terms: A-Z lower-cased, all other ASCII but letters a blank.
 _FOLD = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
-COUNTS = "lang string, source string, term binary, head long, n long, docs long"
-FOUND = "lang string, source string, part string, item string, digest long, variant int, head long, value long"
+COUNTS = "lang string, source string, digest long, term binary, n long, docs long"
+FOUND = "lang string, source string, part string, item string, digest long, variant int, value long"
 
 
 def _terms(text: bytes) -> Iterator[list[bytes]]:
@@ -66,28 +68,43 @@ def _terms(text: bytes) -> Iterator[list[bytes]]:
         at = end
 
 
-def _heads(terms: list[bytes]) -> np.ndarray:
-    """The first eight bytes of each term as numbers that order as the bytes do."""
-    joined = b"".join([term[:8].ljust(8, b"\0") for term in terms])
-    return (np.frombuffer(joined, ">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+class _Digests(dict):
+    """The digest of each term, made once while the table lasts."""
 
+    def __init__(self, bits: int):
+        super().__init__()
+        self.mask = (1 << bits) - 1
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __missing__(self, term: bytes) -> int:
+        digest = xxhash.xxh64_intdigest(term) & self.mask
+        self[term] = digest = digest - ((digest & 1 << 63) << 1)
+        return digest
+
+
+def _count_terms(batches: Iterator[pa.RecordBatch], bits: int = DIGEST_BITS, spelled: bool = False) -> Iterator[pa.RecordBatch]:
+    """Counts by digest, and rows that tell each digest's term; with `spelled` counts with their terms instead."""
     held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
     entries = read = 0
 
+    def rows(lang: str | None, source: str | None, terms: list | None, digests: list, n: list | None, docs: list | None) -> pa.RecordBatch:
+        count = len(digests)
+        cells = [[lang] * count, [source] * count, digests, terms or [None] * count, n or [None] * count, docs or [None] * count]
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+        return pa.record_batch([pa.array(x, kind) for x, kind in zip(cells, kinds)], ["lang", "source", "digest", "term", "n", "docs"])
+
     def given() -> Iterator[pa.RecordBatch]:
+        known = _Digests(bits)
         for (lang, source), (counts, docs) in held.items():
             terms = list(counts)
-            for at in range(0, len(terms), 50_000):
-                part = terms[at : at + 50_000]
-                yield pa.record_batch(
-                    [
-                        pa.repeat(lang, len(part)), pa.repeat(source, len(part)), pa.array(part, pa.binary()), pa.array(_heads(part)),
-                        pa.array([counts[x] for x in part], pa.int64()), pa.array([docs[x] for x in part], pa.int64()),
-                    ],
-                    ["lang", "source", "term", "head", "n", "docs"],
-                )
+            for at in range(0, len(terms), _ROWS):
+                part = terms[at : at + _ROWS]
+                digests = [known[x] for x in part]
+                yield rows(lang, source, part if spelled else None, digests, [counts[x] for x in part], [docs[x] for x in part])
+        if not spelled:
+            terms = list(known)
+            for at in range(0, len(terms), _ROWS):
+                part = terms[at : at + _ROWS]
+                yield rows(None, None, part, [known[x] for x in part], None, None)
 
     for batch in slices(batches):
         for lang, source, text in zip(*(x.to_pylist() for x in batch.columns)):
@@ -106,20 +123,21 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from given()
 
 
-def _numbered(rows: DataFrame, steps: Steps, bits: int) -> tuple[DataFrame, DataFrame]:
-    """The counts by `digest, variant` instead of the term, and the term of each."""
-    digest = F.xxhash64("term") if bits == 64 else F.pmod(F.xxhash64("term"), F.lit(1 << bits))
-    keyed = rows.withColumn("digest", digest)
-    ends = steps.write(keyed.groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("most")), "digests")
+def _numbered(frame: DataFrame, steps: Steps, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Counts by `digest, variant`, and the term of each."""
+    rows = steps.write(in_tasks(frame, lambda batches: _count_terms(batches, bits), COUNTS), "term-counts")
+    told = rows.where("lang IS NULL").groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("most"))
+    ends = steps.write(told, "digests")
+    counts = rows.where("lang IS NOT NULL").select("lang", "source", "digest", F.lit(0).alias("variant"), "n", "docs")
     single = ends.where("least = most").select("digest", F.lit(0).alias("variant"), F.col("least").alias("term"))
     shared = ends.where("least != most").select("digest")
     if shared.isEmpty():
-        return keyed.drop("term").withColumn("variant", F.lit(0)), single
-    # Of a shared digest each term gets a number; only these rows are shuffled with their terms.
+        return counts, single
+    spelled = in_tasks(frame, lambda batches: _count_terms(batches, bits, True), COUNTS)
+    apart = steps.write(spelled.join(shared, "digest", "left_semi"), "shared-counts")
     place = F.row_number().over(Window.partitionBy("digest").orderBy("term"))
-    apart = keyed.join(shared, "digest", "left_semi")
     split = steps.write(apart.select("digest", "term").distinct().withColumn("variant", place), "shared-digests")
-    alone = keyed.drop("term").join(shared, "digest", "left_anti").withColumn("variant", F.lit(0))
+    alone = counts.join(shared, "digest", "left_anti")
     return alone.unionByName(apart.join(split, ["digest", "term"]).drop("term")), single.unionByName(split)
 
 
@@ -177,14 +195,11 @@ def _pair_sums(totals: _Totals, own: range, source: np.ndarray, term: np.ndarray
     return sums
 
 
-def _best(values: np.ndarray, heads: np.ndarray) -> np.ndarray:
-    """The rows that may be among the first `TERMS_SHOWN`, ties by the terms' first bytes included."""
-    order = np.lexsort((heads, -values))
-    if len(order) > TERMS_SHOWN:
-        last = order[TERMS_SHOWN - 1]
-        tied = (values == values[last]) & (heads <= heads[last])
-        return np.flatnonzero((values > values[last]) | tied)
-    return order
+def _best(values: np.ndarray) -> np.ndarray:
+    """The rows that may be among the first `TERMS_SHOWN`, all ties with the last of them included."""
+    if len(values) <= TERMS_SHOWN:
+        return np.arange(len(values))
+    return np.flatnonzero(values >= -np.partition(-values, TERMS_SHOWN - 1)[TERMS_SHOWN - 1])
 
 
 def audit_group(key: tuple, terms: pa.Table, frame: pa.Table) -> pa.Table:
@@ -192,7 +207,7 @@ def audit_group(key: tuple, terms: pa.Table, frame: pa.Table) -> pa.Table:
     _, salt, block = (x.as_py() for x in key)
     totals = _Totals(frame)
     own = range(block * BLOCK_SOURCES, min((block + 1) * BLOCK_SOURCES, len(totals.names)))
-    digest, variant, head, n, lang_n = (terms[x].to_numpy() for x in ("digest", "variant", "head", "n", "lang_n"))
+    digest, variant, n, lang_n = (terms[x].to_numpy() for x in ("digest", "variant", "n", "lang_n"))
     source = np.array([totals.number[x] for x in terms["source"].to_pylist()], np.int64)
     order = np.lexsort((variant, digest))
     fresh = (np.diff(digest[order]) != 0) | (np.diff(variant[order]) != 0)
@@ -202,7 +217,7 @@ def audit_group(key: tuple, terms: pa.Table, frame: pa.Table) -> pa.Table:
 
     def add(part: str, sources: list[str], values: np.ndarray, items=None, rows=None) -> None:
         missing = [None] * len(sources)
-        picked = [missing] * 3 if rows is None else [digest[rows], variant[rows], head[rows]]
+        picked = [missing] * 2 if rows is None else [digest[rows], variant[rows]]
         columns = [[totals.lang] * len(sources), sources, [part] * len(sources), items or missing, *picked, values]
         made.append(pa.table([pa.array(x, kind) for x, kind in zip(columns, _KINDS)], _NAMES))
 
@@ -219,7 +234,7 @@ def audit_group(key: tuple, terms: pa.Table, frame: pa.Table) -> pa.Table:
     values = _chi(shares[above], usual[above])
     for here in np.unique(source[above]).tolist():
         rows = above[(of := source[above] == here)]
-        best = _best(values[of], head[rows])
+        best = _best(values[of])
         add("term", [names[here]] * len(best), values[of][best], rows=rows[best])
     return pa.concat_tables(made) if made else pa.table([pa.array([], kind) for kind in _KINDS], _NAMES)
 
@@ -239,11 +254,8 @@ def audit(
         return F.coalesce(column(name).cast("string"), F.lit(""))
 
     frame = docs.select(known(lang_column).alias("lang"), known(source_column).alias("source"), known(text_column).cast("binary").alias("text"))
-    rows = steps.write(in_tasks(frame, _count_terms, COUNTS), "term-counts")
-    counted, names = _numbered(rows, steps, digest_bits)
-    counts = counted.groupBy("lang", "source", "digest", "variant").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("head").alias("head")
-    )
+    counted, names = _numbered(frame, steps, digest_bits)
+    counts = counted.groupBy("lang", "source", "digest", "variant").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     # One row per source of a language that has the term.
     term = Window.partitionBy("lang", "digest", "variant")
     kept = (
@@ -273,7 +285,7 @@ def audit(
 
     dealt = kept.select(
         "lang", F.pmod(F.xxhash64("digest", "variant"), F.lit(salts)).cast("int").alias("salt"), every("block", blocks),
-        "source", "digest", "variant", "head", "n", "lang_n",
+        "source", "digest", "variant", "n", "lang_n",
     )
     beside = sources.select("*", every("salt", salts)).select("*", every("block", blocks))
     key = ("lang", "salt", "block")
@@ -285,7 +297,7 @@ def audit(
     ranked = F.row_number().over(group.orderBy(F.desc("value"), "item"))
     pairs = pairs.select("lang", "source", "part", "item", "value", ranked.alias("rank"))
     # Spark cuts each group before it shuffles it.
-    leading = found.where("part = 'term'").withColumn("place", F.rank().over(group.orderBy(F.desc("value"), "head")))
+    leading = found.where("part = 'term'").withColumn("place", F.rank().over(group.orderBy(F.desc("value"))))
     leading = leading.where(F.col("place") <= TERMS_SHOWN).join(names, ["digest", "variant"])
     ranked = F.row_number().over(group.orderBy(F.desc("value"), "term"))
     leading = leading.select("lang", "source", "part", F.col("term").cast("string").alias("item"), "value", ranked.alias("rank"))
