@@ -46,15 +46,15 @@ TERMS_SHOWN = 200
 SCALE = 1_000_000_000
 DIGEST_BITS = 64
 #: A task writes its counts after so many terms, or bytes of text.
-TABLE_TERMS, TABLE_BYTES = 600_000, 128 << 20
+TABLE_TERMS, TABLE_BYTES = 1_000_000, 128 << 20
 #: Counts in a group of work on average, and sources whose pairs it adds up.
 GROUP_ROWS, BLOCK_SOURCES = 20_000, 512
 _PIECE = 1 << 20
-_ROWS = 50_000
 _CELLS = 1 << 21
 #: Bytes of terms: A-Z lower-cased, all other ASCII but letters a blank.
 _FOLD = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 COUNTS = "lang string, source string, digest long, term binary, n long, docs long"
+_COUNTS = [field.split()[0] for field in COUNTS.split(", ")]
 FOUND = "lang string, source string, part string, item string, digest long, variant int, value long"
 
 
@@ -81,30 +81,29 @@ class _Digests(dict):
         return digest
 
 
+def _runs(terms: list[bytes], size: int = 50_000) -> Iterator[list[bytes]]:
+    return (terms[at : at + size] for at in range(0, len(terms), size))
+
+
 def _count_terms(batches: Iterator[pa.RecordBatch], bits: int = DIGEST_BITS, spelled: bool = False) -> Iterator[pa.RecordBatch]:
     """Counts by digest, and rows that tell each digest's term; with `spelled` counts with their terms instead."""
     held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
     entries = read = 0
 
-    def rows(lang: str | None, source: str | None, terms: list | None, digests: list, n: list | None, docs: list | None) -> pa.RecordBatch:
-        count = len(digests)
-        cells = [[lang] * count, [source] * count, digests, terms or [None] * count, n or [None] * count, docs or [None] * count]
-        kinds = (pa.string(), pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
-        return pa.record_batch([pa.array(x, kind) for x, kind in zip(cells, kinds)], ["lang", "source", "digest", "term", "n", "docs"])
+    def numbers(table: dict, terms: list[bytes]) -> pa.Array:
+        return pa.array(np.fromiter(map(table.__getitem__, terms), np.int64, len(terms)))
 
     def given() -> Iterator[pa.RecordBatch]:
         known = _Digests(bits)
         for (lang, source), (counts, docs) in held.items():
-            terms = list(counts)
-            for at in range(0, len(terms), _ROWS):
-                part = terms[at : at + _ROWS]
-                digests = [known[x] for x in part]
-                yield rows(lang, source, part if spelled else None, digests, [counts[x] for x in part], [docs[x] for x in part])
-        if not spelled:
-            terms = list(known)
-            for at in range(0, len(terms), _ROWS):
-                part = terms[at : at + _ROWS]
-                yield rows(None, None, part, [known[x] for x in part], None, None)
+            for terms in _runs(list(counts)):
+                size = len(terms)
+                shown = pa.array(terms, pa.binary()) if spelled else pa.nulls(size, pa.binary())
+                cells = [pa.repeat(lang, size), pa.repeat(source, size), numbers(known, terms), shown, numbers(counts, terms), numbers(docs, terms)]
+                yield pa.record_batch(cells, _COUNTS)
+        for terms in [] if spelled else _runs(list(known)):
+            none, no_name = pa.nulls(len(terms), pa.int64()), pa.nulls(len(terms), pa.string())
+            yield pa.record_batch([no_name, no_name, numbers(known, terms), pa.array(terms, pa.binary()), none, none], _COUNTS)
 
     for batch in slices(batches):
         for lang, source, text in zip(*(x.to_pylist() for x in batch.columns)):
