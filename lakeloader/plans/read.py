@@ -16,6 +16,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,10 +35,10 @@ from lakeloader.plans.catalog import Group, Stream
 from lakeloader.session import fresh_folder, local_frame
 from lakeloader.sources.delimited import Delimited, DelimitedFile
 from lakeloader.sources.document import Documents
-from lakeloader.sources.heads import heads
+from lakeloader.sources.heads import HEADS, heads, inflate
 from lakeloader.sources.jsonl import JsonLines
 from lakeloader.sources.listing import escape_paths
-from lakeloader.sources.parquet import SchemaGroup, WholeParquet, scan_group, schema_groups
+from lakeloader.sources.parquet import RowGroups, SchemaGroup, scan_group, schema_groups
 from lakeloader.sources.textscan import ScanObject
 
 OBJ, ROW, POS, NOTES, ERROR = "__obj", "__row", "__pos", "__notes", "__error"
@@ -61,6 +62,8 @@ class Batch:
     heads: dict[int, dict] = field(default_factory=dict)
     readers: dict[int, set[str]] = field(default_factory=dict)
     changed: dict[str, str] = field(default_factory=dict)
+    #: Decompressed copies of objects that can't be read as a stream.
+    unpacked: dict[int, ScanObject] = field(default_factory=dict)
 
     @staticmethod
     def collect(manifest: DataFrame, skip_changed: bool = False) -> Batch:
@@ -110,6 +113,10 @@ class Batch:
     def read_heads(self, sample_rows: int = 0) -> None:
         """Probe the objects' heads, one small task per object."""
         todo = [item for item in self.objects if item.kind != JSONL and item.obj not in self.heads]
+        if not todo:
+            return
+        self._unpack([item for item in todo if item.kind == PARQUET and item.compressed])
+        todo = [self.unpacked.get(item.obj, item) for item in todo if item.obj not in self.heads]
         if not todo:
             return
         frame = local_frame(self.spark, 
@@ -119,6 +126,23 @@ class Batch:
         for row in heads(frame, sample_rows).collect():
             self.heads[row.obj] = row.asDict()
 
+    def _unpack(self, packed: list[ScanObject]) -> None:
+        """Copy gzipped Parquet objects, whose footers can't be reached, into the shared folder."""
+        if not packed:
+            return
+        items = local_frame(self.spark, [(item.obj, item.path) for item in packed], "obj int, path string")
+        copies = {}
+        for row in inflate(items.repartition(len(packed)), fresh_folder(self.spark, "inflated")).collect():
+            if row.error:
+                self.heads[row.obj] = dict.fromkeys(name.split()[0] for name in HEADS.split(", ")) | {"error": row.error}
+            else:
+                copies[row.obj] = row["copy"]
+        found = _look(self.spark, list(copies.values())) if copies else {}
+        for item in packed:
+            if item.obj in copies:
+                file, path, _, size = found[location_of(copies[item.obj])]
+                self.unpacked[item.obj] = replace(item, path=path, file=file, size=size, compressed=False)
+
     def overwritten(self) -> list[ScanObject]:
         """The objects that were overwritten since the batch was collected, in read order."""
         found = _look(self.spark, [item.path for item in self.objects])
@@ -131,11 +155,12 @@ class Batch:
             raise ObjectChanged(f"{item.key} changed during the sync")
 
     def of(self, *kinds: str) -> list[ScanObject]:
-        return [item for item in self.objects if item.kind in kinds]
+        return [self.unpacked.get(item.obj, item) for item in self.objects if item.kind in kinds]
 
     def places(self) -> DataFrame:
         """`__obj, __file, __key, __time`: one small row per object of the batch."""
-        rows = [(i.obj, i.file, i.key, self.modified[i.obj]) for i in self.objects]
+        objects = [self.unpacked.get(item.obj, item) for item in self.objects]
+        rows = [(i.obj, i.file, i.key, self.modified[i.obj]) for i in objects]
         schema = f"{OBJ} int, __file string, __key string, __time timestamp"
         return local_frame(self.spark, rows, schema).withColumn("__time", iso_timestamp(F.col("__time")))
 
@@ -183,13 +208,6 @@ def json_records(batch: Batch, sample_rows: int | None = None) -> list[tuple[Dat
             lanes.append((lane.stitched, lane.stitched_records))
         for file, error in lane.failed.items():
             batch.heads[lane.numbers[file]]["error"] = error
-    whole = [
-        item for item in batch.of(PARQUET)
-        if not batch.heads[item.obj]["error"] and not batch.heads[item.obj]["native"]
-    ]
-    if whole and sample_rows is None:
-        lane = WholeParquet(spark, whole)
-        lanes.append((lane.content, lane.records))
     return lanes
 
 
@@ -311,12 +329,15 @@ def _delimited_rows(batch: Batch, stream: Stream) -> DataFrame | None:
 
 
 def _parquet_rows(
-    batch: Batch, groups: list[SchemaGroup], lineage: Lineage, stream: Stream
+    batch: Batch, groups: list[SchemaGroup | RowGroups], lineage: Lineage, stream: Stream
 ) -> list[DataFrame]:
     frames = []
     places = batch.places().select(OBJ, F.col("__file").alias("file"))
     wanted = [column.name for column in stream.taken]
     for group in groups:
+        if isinstance(group, RowGroups):
+            frames += _row_group_rows(group, lineage, stream, wanted)
+            continue
         found = columnar.tables(group.schema)
         if lineage not in found:
             continue
@@ -330,21 +351,47 @@ def _parquet_rows(
             .join(F.broadcast(places), "file")
             .select(F.col(OBJ).alias("obj"), "row", "rec")
         )
-        rows, reach = columnar.stream_rows(records, found, lineage, wanted)
-        values = {}
-        for column in stream.taken:
-            if column.name in reach:
-                value, data_type = reach[column.name]
-                shown = (
-                    F.lit("of another type")
-                    if isinstance(data_type, (T.StructType, T.MapType, T.ArrayType, T.BinaryType))
-                    else F.substring(value.cast("string"), 1, 200)
-                )
-                values[column.name] = (convert_native(value, data_type, column.kind), shown)
-        frames.append(_converted(rows, stream, values))
+        frames.append(_native_rows(records, found, lineage, stream, wanted))
     return frames
 
 
+def _native_rows(
+    records: DataFrame, found: dict[Lineage, columnar.Table], lineage: Lineage, stream: Stream, wanted: list[str]
+) -> DataFrame:
+    rows, reach = columnar.stream_rows(records, found, lineage, wanted)
+    values = {}
+    for column in stream.taken:
+        if column.name in reach:
+            value, data_type = reach[column.name]
+            shown = (
+                F.lit("of another type")
+                if isinstance(data_type, (T.StructType, T.MapType, T.ArrayType, T.BinaryType))
+                else F.substring(value.cast("string"), 1, 200)
+            )
+            values[column.name] = (convert_native(value, data_type, column.kind), shown)
+    return _converted(rows, stream, values)
+
+
+def _row_group_rows(group: RowGroups, lineage: Lineage, stream: Stream, wanted: list[str]) -> list[DataFrame]:
+    """A stream's rows of objects that are read by row groups."""
+    schema = group.spark_schema()
+    found = columnar.tables(schema)
+    if lineage not in found or not group.units:
+        return []
+    needed = columnar.needed_schema(schema, found, lineage, wanted)
+    names = needed.fieldNames() or schema.fieldNames()[:1]
+    # Only in columns of date-times a nanosecond timestamp is one; elsewhere it is text with all its digits.
+    kinds = {column.name: column.kind for column in stream.taken}
+    above = tuple(name for path in lineage for name in path)
+    dated = {above + path for name, (path, _) in found[lineage].leaves.items() if kinds.get(name) in (K.DATE_TIME, K.DATE)}
+    if lineage:
+        upper = above[: len(above) - len(lineage[-1])]
+        plain = found[lineage[:-1]].plain.items()
+        dated |= {upper + path for name, (path, _) in plain if kinds.get(name) in (K.DATE_TIME, K.DATE)}
+    records = group.rows(names, frozenset(dated))
+    return [_native_rows(records, columnar.tables(group.spark_schema(frozenset(dated))), lineage, stream, wanted)]
+
+
 def schema_notes(batch: Batch, group: Group) -> list[tuple[str, str]]:
     """Renamed columns of delimited and Parquet objects, as `(stream, note)`."""
     notes = set()
@@ -372,13 +419,17 @@ class GroupRows:
             folder = fresh_folder(batch.spark, "pieces")
             self._pieces.write.partitionBy("stream").parquet(folder)
             self._pieces = batch.spark.read.schema(pieces_schema(targets)).parquet(folder)
-        native = [
-            item for item in batch.of(PARQUET)
-            if not batch.heads[item.obj]["error"] and batch.heads[item.obj]["native"]
-        ]
-        self._parquet = schema_groups(
-            batch.spark, native, {item.obj: bytes(batch.heads[item.obj]["schema"]) for item in native}
-        )
+        good = [item for item in batch.of(PARQUET) if not batch.heads[item.obj]["error"]]
+        schemas = {item.obj: bytes(batch.heads[item.obj]["schema"]) for item in good}
+        native = [item for item in good if batch.heads[item.obj]["native"]]
+        self._parquet: list[SchemaGroup | RowGroups] = [*schema_groups(batch.spark, native, schemas)]
+        others: dict[bytes, list[ScanObject]] = {}
+        for item in good:
+            if not batch.heads[item.obj]["native"]:
+                others.setdefault(schemas[item.obj], []).append(item)
+        groups = {item.obj: batch.heads[item.obj]["row_groups"] for item in good}
+        for schema, objects in others.items():
+            self._parquet.append(RowGroups(batch.spark, pa.ipc.read_schema(pa.py_buffer(schema)), objects, groups))
 
     def rows(self, lineage: Lineage) -> DataFrame:
         """A stream's rows with their internal columns, and its metadata columns."""

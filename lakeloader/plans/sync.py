@@ -111,6 +111,11 @@ def limit_rows(rows: DataFrame, stream: Stream, limit: int | None) -> DataFrame:
     if stream.parent is None:
         # A file stream's first N rows lie among the first N rows of each object.
         rows = rows.where(F.col(ROW) <= limit)
+    if limit >= 1 << 31:
+        # More than Spark's own limits take.
+        if rows.count() <= limit:
+            return rows
+        raise ValueError(f"the stream '{stream.name}' has more than its record limit of {limit} rows")
     return rows.orderBy(*read_order()).limit(limit)
 
 
@@ -386,8 +391,9 @@ def _unreadable(batch: Batch, err: Exception) -> _Failure:
     text = str(err)
     named = {location_of(path) for path in _FAILED_FILE.findall(text)}
     for item in batch.objects:
-        if named & {location_of(path) for path in (item.file, unquote(item.file), item.path)}:
-            reason = re.findall(r"Caused by: (.+)", text)
+        read = batch.unpacked.get(item.obj, item)
+        if named & {location_of(path) for path in (read.file, unquote(read.file), read.path)}:
+            reason = re.findall(r"Caused by: (.+)", text) or re.findall(r"Details: (.+)", text)
             message = f"could not read {item.key}: {reason[-1] if reason else text.splitlines()[0]}"
             return _Failure(item.obj, item.key, batch.modified[item.obj], message)
     raise err

@@ -2,16 +2,21 @@
 
 Rows are spread over objects by ranges of a dense primary key, 2,000 keys per
 object, so an object's rows, key and place depend on nothing else in the table.
-Each object is written row by row by one task; no object is built in memory.
+Each object is written by one task, text and plain Parquet row by row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloader import prepare
 from lakeloader.session import fresh_folder
+from lakeloader.sources.heads import open_file
 from lakeloader.sources.listing import list_objects
 
 ROWS_PER_OBJECT = 2000
@@ -87,6 +92,27 @@ def write_parquet(rows: DataFrame) -> str:
     return folder
 
 
+def write_arrow(rows: DataFrame, shaped: Callable[[pa.Table], pa.Table], gzip: bool = False) -> str:
+    """Write rows as one Parquet file per bucket with types Spark can't write, in several row groups; give the folder.
+
+    `shaped` makes a file's table of a bucket's rows, of which there are few.
+    """
+    folder = fresh_folder(rows.sparkSession, "objects")
+
+    def write(part: pa.Table) -> pa.Table:
+        bucket = part["bucket"][0].as_py()
+        made = shaped(part.sort_by("pos").drop_columns(["bucket", "pos"]))
+        system, place = open_file(f"{folder}/bucket={bucket}/part.parquet")
+        system.create_dir(place.rpartition("/")[0], recursive=True)
+        with system.open_output_stream(place, compression="gzip" if gzip else None) as target:
+            pq.write_table(made, target, row_group_size=ROWS_PER_OBJECT // 4)
+        return pa.table({"bucket": [bucket]})
+
+    made = rows.groupBy("bucket").applyInArrow(write, "bucket long")
+    made.write.format("noop").mode("overwrite").save()
+    return folder
+
+
 def listing(spark: SparkSession, folder: str, stream: str, extension: str) -> DataFrame:
     """The objects below a folder, keyed `<stream>/<bucket><extension>`, a minute apart."""
     bucket = F.regexp_extract("path", r"bucket=(-?\d+)", 1)

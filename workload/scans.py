@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from lakeloader import build_layout, discover, read_tables
 from lakeloader.functions.jsontext import quoted
 from workload.objects import (
     bucket_sql, delimited_lines, json_array, json_lines, listing, spread, table,
-    write_parquet, write_text,
+    write_arrow, write_parquet, write_text,
 )
 
 
@@ -186,6 +188,44 @@ def parquet(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("_s3_key", "_row_number", *_ORDERS, "o_orderdate", "day", "even", "price")
 
 
+def _odd_types(rows: pa.Table) -> pa.Table:
+    """Nanoseconds, milliseconds of a day and durations, also within an object."""
+    at = pa.compute.add(pa.compute.multiply(rows["micros"].cast(pa.int64()), 1000), rows["nanos"]).cast(pa.timestamp("ns"))
+    clock = rows["clock"].cast(pa.int32()).cast(pa.time32("ms"))
+    span = rows["clock"].cast(pa.int64()).cast(pa.duration("ms"))
+    meta = pa.StructArray.from_arrays([at.combine_chunks(), rows["o_custkey"].combine_chunks()], ["at", "custkey"])
+    return pa.table({"o_orderkey": rows["o_orderkey"], "at": at, "clock": clock, "span": span, "meta": meta})
+
+
+def parquet_nanos(spark: SparkSession, folder: str) -> DataFrame:
+    """Types Spark can't read, read by row groups."""
+    rows = spread(table(spark, folder, "orders"), "o_orderkey")
+    # A date-time is cut to microseconds.
+    micros = F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 7
+    rows = rows.select(
+        "bucket", "pos", "o_orderkey", "o_custkey", micros.alias("micros"), (F.col("o_orderkey") % 1000).alias("nanos"),
+        (F.col("o_orderkey") % 36_000 * 1000).alias("clock"),
+    )
+    objects = listing(spark, write_arrow(rows, _odd_types), "orders", ".parquet")
+    return load(objects, "orders").select("_s3_key", "_row_number", "o_orderkey", "at", "clock", "span", "meta__at", "meta__custkey")
+
+
+def parquet_gz(spark: SparkSession, folder: str) -> DataFrame:
+    """Parquet files gzipped as a whole."""
+    rows = spread(table(spark, folder, "orders"), "o_orderkey").select("bucket", "pos", *_ORDERS, "o_orderdate")
+    objects = listing(spark, write_arrow(rows, lambda part: part, gzip=True), "orders", ".parquet.gz")
+    return load(objects, "orders").select("_s3_key", "_row_number", *_ORDERS, "o_orderdate")
+
+
+def csv_marked(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that begin with a byte order mark."""
+    rows = spread(table(spark, folder, "supplier"), "s_suppkey")
+    lines = delimited_lines(rows, _SUPPLIER)
+    marked = F.when(F.col("pos") == -1, F.concat(F.lit("\ufeff"), F.col("line"))).otherwise(F.col("line"))
+    read = load(listing(spark, write_text(lines.withColumn("line", marked)), "supplier", ".csv"), "supplier")
+    return read.select("_s3_key", "_row_number", *_SUPPLIER)
+
+
 def mixed_formats(spark: SparkSession, folder: str) -> DataFrame:
     """One stream of CSV, JSON lines and Parquet objects with differing types."""
     rows = spread(table(spark, folder, "customer"), "c_custkey")
@@ -204,6 +244,15 @@ def mixed_formats(spark: SparkSession, folder: str) -> DataFrame:
     return load(listed, "customer").select(*columns, "c_nationkey")
 
 
+_NANOS = """strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') ||
+        CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE '.00000' || (o_orderkey % 7) END || '+00:00'"""
+_HOUR = "o_orderkey % 36000 // 3600"
+_MINUTES = "lpad(CAST(o_orderkey % 3600 // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(o_orderkey % 60 AS VARCHAR), 2, '0')"
+_ODD_VALUES = [
+    "o_orderkey", f"{_NANOS} AS at", f"'0' || {_HOUR} || ':' || {_MINUTES} AS clock", f"{_HOUR} || ':' || {_MINUTES} AS span",
+    f"{_NANOS} AS meta__at", "o_custkey AS meta__custkey",
+]
+
 QUERIES = {
     "scan_csv": csv,
     "scan_csv_plain": csv_plain,
@@ -219,6 +268,9 @@ QUERIES = {
     "scan_json_wrapper": json_wrapper,
     "scan_json_wrapper_gz": json_wrapper_gz,
     "scan_parquet": parquet,
+    "scan_parquet_nanos": parquet_nanos,
+    "scan_parquet_gz": parquet_gz,
+    "scan_csv_marked": csv_marked,
     "scan_mixed_formats": mixed_formats,
 }
 
@@ -242,6 +294,9 @@ ORACLES = {
     "scan_json_wrapper": _expected("documents", "doc_id", _DOCUMENT_COLUMNS, ".json", _DOCUMENT_VALUES),
     "scan_json_wrapper_gz": _expected("orders", "o_orderkey", _ORDERS, ".json.gz", _ORDERS),
     "scan_parquet": _expected("orders", "o_orderkey", _ORDERS, ".parquet", _PARQUET_VALUES),
+    "scan_parquet_nanos": _expected("orders", "o_orderkey", [], ".parquet", _ODD_VALUES),
+    "scan_parquet_gz": _expected("orders", "o_orderkey", _ORDERS, ".parquet.gz", _PARQUET_VALUES[:6]),
+    "scan_csv_marked": _expected("supplier", "s_suppkey", _SUPPLIER, ".csv"),
     "scan_mixed_formats": """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
         CAST(c_acctbal AS VARCHAR) AS c_acctbal,
         CASE WHEN c_custkey % 3 = 1 THEN c_nationkey END AS c_nationkey FROM customer""",
