@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +57,24 @@ def in_tasks(frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterat
     return frame.mapInArrow(work, schema)
 
 
+def one_row_each(docs: DataFrame, kept: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """One row of `docs` for every kept key, all columns as they are.
+
+    `kept` has the keys, once each, and in `rows` how many rows have it. Only keys of
+    several rows are looked at by rows; which one stays depends on its values alone.
+    """
+    names = unused(docs, *keys, "rows", "place")
+    rows, place = names[-2:]
+    known = kept.select(*[F.col(key).alias(name) for key, name in zip(keys, names)], F.col("rows").alias(rows))
+    same = [made.eqNullSafe(F.col(name)) for made, name in zip(keys.values(), names)]
+    found = docs.join(known, reduce(Column.__and__, same))
+    columns = [column(name) for name in docs.columns]
+    first = Window.partitionBy(*names[: len(keys)]).orderBy(F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns))
+    # Spark cuts each key to one row before it shuffles it.
+    several = found.where(F.col(rows) > 1).withColumn(place, F.row_number().over(first)).where(F.col(place) == 1)
+    return found.where(F.col(rows) == 1).select(*columns).unionAll(several.select(*columns))
+
+
 class Steps:
     """Written steps of one run, which can be deleted after their last use."""
 

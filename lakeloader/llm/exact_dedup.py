@@ -10,8 +10,8 @@ Defined results:
 - null text counts as empty, so null and empty texts are equal;
 - of equal texts the largest id stays; a null id loses against any other, and a
   group without ids has a null `keep_id`;
-- rows that share id and text are one document: they stay or go together, each
-  counts in `group_size`;
+- rows that share id and text are all marked as kept or not, and each counts in
+  `group_size`; `drop_repeats` keeps one of them;
 - an empty table gives no rows; other columns of the input play no part.
 """
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloader.llm.base import column, in_tasks, mix, unused
+from lakeloader.llm.base import ascii_lower, column, in_tasks, mix, one_row_each
 from lakeloader.session import written
 
 #: Distinct digests of one shard: about 2 MB of slots.
@@ -204,7 +204,12 @@ def exact_dedup(docs: DataFrame, history: DataFrame | None = None, id_column: st
 
 
 def drop_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """`docs` without the documents whose text a larger id has, too; all columns stay as they are."""
-    (key,) = unused(docs, "key")
-    kept = exact_dedup(docs, None, id_column, text_column).where("kept").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(kept, column(id_column).cast("long").eqNullSafe(F.col(key)), "left_semi")
+    """One row of `docs` for every text, that of the largest id; all columns stay as they are.
+
+    Of rows that share the id, too, or have none, one stays.
+    """
+    found = exact_dedup(docs, None, id_column, text_column).where("kept")
+    kept = found.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("rows"))
+    text = F.coalesce(column(text_column).cast("string"), F.lit(""))
+    keys = {"doc_id": column(id_column).cast("long"), "text_sha256": F.sha2(ascii_lower(text).cast("binary"), 256)}
+    return one_row_each(docs, kept, keys)

@@ -24,6 +24,7 @@ an empty table gives no rows. A document is rejected for either of two reasons:
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,9 +37,9 @@ from pyspark.sql import functions as F
 from lakeloader.llm.base import column, in_tasks, slices
 
 UNKNOWN = "und"
-#: Labelled documents the model is fitted on, at most, and languages it learns, at most.
+#: Labelled documents the model is fitted on, at most. Every language gives some, the rarest
+#: ones left out only if there are more languages than documents.
 SAMPLE_DOCUMENTS = 3072
-MOST_LANGUAGES = 128
 BUCKETS = 1 << 14
 DIMENSIONS = 16
 ORDERS = (2, 3, 4)
@@ -246,7 +247,12 @@ def _smallest(keyed: DataFrame, sizes: dict[str, int], wanted: dict[str, int]) -
 
 
 def _cut(cuts: dict[str, float]) -> Column:
-    return F.coalesce(*[F.when(F.col("lang") == x, F.lit(int(share * HASHES))) for x, share in cuts.items()])
+    return _by_language({x: int(share * HASHES) for x, share in cuts.items()})
+
+
+def _by_language(numbers: dict[str, int]) -> Column:
+    """A language's number, null for others; there may be thousands."""
+    return F.try_element_at(F.from_json(F.lit(json.dumps(numbers)), "map<string,long>"), F.col("lang"))
 
 
 def sample(labelled: DataFrame, most: int = SAMPLE_DOCUMENTS) -> list[tuple[str, np.ndarray, np.ndarray]]:
@@ -255,7 +261,7 @@ def sample(labelled: DataFrame, most: int = SAMPLE_DOCUMENTS) -> list[tuple[str,
     Which ones is settled by a hash within each language, so that no language's share
     depends on the others' sizes, and only their features come to the driver.
     """
-    named = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    named = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most)
     sizes = {row.lang: row.n for row in named.collect()}
     if not sizes:
         return []
@@ -264,7 +270,7 @@ def sample(labelled: DataFrame, most: int = SAMPLE_DOCUMENTS) -> list[tuple[str,
     last: dict[str, int] = {}
     for language, place in taken:
         last[language] = max(last.get(language, 0), place + 1)
-    below = F.coalesce(*[F.when(F.col("lang") == x, F.lit(end)) for x, end in last.items()])
+    below = _by_language(last)
     # Repeated rows have equal features, which are counted once and taken as often.
     chosen = keyed.select("lang", "hashed", "text").where(F.col("hashed") < below).dropDuplicates(["lang", "hashed"])
 

@@ -11,10 +11,6 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-#: Words of a window a signature can see.
-WINDOW = 12
-
-
 @dataclass(frozen=True)
 class Signature:
     keyword: str
@@ -191,3 +187,8 @@ def signatures() -> list[Signature]:
     ]
     identified += [_rule(f"spdx license identifier {name}", name, 0, 1.0) for name in ("mit", "isc", "zlib", "unlicense", "0bsd")]
     return sorted(dict.fromkeys([*identified, *made]), key=lambda rule: (rule.priority, rule.keyword, rule.regex))
+
+
+def window(rules: list[Signature]) -> int:
+    """Words that the longest signature can match: every word of its text, its optional ones included."""
+    return max((rule.regex.count(" ") for rule in rules), default=1)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloader.llm.base import ascii_lower, column
-from lakeloader.llm.license_rules import WINDOW, Signature, signatures
+from lakeloader.llm.license_rules import Signature, signatures, window
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -39,6 +39,8 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     intervals of words that are left after suppression. Places count words from 0.
     """
     rules = signatures() if rules is None else rules
+    # Base phrases must fit, too.
+    width = max(window(rules), *(len(phrase.split()) for phrase in BASE))
     gates = sorted({gate for rule in rules for gate in rule.gates} | {"license", "cc"})
     firsts = sorted({rule.keyword for rule in rules} | {phrase.split()[0] for phrase in BASE})
     by_first: dict[str, list[dict]] = defaultdict(list)
@@ -52,7 +54,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         return F.struct(
             at.alias("start"),
             F.element_at("__words", at + 1).alias("first"),
-            F.concat(F.array_join(F.slice("__words", at + 1, WINDOW), " "), F.lit(" ")).alias("window"),
+            F.concat(F.array_join(F.slice("__words", at + 1, width), " "), F.lit(" ")).alias("window"),
         )
 
     def best(spot: Column) -> Column:
@@ -79,8 +81,8 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         return F.struct(spot["start"].alias("start"), found.alias("label"))
 
     def within_another(found: Column, at: Column) -> Column:
-        # Detections begin at different words and are at most WINDOW words long.
-        earlier = F.slice("__found", F.greatest(at + 2 - WINDOW, F.lit(1)), F.least(at, F.lit(WINDOW - 1)))
+        # Detections begin at different words and are at most `width` words long.
+        earlier = F.slice("__found", F.greatest(at + 2 - width, F.lit(1)), F.least(at, F.lit(width - 1)))
         return F.exists(earlier, lambda other: other["end"] >= found["end"])
 
     def outranked(found: Column, at: Column) -> Column:
@@ -141,7 +143,7 @@ d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}',
   FROM {documents}),
 p AS (SELECT doc_id, words, unnest(range(0, len(words))) AS start FROM d),
 s AS (SELECT doc_id, start, words[start + 1] AS first,
-    array_to_string(words[start + 1:start + {WINDOW}], ' ') || ' ' AS seen FROM p
+    array_to_string(words[start + 1:start + {window(signatures())}], ' ') || ' ' AS seen FROM p
   WHERE words[start + 1] IN (SELECT first FROM rules) OR words[start + 1] IN (SELECT split_part(phrase, ' ', 1) FROM phrases)),
 b AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, list(DISTINCT label) AS labels
   FROM s JOIN phrases ON starts_with(seen, phrase) GROUP BY 1),

@@ -7,14 +7,15 @@ joins hardly any. A task never holds more than about `NODE_ITEMS` items.
 
 Defined results: null text counts as empty and gives one piece, the closing id; only
 documents of more than `capacity` ids are cut; rows that share an id are packed as
-documents of their own; an empty table gives no rows.
+documents of their own; an empty table gives no rows. `cut` gives each piece's ids, and
+`pack` keeps all columns of the pieces, so that its rows are the training sequences.
+Ids are little-endian unsigned 32-bit numbers.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import zlib
 from collections.abc import Iterator
 from struct import pack as packed_numbers
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloader.llm.base import column, in_tasks, slices
+from lakeloader.llm.base import column, in_tasks, slices, unused
 from lakeloader.session import written
 
 CAPACITY = 4096
@@ -57,10 +58,8 @@ SPLITS = {
 }
 _PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
 _PART = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
-MEMBER = np.dtype(
-    [("doc_id", "<i8"), ("no_id", "?"), ("piece", "<i4"), ("start", "<i8"), ("length", "<i4"), ("ids_crc32", "<u4")]
-)
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+MEMBER = np.dtype([("row", "<i8"), ("length", "<i4")])
+PIECES = "doc_id long, piece int, start long, length long, ids binary"
 BINS = "size int, members binary, done boolean"
 
 
@@ -127,11 +126,11 @@ def cut(
                 ids = tokenizer.encode(text or "") + end
                 for piece, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
-                    for held, value in zip(rows, (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part))):
+                    for held, value in zip(rows, (doc_id, piece, at // 4, len(part) // 4, part)):
                         held.append(value)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             yield pa.record_batch(
-                [pa.array(held, kind) for held, kind in zip(rows, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"]
+                [pa.array(held, kind) for held, kind in zip(rows, kinds)], ["doc_id", "piece", "start", "length", "ids"]
             )
 
     frame = docs.select(column(id_column).cast("long").alias("doc_id"), column(text_column).cast("string").alias("text"))
@@ -165,10 +164,7 @@ def _as_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pieces as items of one member each."""
     for batch in batches:
         rows = np.zeros(batch.num_rows, MEMBER)
-        ids = batch.column("doc_id")
-        rows["no_id"] = np.array([x is None for x in ids.to_pylist()], bool) if ids.null_count else False
-        rows["doc_id"] = ids.fill_null(0).to_numpy(zero_copy_only=False)
-        for name in ("piece", "start", "length", "ids_crc32"):
+        for name in ("row", "length"):
             rows[name] = batch.column(name).to_numpy(zero_copy_only=False)
         data, width = rows.tobytes(), MEMBER.itemsize
         members = [data[i : i + width] for i in range(0, len(data), width)]
@@ -207,20 +203,19 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         firsts = np.cumsum(counts) - counts
         offset = before - np.repeat(before[firsts], counts)
         sequence = np.repeat(batch.column("sequence_id").to_numpy(), counts)
-        made = {
-            "doc_id": pa.array(rows["doc_id"], pa.int64(), mask=rows["no_id"]), "piece": pa.array(rows["piece"]),
-            "start": pa.array(rows["start"]), "length": pa.array(rows["length"].astype(np.int64)),
-            "ids_crc32": pa.array(rows["ids_crc32"].astype(np.int64)), "sequence_id": pa.array(sequence), "offset": pa.array(offset),
-        }
+        made = {"row": pa.array(rows["row"]), "sequence_id": pa.array(sequence), "offset": pa.array(offset)}
         yield pa.RecordBatch.from_pydict(made)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, nearly_full: int = NEARLY_FULL, node_items: int = NODE_ITEMS) -> DataFrame:
     """The pieces with `sequence_id` and `offset`; no sequence holds more than `capacity` ids."""
-    pieces = written(pieces, "pieces")
-    whole = in_tasks(pieces.where(F.col("length") >= capacity), _as_items, BINS)
-    items = in_tasks(pieces.where(F.col("length") < capacity), _as_items, BINS)
-    emitted, count = [whole], pieces.where(F.col("length") < capacity).count()
+    (row,) = unused(pieces, "row")
+    # Only rows' numbers and lengths are dealt; all else waits in the written table.
+    pieces = written(pieces.withColumn(row, F.monotonically_increasing_id()), "pieces")
+    light = pieces.select(F.col(row).alias("row"), "length")
+    whole = in_tasks(light.where(F.col("length") >= capacity), _as_items, BINS)
+    items = in_tasks(light.where(F.col("length") < capacity), _as_items, BINS)
+    emitted, count = [whole], light.where(F.col("length") < capacity).count()
     nodes = max(1, -(-count // node_items))
     last = nodes == 1
     while True:
@@ -244,4 +239,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, nearly_full: int = NEARLY_
     for more in emitted[1:]:
         bins = bins.unionAll(more)
     bins = bins.select(F.monotonically_increasing_id().alias("sequence_id"), "members")
-    return in_tasks(bins, _places, PIECES + ", sequence_id long, offset long")
+    # Numbered once: the join below may read the places more than once.
+    places = written(in_tasks(bins, _places, "row long, sequence_id long, offset long"), "places")
+    return pieces.join(places.withColumnRenamed("row", row), row).drop(row)

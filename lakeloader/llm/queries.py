@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeloader.llm import divergence, hash_shards, license_scan, merkle, mixing, substring_dedup, vector_codes, warc
 from lakeloader.llm.base import UPPER, table, tokenizer
@@ -58,12 +59,13 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(cut(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
+    pieces = cut(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return pack(pieces.withColumn("ids_crc32", F.crc32("ids"))).drop("ids")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = warc.write_archives(table(spark, sf_dir, "pages"))
-    found = warc.records(warc.read_archives(files))
+    found = warc.undamaged(warc.read_archives(files))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

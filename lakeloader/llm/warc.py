@@ -5,19 +5,23 @@ already is written as a revisit that names the other's record. Tasks write whole
 files below a shared folder and report them; only reported files are read, so what
 a lost task left behind plays no part.
 
-The reader checks each record (gzip checksum, version line, lengths, closing blank
-lines, payload digest). After a failed check it looks for the next gzip member or
+The reader takes records of every type. It checks each one: gzip checksum, version
+line, lengths, closing blank lines, and the digests of block and payload where they are
+of a known kind and the payload is stored as it was. After a failed check it looks for the next gzip member or
 version line that holds a record, goes on there, and reports the bytes in between
 as a gap.
 
 Defined results: null payload counts as empty; payloads under `REVISIT_BYTES` are
 always responses; of equal payloads the smallest id is the response (rows that tie
 on it all are), a null id is never smaller than another; control characters of a
-URL are percent-encoded, a null URL has no header; empty tables give no files.
+URL are percent-encoded, a null URL has no header; empty tables give no files. A record
+of more than `RECORD_BYTES` is an error for the writer, and a gap for the reader. Records
+of other makers have no page id; a payload is what follows the HTTP head, or the block.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -36,7 +40,7 @@ from lakeloader.session import fresh_folder, written
 REVISIT_BYTES = 100
 #: A task begins a new file after this many bytes.
 FILE_BYTES = 64 << 20
-#: No record of an archive is read beyond this size.
+#: No record is written or read beyond this size, its head included.
 RECORD_BYTES = 1 << 30
 DATE = "1970-01-01T00:00:00Z"
 _BLOCK = 1 << 20
@@ -44,7 +48,8 @@ _GZIP = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _END = b"\r\n\r\n"
 RECORDS = (
-    "path string, first_byte long, end_byte long, problem string, page_id long, url string, record_type string, "
+    "path string, first_byte long, end_byte long, problem string, record_id string, content_type string, "
+    "page_id long, url string, record_type string, "
     "refers_to long, payload_bytes long, payload_digest string, payload binary"
 )
 
@@ -72,7 +77,10 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
     head.append(f"WARC-Payload-Digest: sha256:{digest}")
     head.append("Content-Type: application/http;msgtype=response")
     head.append(f"Content-Length: {len(block)}")
-    return "\r\n".join(head).encode() + _END + block + _END
+    record = "\r\n".join(head).encode() + _END + block + _END
+    if len(record) > RECORD_BYTES:
+        raise ValueError(f"page {page_id}: a record of {len(record)} bytes is more than {RECORD_BYTES}")
+    return record
 
 
 def member(record: bytes) -> bytes:
@@ -166,6 +174,12 @@ def records(rows: DataFrame) -> DataFrame:
     return rows.where("problem IS NULL").drop("problem")
 
 
+def undamaged(rows: DataFrame) -> DataFrame:
+    """The records of archives that must be whole: a gap is an error."""
+    problem = F.concat(F.lit("a gap in "), "path", F.lit(" at byte "), F.col("first_byte").cast("string"), F.lit(": "), "problem")
+    return rows.where(F.when(F.col("problem").isNull(), True).otherwise(F.raise_error(problem).cast("boolean"))).drop("problem")
+
+
 def gaps(rows: DataFrame) -> DataFrame:
     return rows.where("problem IS NOT NULL").select("path", "first_byte", "end_byte", "problem")
 
@@ -201,9 +215,11 @@ def _record_at(source, at: int, size: int) -> tuple[dict, int]:
             raise Damaged("bytes after the record of a member")
         return found, end
     if _VERSION.match(start):
-        data = b""
-        while _END not in data and len(data) < min(size - at, _BLOCK):
-            data += source.read_at(1 << 14, at + len(data))
+        most, step = min(size - at, RECORD_BYTES), 1 << 14
+        data = source.read_at(min(step, most), at)
+        while _END not in data and len(data) < most:
+            step *= 4
+            data = source.read_at(min(step, most), at)
         length = _lengths(data)
         if at + length > size:
             raise Damaged("the file ends within a record")
@@ -237,16 +253,20 @@ def _lengths(data: bytes) -> int:
     head, close, _ = data.partition(_END)
     if not close or not _VERSION.match(data):
         raise Damaged("no head of a record")
-    length = _fields(head).get("content-length", "")
-    if not re.fullmatch(r"[0-9]{1,12}", length) or int(length) > RECORD_BYTES:
+    length = _fields(head, _ONCE).get("content-length", "")
+    if not re.fullmatch(r"[0-9]{1,12}", length) or len(head) + 8 + int(length) > RECORD_BYTES:
         raise Damaged("no valid Content-Length")
     return len(head) + 4 + int(length) + 4
 
 
-def _fields(head: bytes) -> dict[str, str]:
-    """Names and values below the first line; a cut-off head runs into another one's lines."""
+#: Fields a record has once.
+_ONCE = frozenset(("warc-type", "warc-record-id", "warc-date", "content-length"))
+
+
+def _fields(head: bytes, once: frozenset = frozenset()) -> dict[str, str]:
+    """Names and first values below the first line; a cut-off head runs into another one's lines."""
     made: dict[str, str] = {}
-    for line in head.split(b"\r\n")[1:]:
+    for line in re.sub(rb"\r\n[ \t]+", b" ", head).split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon or not re.fullmatch(rb"[!-~]+", name) or re.search(rb"[\x00-\x08\x0a-\x1f\x7f]", value):
             raise Damaged("a line of the head is no field")
@@ -254,31 +274,56 @@ def _fields(head: bytes) -> dict[str, str]:
             field, text = name.decode().lower(), value.decode().strip()
         except UnicodeDecodeError:
             raise Damaged("the head is not UTF-8") from None
-        if field in made:
+        if field in made and field in once:
             raise Damaged("a field stands twice in the head")
-        made[field] = text
+        made.setdefault(field, text)
     return made
 
 
+def _differs(data: bytes, stated: str) -> bool:
+    """Whether data has another digest than the stated one; digests of unknown kinds tell nothing."""
+    name, _, value = stated.partition(":")
+    kind = name.lower().replace("-", "")
+    if kind not in ("md5", "sha1", "sha256", "sha512"):
+        return False
+    digest = hashlib.new(kind, data).digest()
+    return value.lower() != digest.hex() and value.upper().rstrip("=") != base64.b32encode(digest).decode().rstrip("=")
+
+
 def parse(data: bytes) -> tuple[dict, int]:
     """The record at the start of `data` and its length."""
     length = _lengths(data)
     if len(data) < length or data[length - 4 : length] != _END:
         raise Damaged("the block does not end where it should")
-    head, _, rest = data[: length - 4].partition(_END)
-    fields = _fields(head)
-    http, close, payload = rest.partition(_END)
-    kind = fields.get("warc-type", "")
-    digest = fields.get("warc-payload-digest", "").removeprefix("sha256:")
-    stated = _fields(http).get("content-length", "")
-    if not close or not re.fullmatch(r"[0-9]{1,12}", stated) or kind not in ("response", "revisit"):
-        raise Damaged("no valid HTTP head")
-    if kind == "response" and (len(payload) != int(stated) or hashlib.sha256(payload).hexdigest() != digest):
+    head, _, block = data[: length - 4].partition(_END)
+    fields = _fields(head, _ONCE)
+    kind, content = fields.get("warc-type", ""), fields.get("content-type")
+    if not kind:
+        raise Damaged("a record without a type")
+    if _differs(block, fields.get("warc-block-digest", "")):
+        raise Damaged("the block differs from its digest")
+    payload, http = block, {}
+    if (content or "").lower().startswith("application/http"):
+        answer, _, payload = block.partition(_END)
+        try:
+            http = _fields(answer)
+        except Damaged:
+            # Servers write heads of all kinds; the record is whole.
+            http = {}
+    # A revisit's payload is elsewhere, and others may be stored in part or in transfer coding.
+    stated, stored = fields.get("warc-payload-digest", ""), kind != "revisit"
+    as_it_was = stored and "warc-truncated" not in fields and "transfer-encoding" not in http
+    if as_it_was and _differs(payload, stated):
         raise Damaged("the payload differs from its digest")
+    known = re.fullmatch(r"(?i)sha-?256:([0-9a-f]{64})", stated)
+    size = http.get("content-length", "")
     return {
+        "record_id": fields.get("warc-record-id"), "content_type": content,
         "page_id": _page(fields.get("warc-record-id")), "url": fields.get("warc-target-uri"), "record_type": kind,
-        "refers_to": _page(fields.get("warc-refers-to")), "payload_bytes": int(stated), "payload_digest": digest,
-        "payload": payload if kind == "response" else None,
+        "refers_to": _page(fields.get("warc-refers-to")),
+        "payload_bytes": len(payload) if stored else int(size) if re.fullmatch("[0-9]{1,18}", size) else None,
+        "payload_digest": known[1].lower() if known else hashlib.sha256(payload).hexdigest() if stored else None,
+        "payload": payload if stored else None,
     }, length
 
 

@@ -93,6 +93,14 @@ def test_sample_keeps_rare_languages(spark):
     assert {found.count(x) for x in found} == {20} and len(set(found)) == 19
 
 
+def test_no_language_is_left_out(spark):
+    """More languages than any fixed number: each of them is learned."""
+    rows = spark.range(1200).selectExpr("id AS doc_id", "concat('text of ', id % 300) AS text", "concat('l', id % 300) AS lang")
+    found = [language for language, _, _ in I.sample(rows, 900)]
+    assert len(set(found)) == 300 and {found.count(x) for x in found} == {3}
+    assert len({language for language, _, _ in I.sample(rows, 100)}) == 100
+
+
 @pytest.mark.parametrize("left_out", [("de",), ("de", "es")])
 def test_text_of_no_learned_language_goes(left_out):
     """Three languages or two: other languages and random letters are rejected, clean held-out documents stay."""

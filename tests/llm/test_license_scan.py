@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from lakeloader.llm import license_scan as L
-from lakeloader.llm.license_rules import WINDOW, signatures
+from lakeloader.llm.license_rules import signatures
 from llm_cases import awkward, rows_of
 
 TEXTS = [
@@ -26,7 +26,7 @@ def expected(doc_id, text):
     words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered)
     base, found = [], []
     for at in range(len(words)):
-        seen = " ".join(words[at : at + WINDOW]) + " "
+        seen = " ".join(words[at:]) + " "
         base += [(at, label) for phrase, label in L.BASE.items() if seen.startswith(phrase + " ")]
         matches = [(m[0].count(" "), -r.priority, r.relevance, r.label) for p, r in RULES if r.keyword == words[at] and (m := p.match(seen))]
         if matches:
@@ -95,3 +95,23 @@ def test_the_gate_lets_matching_texts_through(text):
     for rule in signatures():
         if re.match(rule.regex, text):
             assert words & set(rule.gates), rule
+
+
+def spelled(regex):
+    """The longest text of a signature: optional words taken, of several choices the longest."""
+    text = regex.removeprefix("^(?:")[:-2].replace("[sc]", "s").replace("[a-z]*", "rec").replace(" ?", " ")
+    while "(?:" in text:
+        text = re.sub(r"\(\?:([^()]*)\)\??", lambda x: max(x[1].split("|"), key=lambda y: y.count(" ")), text)
+    return text.replace("?", "")
+
+
+def test_every_signature_matches_its_own_words(spark):
+    """Also the longest ones, optional words included, in the scan as in the rules."""
+    texts = [spelled(rule.regex) for rule in signatures()]
+    for text, rule in zip(texts, signatures()):
+        assert re.match(rule.regex, text + " "), (text, rule.regex)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {row.doc_id: row for row in L.scan(frame).collect()}
+    for i, (text, rule) in enumerate(zip(texts, signatures())):
+        assert any(x.start == 0 and x.end == len(text.split()) for x in found[i].detections), (text, found[i].detections)
+    assert rows_of(L.summary(L.scan(frame))) == sorted((expected(i, text) for i, text in enumerate(texts)), key=repr)

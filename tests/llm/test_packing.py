@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lakeloader.llm import packing as P
@@ -39,7 +40,7 @@ def check_sequences(rows, capacity):
 
 def test_awkward_rows(documents):
     made = P.pack(P.cut(documents, FILE)).collect()
-    got = sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in made), key=repr)
+    got = sorted(((r.doc_id, r.piece, r.start, r.length, zlib.crc32(r.ids)) for r in made), key=repr)
     assert got == pieces_of(awkward(), 4096)
     assert check_sequences(made, 4096) <= -(-sum(row.length for row in made) // 4096) + 1
 
@@ -47,17 +48,18 @@ def test_awkward_rows(documents):
 def test_special_tokens_and_odd_blanks(spark):
     texts = ["<|endoftext|> a<|startoftext|>b", "a b c\td\x1ce", "é ́e İI ΑΣ Σ", "it's we'll 'd 'D"]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = rows_of(P.cut(frame, FILE, 8), "doc_id", "piece", "start", "length", "ids_crc32")
+    cut = P.cut(frame, FILE, 8).withColumn("ids_crc32", F.crc32("ids"))
+    got = rows_of(cut, "doc_id", "piece", "start", "length", "ids_crc32")
     assert got == pieces_of(list(enumerate(texts)), 8)
 
 
 @pytest.mark.parametrize("low, high", [(1, 60), (51, 60), (1, 8), (100, 101)])
 def test_rounds_over_a_tree_of_tasks(spark, low, high):
     draw = np.random.default_rng(4)
-    rows = [(i, 0, 0, int(n), i) for i, n in enumerate(draw.integers(low, high, 3000))]
+    rows = [(i, 0, 0, int(n), i.to_bytes(4, "little")) for i, n in enumerate(draw.integers(low, high, 3000))]
     made = P.pack(spark.createDataFrame(rows, P.PIECES), capacity=100, nearly_full=3, node_items=200).collect()
     assert sorted((r.doc_id, r.length) for r in made) == [(r[0], r[3]) for r in rows]
-    assert len({r.ids_crc32 for r in made}) == 3000
+    assert all(r.ids == r.doc_id.to_bytes(4, "little") for r in made) and len(made) == 3000
     count = check_sequences(made, 100)
     if low > 50:
         assert count == 3000
@@ -72,3 +74,22 @@ def test_best_fit_takes_the_tightest_bin():
 
 def test_empty_table(no_documents):
     assert P.pack(P.cut(no_documents, FILE)).count() == 0
+
+
+def test_sequences_decode_back_to_documents(spark):
+    rows = [(i, text) for i, (_, text, *_) in enumerate(awkward())]
+    model = Tokenizer.from_file(FILE)
+    documents = {}
+    for row in P.pack(P.cut(spark.createDataFrame(rows, "doc_id long, text string"), FILE)).collect():
+        assert len(row.ids) == 4 * row.length
+        documents.setdefault(row.doc_id, []).append((row.start, np.frombuffer(row.ids, "<u4")))
+    for doc_id, text in rows:
+        ids = np.concatenate([part for _, part in sorted(documents[doc_id], key=lambda x: x[0])]).tolist()
+        assert ids == [*model.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def test_other_columns_come_along(spark):
+    frame = spark.createDataFrame([(1, 5, "a", 9), (None, 4, "b", 8), (None, 4, "b", 8)], "doc_id long, length long, row string, members long")
+    made = P.pack(frame, capacity=10, nearly_full=0)
+    assert made.columns == [*frame.columns, "sequence_id", "offset"]
+    assert rows_of(made, *frame.columns) == rows_of(frame)

@@ -132,3 +132,65 @@ def test_random_damage_never_raises():
             at = draw.randrange(len(data))
             data[at : at + draw.randrange(40)] = bytes(draw.choices(range(256), k=draw.randrange(40)))
         read(bytes(data))
+
+
+def other(kind, block=b"data", *fields):
+    head = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:1>", "WARC-Date: 2020-01-01T00:00:00Z", *fields]
+    return "\r\n".join([*head, f"Content-Length: {len(block)}"]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+HTTP = "Content-Type: application/http; msgtype=response"
+PAGE = b"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nSet-Cookie: b=2\r\n\r\n<html>"
+BASE32 = "sha1:" + __import__("base64").b32encode(hashlib.sha1(b"<html>").digest()).decode()
+OTHERS = [
+    (other("warcinfo", b"software: x\r\n", "Content-Type: application/warc-fields"), "warcinfo", b"software: x\r\n"),
+    (other("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", "Content-Type: application/http; msgtype=request"), "request", b""),
+    (other("metadata", b""), "metadata", b""),
+    (other("response", PAGE, HTTP), "response", b"<html>"),
+    (other("response", PAGE, HTTP, f"WARC-Payload-Digest: {BASE32}", "WARC-Concurrent-To: <urn:1>", "WARC-Concurrent-To: <urn:2>"), "response", b"<html>"),
+    (other("response", PAGE.replace(b"Set", b"Transfer-Encoding: chunked\r\nSet"), HTTP, "WARC-Payload-Digest: sha1:AAAA"), "response", b"<html>"),
+    (other("response", PAGE, HTTP, "WARC-Payload-Digest: xyz:1", "WARC-Truncated: length"), "response", b"<html>"),
+    (other("resource", b"\x00\xff" * 9, "Content-Type: image/png", "X-Long: a\r\n  b"), "resource", b"\x00\xff" * 9),
+    (other("response", b"not http at all", HTTP), "response", b""),
+]
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_records_of_other_makers_are_no_damage(packed):
+    data = b"".join(W.member(x) if packed else x for x, _, _ in OTHERS)
+    rows = list(W.salvage(Opened(data)))
+    assert not [row for row in rows if "problem" in row]
+    assert [(row["record_type"], row["payload"]) for row in rows] == [(kind, payload) for _, kind, payload in OTHERS]
+    assert all(row["record_id"] == "<urn:uuid:1>" and row["page_id"] is None for row in rows)
+    assert [row["payload_digest"] for row in rows] == [hashlib.sha256(x).hexdigest() for _, _, x in OTHERS]
+
+
+@pytest.mark.parametrize("digest", [BASE32, "sha256:" + hashlib.sha256(b"<html>").hexdigest(), "md5:" + hashlib.md5(b"<html>").hexdigest()])
+def test_digests_of_known_kinds_are_checked(digest):
+    good = other("response", PAGE, HTTP, f"WARC-Payload-Digest: {digest}")
+    bad = good.replace(b"<html>", b"<htmk>")
+    assert [row.get("problem") for row in W.salvage(Opened(good + bad + good))] == [None, "the payload differs from its digest", None]
+    spoiled = other("resource", b"abc", "WARC-Block-Digest: sha1:" + "A" * 32)
+    assert "block differs" in next(W.salvage(Opened(spoiled)))["problem"]
+
+
+def test_one_limit_for_writer_and_reader(spark, monkeypatch):
+    record = W.record_bytes(1, "u", b"x" * 5000, hashlib.sha256(b"x" * 5000).hexdigest(), None)
+    monkeypatch.setattr(W, "RECORD_BYTES", len(record))
+    assert W.record_bytes(1, "u", b"x" * 5000, hashlib.sha256(b"x" * 5000).hexdigest(), None) == record
+    assert read(record) == ([1], []) and len(read(record + b"WARC/1.1\r\n")[1]) == 1
+    with pytest.raises(ValueError, match="more than"):
+        W.record_bytes(1, "u", b"x" * 5001, hashlib.sha256(b"x" * 5001).hexdigest(), None)
+
+
+def test_a_long_head_is_read(monkeypatch):
+    payload = b"p"
+    record = W.record_bytes(1, "u" * 3_000_000, payload, hashlib.sha256(payload).hexdigest(), None)
+    assert read(record + record) == ([1, 1], [])
+
+
+def test_a_gap_in_own_archives_is_an_error(spark):
+    rows = spark.createDataFrame([("a", 0, None), ("a", 9, "torn")], "path string, first_byte long, problem string")
+    with pytest.raises(Exception, match="a gap in a at byte 9: torn"):
+        W.undamaged(rows).collect()
+    assert W.undamaged(rows.limit(1)).count() == 1
