@@ -45,6 +45,7 @@ DIMENSIONS = 16
 ORDERS = (2, 3, 4)
 EPOCHS = 4
 RATE = 0.5
+LONGEST_STEP = 8.0
 #: Share of the sample for temperature and threshold.
 CALIBRATION = 0.25
 #: Of rightly labelled documents so many may be rejected.
@@ -148,8 +149,9 @@ def train(samples: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> M
             weights -= rate * np.outer(hidden, error)
             bias -= rate * error
             # The buckets of one text are distinct. The shares are small, so their
-            # step is scaled by the number of buckets.
-            embeddings[at] -= (rate * len(at)) * share[:, None] * back
+            # step is scaled by the number of buckets, within a bound: texts that repeat
+            # a few n-grams would make the fit diverge.
+            embeddings[at] -= rate * np.minimum(len(at) * share, LONGEST_STEP)[:, None] * back
     seen = np.full((BUCKETS, len(languages)), 0.5)
     for which in fitted:
         label, at, share = data[which]
