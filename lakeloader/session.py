@@ -28,7 +28,7 @@ _SETTINGS = {
     # past this size; Spark then takes its path with smaller ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Long texts: a batch for a Python worker ends by bytes, too.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
     # Results go back to tasks and to the driver as Arrow batches.
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
