@@ -16,6 +16,9 @@ from lakeloader.session import fresh_folder, prepare
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Rows of an Arrow batch that are turned into Python objects at once.
 SLICE = 256
+#: What a task's table of words may hold, about `ENTRY_BYTES` for each entry itself
+#: included, and the longest word it keeps.
+TABLE_BYTES, ENTRY_BYTES, LONGEST_KEPT = 96 << 20, 160, 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

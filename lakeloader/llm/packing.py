@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloader.llm.base import column, in_tasks, slices, unused
+from lakeloader.llm.base import ENTRY_BYTES, LONGEST_KEPT, TABLE_BYTES, column, in_tasks, slices, unused
 from lakeloader.session import written
 
 CAPACITY = 4096
@@ -35,8 +35,6 @@ NODE_ITEMS = 100_000
 FAN_IN = 8
 #: A round that removes less than this share of the bins is the last.
 LEAST_GAIN = 0.01
-#: Words and parts of words a task keeps at once.
-TABLE_WORDS = 500_000
 #: How tokenizers of the kind that has the short way split a text.
 SPLITS = {
     "normalizer": {
@@ -64,7 +62,7 @@ BINS = "size int, members binary, done boolean"
 
 
 class WordTokenizer(dict):
-    """Ids of whole texts; each distinct word between blanks is tokenized once per task.
+    """Ids of whole texts; each distinct word between blanks is tokenized once while the table lasts.
 
     For tokenizers that drop white space, so that no token spans it. A word of Latin
     letters, digits and punctuation falls apart in the same way for every tokenizer
@@ -80,26 +78,35 @@ class WordTokenizer(dict):
         settings = json.loads(self.general.to_str())
         self.plain = _PLAIN if all(settings[name] == kind for name, kind in SPLITS.items()) else re.compile("(?!)")
         self.parts: dict[str, bytes] = {}
+        self.held = 0
 
     def __missing__(self, word: str) -> bytes:
         if self.plain.fullmatch(word) and "<|" not in word:
             ids = b"".join([self.parts.get(part) or self._part(part) for part in _PART.findall(word.lower())])
         else:
             ids = np.array(self.general.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = ids
+        self._keep(self, word, ids)
         return ids
 
     def _part(self, part: str) -> bytes:
         shown = part if part.isascii() else part.encode().decode("latin-1").translate(_SHOWN)
         found = [token.id for token in self.model.tokenize(shown)]
         ids = packed_numbers(f"<{len(found)}I", *found)
-        self.parts[part] = ids
+        self._keep(self.parts, part, ids)
         return ids
 
-    def encode(self, text: str) -> bytes:
-        if len(self) + len(self.parts) > TABLE_WORDS:
+    def _keep(self, table: dict[str, bytes], word: str, ids: bytes) -> None:
+        """Bounded by bytes: a full table is emptied, a very long word passes by."""
+        if len(word) > LONGEST_KEPT:
+            return
+        if self.held > TABLE_BYTES:
             self.clear()
             self.parts.clear()
+            self.held = 0
+        table[word] = ids
+        self.held += ENTRY_BYTES + len(word) + len(ids)
+
+    def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 

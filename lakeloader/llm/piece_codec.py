@@ -4,8 +4,8 @@ The pieces of the model must not run on across a whitespace marker: a marker onl
 stands at the start of a piece. Then a text falls apart before every run of markers,
 each distinct chunk is segmented once, and a document's ids are the chunks' ids put
 together by position. The table is a task's own: a table for the whole corpus would
-need one shuffled row per word position. It is emptied when it grows large, which
-costs time, never a result.
+need one shuffled row per word position. It is bounded by bytes: it is emptied when it
+grows large, and very long chunks are not kept, which costs time, never a result.
 
 Defined results: null counts as empty; an empty text has the begin and end ids only;
 any length of text is encoded whole; repeated rows give repeated rows.
@@ -21,14 +21,35 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lakeloader.llm.base import column, in_tasks, slices
+from lakeloader.llm.base import ENTRY_BYTES, LONGEST_KEPT, TABLE_BYTES, column, in_tasks, slices
 
 MARK = "▁"
-#: Distinct chunks a task keeps at once.
-TABLE_CHUNKS = 400_000
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
+class _Table(dict):
+    """What was made of distinct chunks, bounded by bytes from one call to the next."""
+
+    def __init__(self):
+        super().__init__()
+        self.held, self.long = 0, []
+
+    def trim(self) -> None:
+        for chunk in self.long:
+            del self[chunk]
+        self.long = []
+        if self.held > TABLE_BYTES:
+            self.clear()
+            self.held = 0
+
+    def keep(self, chunk, made: bytes) -> None:
+        self[chunk] = made
+        if len(chunk) > LONGEST_KEPT:
+            self.long.append(chunk)
+        else:
+            self.held += ENTRY_BYTES + len(chunk) + len(made)
+
+
 class PieceCodec:
     """Encode and decode whole texts exactly as the library does."""
 
@@ -43,27 +64,24 @@ class PieceCodec:
         self.mark_id = self.model.piece_to_id(MARK)
         self.begin = np.array([self.model.bos_id()], "<u4").tobytes()
         self.end = np.array([self.model.eos_id()], "<u4").tobytes()
-        self.ids: dict[str, bytes] = {}
-        self.texts: dict[bytes, bytes] = {}
+        self.ids, self.texts = _Table(), _Table()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, begin and end included, as unsigned 32-bit numbers."""
         chunked = [_CHUNK.findall(MARK + text.replace(" ", MARK)) if text else [] for text in texts]
         table = self.ids
-        if len(table) > TABLE_CHUNKS:
-            table.clear()
+        table.trim()
         new = list({chunk for chunks in chunked for chunk in chunks if chunk not in table})
         # The library puts the first marker there itself.
         for chunk, ids in zip(new, self.model.encode([chunk[1:] for chunk in new], num_threads=1)):
-            table[chunk] = np.array(ids, "<u4").tobytes()
+            table.keep(chunk, np.array(ids, "<u4").tobytes())
         table[MARK] = np.array([self.mark_id], "<u4").tobytes()
         return [self.begin + b"".join([table[chunk] for chunk in chunks]) + self.end for chunks in chunked]
 
     def decode(self, encoded: list[bytes]) -> list[bytes]:
         """The text of each id sequence, in UTF-8."""
         table = self.texts
-        if len(table) > TABLE_CHUNKS:
-            table.clear()
+        table.trim()
         split = []
         for ids in encoded:
             if ids.startswith(self.begin):
@@ -78,7 +96,7 @@ class PieceCodec:
         lists = [np.frombuffer(chunk, "<u4").tolist() for chunk in new]
         for chunk, ids, text in zip(new, lists, self.model.decode(lists) if lists else []):
             # At the start of a text the library takes one marker away.
-            table[chunk] = (" " + text if ids and self.starts[ids[0]] else text).encode()
+            table.keep(chunk, (" " + text if ids and self.starts[ids[0]] else text).encode())
         texts = []
         for chunks in split:
             text = b"".join([table[chunk] for chunk in chunks])

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloader.llm.base import column, in_tasks, mix, slices, unused
+from lakeloader.llm.base import ENTRY_BYTES, LONGEST_KEPT, TABLE_BYTES, column, in_tasks, mix, slices, unused
 from lakeloader.llm.fm_index import FmIndex
 from lakeloader.session import fresh_folder
 
@@ -46,7 +46,6 @@ SHINGLE = 5
 #: Words in one shard's index on average, and words of one minimizer at most.
 SHARD_WORDS = 250_000
 NO_ID = -(1 << 63)
-_TABLE_WORDS = 500_000
 _FACTORS = (np.random.default_rng(20).integers(1, 1 << 62, WINDOW, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -54,15 +53,21 @@ SEGMENT = "id long, variant long, start int, windows int"
 
 
 class _Codes(dict):
-    """64-bit hashes of words, each made once while the table lasts."""
+    """64-bit hashes of words, each made once while the table lasts. It is bounded by bytes."""
+
+    held = 0
 
     def __missing__(self, word: bytes) -> int:
-        code = self[word] = xxhash.xxh64_intdigest(word)
+        code = xxhash.xxh64_intdigest(word)
+        if len(word) <= LONGEST_KEPT:
+            self[word] = code
+            self.held += ENTRY_BYTES + len(word)
         return code
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > _TABLE_WORDS:
+        if self.held > TABLE_BYTES:
             self.clear()
+            self.held = 0
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 

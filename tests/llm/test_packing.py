@@ -53,6 +53,16 @@ def test_special_tokens_and_odd_blanks(spark):
     assert got == pieces_of(list(enumerate(texts)), 8)
 
 
+def test_word_tables_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(P, "TABLE_BYTES", 2000)
+    words, model = P.WordTokenizer(FILE), Tokenizer.from_file(FILE)
+    for number in range(40):
+        text = f"the word{number}s of {'qx' * 3000}{number} 漢{number}é"
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+        assert len(words) + len(words.parts) < 2000 / 160 + 2
+        assert all(len(word) <= 4096 for word in [*words, *words.parts])
+
+
 @pytest.mark.parametrize("low, high", [(1, 60), (51, 60), (1, 8), (100, 101)])
 def test_rounds_over_a_tree_of_tasks(spark, low, high):
     draw = np.random.default_rng(4)

@@ -58,12 +58,23 @@ def test_awkward_rows(documents, codec):
 
 
 def test_a_full_table_is_emptied_without_a_trace(codec, monkeypatch):
-    monkeypatch.setattr("lakeloader.llm.piece_codec.TABLE_CHUNKS", 2)
+    monkeypatch.setattr("lakeloader.llm.piece_codec.TABLE_BYTES", 300)
     small = PieceCodec(MODEL)
     for text in ("a b c d", "e f g", "a b"):
         assert small.encode([text]) == codec.encode([text])
         assert small.decode(small.encode([text])) == [text.encode()]
 
 
+def test_long_chunks_are_not_kept(codec):
+    own = PieceCodec(MODEL)
+    for number in range(3):
+        text = f"a {'xyz' * 2000}{number} b"
+        assert own.encode([text, text]) == codec.encode([text, text])
+        assert own.decode(own.encode([text])) == [text.encode()]
+    own.encode(["a"])
+    own.decode(own.encode(["a"]))
+    assert max(map(len, own.ids)) < 4096 and max(map(len, own.texts)) < 4096
+
+
 def test_empty_table(no_documents):
     assert encode_decode(no_documents, MODEL).count() == 0
