@@ -1,6 +1,6 @@
 """Turn a folder or bucket of mixed files into clean, typed, linked tables on Spark."""
 
-from lakeloader.model import LoadError, ObjectChanged
+from lakeloader.model import CommitConflict, LoadError, ObjectChanged
 from lakeloader.plans.catalog import Catalog, Column, Stream
 from lakeloader.plans.discover import Discovery, discover
 from lakeloader.plans.state import Sink, state_from_json, state_to_json
@@ -11,7 +11,7 @@ from lakeloader.sources.layout import build_layout
 from lakeloader.sources.listing import list_objects
 
 __all__ = [
-    "Catalog", "Column", "Discovery", "LoadError", "ObjectChanged", "Settings", "Sink", "Stream",
-    "SyncResult", "Tables", "build_layout", "discover", "list_objects", "prepare", "read_tables",
+    "Catalog", "Column", "CommitConflict", "Discovery", "LoadError", "ObjectChanged", "Settings", "Sink",
+    "Stream", "SyncResult", "Tables", "build_layout", "discover", "list_objects", "prepare", "read_tables",
     "state_from_json", "state_to_json", "sync",
 ]

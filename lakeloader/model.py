@@ -44,3 +44,7 @@ class LoadError(Exception):
 
 class ObjectChanged(LoadError):
     """An object no longer has the version that was listed."""
+
+
+class CommitConflict(Exception):
+    """Another run has committed since the state was loaded."""

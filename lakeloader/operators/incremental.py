@@ -8,6 +8,10 @@ objects are found. Both are tables:
 - `bookmarks(stream, replication_key, bookmark, has_window)`, a row per stream
 - `window(stream, key, etag, last_modified)`, a row per object
 
+A window is stored as changes, `(stream, key, etag, last_modified, gone, version)`. The
+newest row of a key counts, and what the bookmark has passed counts as gone without a
+row of its own. So a step writes as much as it has read, however large the window is.
+
 `members(root, stream, incremental, complete)` names the streams that read the
 objects of a file stream: itself and its children. `complete` matters for the
 step after a read: it says that nothing is left to read. Nothing here depends on the order
@@ -26,6 +30,8 @@ from lakeloader.session import local_frame
 
 BOOKMARKS = "stream string, replication_key string, bookmark timestamp, has_window boolean"
 WINDOW = "stream string, key string, etag string, last_modified timestamp"
+CHANGES = WINDOW + ", gone boolean"
+VERSIONED = CHANGES + ", version long"
 MEMBERS = "root string, stream string, incremental boolean, complete boolean"
 
 
@@ -171,6 +177,66 @@ def next_window(
     )
 
 
+def window_times(
+    window: DataFrame, manifest: DataFrame, members: DataFrame, whole_listing: bool = True
+) -> DataFrame:
+    """The window's entries whose time is not the listed one, with the time to use.
+
+    It is null for an object that is no longer listed. Most runs find none.
+    """
+    listed = candidates(manifest, members).select("stream", "key", F.col("last_modified").alias("listed"))
+    time = F.col("listed") if whole_listing else F.coalesce("listed", "last_modified")
+    return (
+        window.join(F.broadcast(members.select("stream")), "stream", "left_semi")
+        .join(listed, ["stream", "key"], "left")
+        .where(time.isNull() | ~time.eqNullSafe(F.col("last_modified")))
+        .select("stream", "key", "etag", time.alias("last_modified"))
+    )
+
+
+def window_changes(
+    members: DataFrame, finished: DataFrame, bookmarks: DataFrame, times: DataFrame, first: bool = True
+) -> DataFrame:
+    """What a step changes in the stored window.
+
+    Finished objects are added or replaced. `times` are the `window_times` of the
+    run, which its first step stores; entries without a time leave the window with
+    a step of their stream that has a bookmark.
+    """
+    marked = bookmarks.where((F.col("replication_key") == LAST_MODIFIED) & F.col("bookmark").isNotNull())
+    tracked = members.select("stream").join(marked.select("stream"), "stream", "left_semi")
+    stay, leave = F.lit(False).alias("gone"), F.lit(True).alias("gone")
+    changes = finished.select("stream", "key", "etag", "last_modified", stay).unionByName(
+        times.where(F.col("last_modified").isNull())
+        .join(F.broadcast(tracked), "stream", "left_semi")
+        .select("*", leave)
+    )
+    if not first:
+        return changes
+    moved = times.where(F.col("last_modified").isNotNull())
+    return changes.unionByName(
+        moved.join(finished.select("stream", "key"), ["stream", "key"], "left_anti").select("*", stay)
+    )
+
+
+def window_at(changes: DataFrame, bookmarks: DataFrame) -> DataFrame:
+    """The window that stored changes amount to."""
+    entry = F.struct("etag", "last_modified", "gone")
+    marks = bookmarks.select(
+        "stream", F.when(F.col("replication_key") == LAST_MODIFIED, F.col("bookmark")).alias("bookmark")
+    )
+    return (
+        changes.groupBy("stream", "key")
+        .agg(F.max_by(entry, "version").alias("entry"))
+        .select("stream", "key", "entry.*")
+        .where(~F.col("gone"))
+        .join(F.broadcast(marks), "stream", "left")
+        # An entry of an old state may not have its time yet.
+        .where(F.col("bookmark").isNull() | F.col("last_modified").isNull() | (F.col("last_modified") > F.col("bookmark")))
+        .select("stream", "key", "etag", "last_modified")
+    )
+
+
 def others(state: DataFrame, members: DataFrame) -> DataFrame:
     """The part of a state that a step doesn't touch."""
     return state.join(F.broadcast(members.select("stream")), "stream", "left_anti")

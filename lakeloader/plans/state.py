@@ -1,27 +1,32 @@
 """The sink: rows per stream, and the state, committed together.
 
-A commit is a new version folder. Its marker is written last, so a run that
-dies leaves only files no reader looks at.
+A commit writes its files below a folder of its own and then claims the next version
+in the log (`plans.log`). A run that dies, or that another one has overtaken, leaves
+only files no reader looks at. The window and the list of row folders are stored as
+what each commit adds; every `MERGE_EVERY` commits they are written whole, so a
+reader opens a bounded number of folders however long the log is.
 """
 
 from __future__ import annotations
 
 import json
 import posixpath
-import re
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloader.functions.datetimes import iso_timestamp, parse_bookmark
-from lakeloader.operators.incremental import BOOKMARKS, WINDOW, empty_state
+from lakeloader.operators.incremental import BOOKMARKS, VERSIONED, WINDOW, empty_state, window_at
 from lakeloader.plans.catalog import Stream
-from lakeloader.plans.read import ERROR
+from lakeloader.plans.log import CommitLog
+from lakeloader.plans.read import ERROR, NOTES
 from lakeloader.session import local_frame
 
 _RUNS = "stream string, folder string"
+#: Commits between two that write the window and the row folders whole.
+MERGE_EVERY = 16
 
 
 class Sink:
@@ -30,66 +35,92 @@ class Sink:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._log = CommitLog(spark, posixpath.join(self.folder, "state", "log"))
+        # The commit this writer builds on.
+        self._base: dict | None = None
 
-    def _versions(self) -> list[int]:
-        try:
-            markers = (
-                self.spark.read.format("binaryFile")
-                .option("recursiveFileLookup", "true")
-                .option("pathGlobFilter", "*.txt")
-                .load(posixpath.join(self.folder, "state"))
-                .select("path")
-                .collect()
-            )
-        except AnalysisException as err:
-            if err.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
-        found = (re.search(r"/version=(\d+)/done/", row.path) for row in markers)
-        return sorted(int(match[1]) for match in found if match)
-
-    def _part(self, version: int, name: str) -> str:
-        return posixpath.join(self.folder, "state", f"version={version}", name)
+    def _table(self, parts: list[str], schema: str) -> DataFrame:
+        if not parts:
+            return local_frame(self.spark, [], schema)
+        return self.spark.read.schema(schema).parquet(*[posixpath.join(self.folder, part) for part in parts])
 
-    def load_state(self) -> tuple[DataFrame, DataFrame]:
-        """The committed `(bookmarks, window)`."""
-        versions = self._versions()
-        if not versions:
+    def _state(self, entry: dict | None) -> tuple[DataFrame, DataFrame]:
+        if entry is None:
             return empty_state(self.spark)
-        read = self.spark.read
-        return (
-            read.schema(BOOKMARKS).parquet(self._part(versions[-1], "bookmarks")),
-            read.schema(WINDOW).parquet(self._part(versions[-1], "window")),
-        )
+        marks = self._table([entry["bookmarks"]], BOOKMARKS)
+        return marks, window_at(self._table(entry["window"], VERSIONED), marks)
+
+    def load_state(self) -> tuple[DataFrame, DataFrame]:
+        """The committed `(bookmarks, window)`. The next commit of this sink builds on it."""
+        self._base = self._log.latest()
+        return self._state(self._base)
+
+    def bookmarks(self) -> DataFrame:
+        """The bookmarks of the state that was loaded, or committed since."""
+        return empty_state(self.spark)[0] if self._base is None else self._state(self._base)[0]
 
     def new_run(self, stream: str) -> str:
         """A folder for a stream's rows that nothing uses yet."""
         return posixpath.join(self.folder, "data", stream, f"run-{uuid.uuid4().hex}")
 
-    def commit(self, bookmarks: DataFrame, window: DataFrame, runs: list[tuple[str, str]]) -> int:
-        """Commit a state and the rows that belong to it."""
-        version = (self._versions() or [0])[-1] + 1
-        bookmarks.coalesce(1).write.parquet(self._part(version, "bookmarks"))
-        window.write.parquet(self._part(version, "window"))
-        added = local_frame(self.spark, runs, _RUNS).coalesce(1)
-        added.write.parquet(self._part(version, "runs"))
-        marker = local_frame(self.spark, [(str(version),)], "version string").coalesce(1)
-        marker.write.text(self._part(version, "done"))
+    def commit(self, bookmarks: DataFrame, changes: DataFrame, runs: list[tuple[str, str]]) -> int:
+        """Commit the next state, as changes to the loaded window, and the rows that belong to it.
+
+        Raises `CommitConflict`, and commits nothing, if the loaded state is no longer the newest.
+        """
+        return self._commit(bookmarks, changes, runs, [] if self._base is None else self._base["window"])
+
+    def replace_state(self, bookmarks: DataFrame, window: DataFrame) -> int:
+        """Commit a state that replaces the committed one; the rows stay."""
+        self._base = self._log.latest()
+        return self._commit(bookmarks, window.withColumn("gone", F.lit(False)), [], [])
+
+    def _commit(self, bookmarks: DataFrame, changes: DataFrame, runs: list[tuple[str, str]], window: list[str]) -> int:
+        base = self._base or {"version": 0, "runs": []}
+        version = base["version"] + 1
+        part = posixpath.join("state", "commits", f"{version:012d}-{uuid.uuid4().hex}")
+        path = posixpath.join(self.folder, part)
+        entry = {"version": version, "bookmarks": f"{part}/bookmarks"}
+        bookmarks.coalesce(1).write.parquet(f"{path}/bookmarks")
+        changes = changes.withColumn("version", F.lit(version).cast("long"))
+        if len(window) >= MERGE_EVERY:
+            marks = self._table([entry["bookmarks"]], BOOKMARKS)
+            whole = window_at(self._table(window, VERSIONED).unionByName(changes), marks)
+            changes = whole.withColumns({"gone": F.lit(False), "version": F.lit(version).cast("long")})
+            window = []
+        changes.write.parquet(f"{path}/window")
+        entry["window"] = [*window, f"{part}/window"]
+        entry["runs"] = base["runs"]
+        if runs:
+            added = local_frame(self.spark, runs, _RUNS).coalesce(1)
+            if len(base["runs"]) >= MERGE_EVERY:
+                added = self._table(base["runs"], _RUNS).unionByName(added)
+            added.write.parquet(f"{path}/runs")
+            before = base["runs"] if len(base["runs"]) < MERGE_EVERY else []
+            entry["runs"] = [*before, f"{part}/runs"]
+        self._log.claim(version, entry)
+        self._base = entry
         return version
 
     def runs(self) -> DataFrame:
         """Every committed `(stream, folder)`."""
-        paths = [self._part(version, "runs") for version in self._versions()]
-        if not paths:
-            return local_frame(self.spark, [], _RUNS)
-        return self.spark.read.schema(_RUNS).parquet(*paths)
+        entry = self._log.latest()
+        return self._table([] if entry is None else entry["runs"], _RUNS)
 
     def read(self, stream: Stream) -> DataFrame:
         """A stream's committed rows. Without any, an empty table with its schema."""
+        return self._rows(stream, stream.schema())
+
+    def _rows(self, stream: Stream, schema: str | T.StructType) -> DataFrame:
         folders = [row.folder for row in self.runs().where(F.col("stream") == stream.name).collect()]
         if not folders:
-            return local_frame(self.spark, [], stream.schema())
-        return self.spark.read.schema(stream.schema()).parquet(*folders)
+            return local_frame(self.spark, [], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
+
+    def notes(self, stream: Stream) -> DataFrame:
+        """What was renamed or dropped in a stream's committed rows: `note, rows`, all of it."""
+        rows = self._rows(stream, f"{NOTES} array<string>")
+        return rows.select(F.explode(NOTES).alias("note")).groupBy("note").agg(F.count("*").alias("rows"))
 
     def errors(self, folder: str) -> DataFrame:
         """The rows of a run that could not be read or converted."""

@@ -16,10 +16,10 @@ from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeloader.model import JSONL, KEY, LAST_MODIFIED, LIMITED_MAX_OBJECTS, LoadError, ObjectChanged
+from lakeloader.model import JSONL, KEY, LAST_MODIFIED, LIMITED_MAX_OBJECTS, MAX_REPORTED_KEYS, LoadError, ObjectChanged
 from lakeloader.operators import incremental as inc
 from lakeloader.plans.catalog import Catalog, Group, Stream
 from lakeloader.plans.read import ERROR, NOTES, OBJ, POS, ROW, Batch, GroupRows, location_of, read_order, schema_notes
@@ -80,6 +80,8 @@ class SyncResult:
     skipped: dict[str, str] = field(default_factory=dict)
     renamed: dict[str, set[str]] = field(default_factory=dict)
     dropped: dict[str, set[str]] = field(default_factory=dict)
+    # Streams with more of them than are reported here; `sink.notes` gives all.
+    more_notes: set[str] = field(default_factory=set)
     objects_read: int = 0
     commits: int = 0
 
@@ -141,7 +143,7 @@ def sync(
     groups, skipped = catalog.link(present)
     result = SyncResult(sink, catalog, skipped)
     if state is not None:
-        sink.commit(*state, [])
+        sink.replace_state(*state)
     start = F.lit(inc.window_start(listed_at, settings.lookback_minutes))
     _Run(manifest, [group for group in groups if group.active()], settings, start, result).run()
     return result
@@ -178,7 +180,9 @@ class _Run:
         self.waiting = self.waiting_bytes = 0
         self.committed_at = time.monotonic()
         self.times: list[tuple[datetime.datetime, datetime.datetime]] = []
-        self.window: DataFrame | None = None
+        # Entries of the window whose times the listing changes; the first commit stores them.
+        self.window_times: DataFrame | None = None
+        self.first = True
 
     def run(self) -> None:
         if not self.groups:
@@ -195,8 +199,8 @@ class _Run:
                 + F.floor(F.col("bytes_before") / settings.checkpoint_bytes),
             )
         )
-        self.window = written(
-            inc.refresh_window(window, self.manifest, members, settings.whole_listing), "window"
+        self.window_times = written(
+            inc.window_times(window, self.manifest, members, settings.whole_listing), "window"
         )
         sizes: dict[str, list[tuple]] = {}
         times = [F.sum("size"), F.min("last_modified"), F.max("last_modified")]
@@ -240,10 +244,8 @@ class _Run:
             # A limit can drop rows, so a limited stream never moves.
             if stream.name not in self.settings.limits
         ]
-        bookmarks, window = self.sink.load_state()
-        if self.window is not None:
-            # The first commit of a run keeps the times of its listing.
-            window, self.window = self.window, None
+        bookmarks = self.sink.bookmarks()
+        changes = local_frame(self.spark, [], inc.CHANGES)
         if rows:
             tracked = local_frame(self.spark, rows, inc.MEMBERS)
             waiting = local_frame(self.spark, self.batches, "stream string, batch bigint")
@@ -258,11 +260,11 @@ class _Run:
                     self.readable, tracked, finished, bookmarks, self.start, tuple(ends) or None
                 )
             )
-            entries = inc.next_window(tracked, finished, marks, window)
+            changes = inc.window_changes(tracked, finished, marks, self.window_times, self.first)
             bookmarks = inc.others(bookmarks, tracked).unionByName(marks)
-            window = inc.others(window, tracked).unionByName(entries)
+            self.first = False
         if rows or self.runs:
-            self.sink.commit(bookmarks, window, self.runs)
+            self.sink.commit(bookmarks, changes, self.runs)
             self.result.commits += 1
         self.runs, self.batches, self.complete, self.times = [], [], set(), []
         self.waiting = self.waiting_bytes = 0
@@ -357,7 +359,11 @@ class _Run:
             first = written.where(F.col(ERROR).isNotNull()).orderBy(LAST_MODIFIED, KEY, ROW).first()
             if first is not None:
                 failures.append(self._failure(batch, numbers[first[KEY]], stream, first))
-            for row in written.select(F.explode(NOTES).alias("note")).distinct().collect():
+            kind = Window.partitionBy(F.split_part("note", F.lit(":"), F.lit(1))).orderBy("note")
+            notes = written.select(F.explode(NOTES).alias("note")).distinct()
+            # One more than is shown tells that there are more.
+            notes = notes.withColumn("place", F.row_number().over(kind)).where(F.col("place") <= MAX_REPORTED_KEYS + 1)
+            for row in notes.collect():
                 self._note(stream.name, row.note)
             if limit is not None:
                 counts[stream.name] = written.count()
@@ -379,7 +385,13 @@ class _Run:
     def _note(self, stream: str, note: str) -> None:
         kind, _, text = note.partition(":")
         notes = self.result.renamed if kind == "rename" else self.result.dropped
-        notes.setdefault(stream, set()).add(text)
+        shown = notes.setdefault(stream, set())
+        if text in shown:
+            return
+        if len(shown) < MAX_REPORTED_KEYS:
+            shown.add(text)
+        else:
+            self.result.more_notes.add(stream)
 
 
 # Fixed text: how Spark names the file of a failed read.

@@ -95,6 +95,11 @@ def test_the_step_agrees_with_a_loop(spark):
         found = {name: {} for name in cases}
         for row in kept.collect():
             found[row.stream][row.key] = row.etag
+        # The same, stored as changes.
+        changes = inc.window_changes(after, finished, moved, inc.window_times(window, manifest, after))
+        stored = window.select("*", F.lit(False).alias("gone"), F.lit(0).alias("version"))
+        again = inc.window_at(stored.unionByName(changes.withColumn("version", F.lit(1))), moved)
+        assert sorted(map(tuple, again.collect())) == sorted(map(tuple, kept.collect()))
         for row in moved.collect():
             own = row.bookmark if row.replication_key == "_s3_last_modified" else None
             assert own == expected[row.stream][1], row.stream

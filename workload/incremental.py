@@ -142,6 +142,16 @@ def window_after_failure(spark: SparkSession, folder: str) -> DataFrame:
     return inc.next_window(members, done, moved, fresh).select("stream", "key", "etag")
 
 
+def window_deltas(spark: SparkSession, folder: str) -> DataFrame:
+    """The window after the same step, kept as changes: the old entries, then what the step adds."""
+    marks, window = _state(spark, folder)
+    manifest, members, done = _manifest(spark, folder), _members(spark), _finished(spark, folder)
+    moved = inc.next_bookmarks(manifest, members, done, marks, _start())
+    changes = inc.window_changes(members, done, moved, inc.window_times(window, manifest, members))
+    stored = window.select("*", F.lit(False).alias("gone"), F.lit(0).alias("version"))
+    return inc.window_at(stored.unionByName(changes.withColumn("version", F.lit(1))), moved).select("stream", "key", "etag")
+
+
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     rows = spread(table(spark, folder, "events"), "event_id")
     return listing(spark, write_text(json_lines(rows, F.expr(_EVENT))), "events", ".jsonl")
@@ -211,6 +221,7 @@ QUERIES = {
     "inc_bookmarks_complete": bookmarks_complete,
     "inc_window_prune": window_prune,
     "inc_window_after_failure": window_after_failure,
+    "inc_window_deltas": window_deltas,
     "sync_twice": sync_twice,
     "sync_child_batches": sync_group,
     "limit_rows": limited,
@@ -258,3 +269,5 @@ ORACLES = {
           ORDER BY {bucket_sql('o_orderkey')}, o_orderkey, idx LIMIT 700)""",
     "stream_sync": _expected("events", "event_id", _EVENT_COLUMNS, ".jsonl", _EVENT_VALUES),
 }
+# Stored as changes or whole, a window is the same.
+ORACLES["inc_window_deltas"] = ORACLES["inc_window_after_failure"]
