@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -57,7 +58,22 @@ def unused(frame: DataFrame, *names: str) -> list[str]:
 def in_tasks(frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """Run `work` on each partition's stream of Arrow batches."""
     prepare(frame.sparkSession)
-    return frame.mapInArrow(work, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return frame.mapInArrow(task, schema)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on, for tasks that hold other things."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def one_row_each(docs: DataFrame, kept: DataFrame, keys: dict[str, Column]) -> DataFrame:
