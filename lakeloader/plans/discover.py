@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -13,16 +14,20 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from lakeloader.functions import kinds as K
 from lakeloader.functions.datetimes import is_iso_datetime
 from lakeloader.functions.names import Lineage, top_level_name
-from lakeloader.model import CHILD_METADATA, DELIMITED, JSONL, PARQUET, SAMPLE_OBJECTS, SAMPLE_ROWS
+from lakeloader.model import CHILD_METADATA, DELIMITED, JSON, JSONL, PARQUET, SAMPLE_OBJECTS, SAMPLE_ROWS
 from lakeloader.operators import columnar
 from lakeloader.operators.pieces import NAMED, Record, named_batches
 from lakeloader.plans.catalog import Catalog, Stream, plan_child_names
 from lakeloader.plans.catalog import Column as CatalogColumn
 from lakeloader.plans.read import Batch, _union, json_records
 from lakeloader.session import local_frame, prepare, written
-from lakeloader.sources.heads import json_lines
+from lakeloader.sources.document import first_records
+from lakeloader.sources.heads import json_lines, open_bytes
 from lakeloader.sources.layout import Layout, build_layout, newest
 
+# How many more objects of a stream are looked at when too few have parsed.
+_LOOK_AGAIN = 64
+
 OBSERVED = (
     "obj int, lineage array<array<string>>, column string, kind string, "
     "row bigint, seq int, place int, container boolean"
@@ -150,12 +155,12 @@ def _sample(batch: Batch) -> tuple[DataFrame, dict[int, str], dict[int, set[str]
         for table in found.values():
             renamed.setdefault(item.obj, set()).update(table.renamed)
     frames = [local_frame(spark, rows, OBSERVED)] if rows else []
-    lines = batch.of(JSONL)
-    documents = Batch(
-        spark, [item for item in batch.objects if item.kind not in (JSONL, PARQUET)],
-        batch.modified, batch.versions, batch.heads,
-    )
-    named = [_sample_lines(spark, lines)] if lines else []
+    # Which field of an object document holds its records shows only at its end, so
+    # those documents are read whole, in splits.
+    starts = batch.of(JSONL) + [item for item in batch.of(JSON) if batch.heads[item.obj]["root"] == "["]
+    read = {item.obj for item in starts}
+    documents = batch.subset({item.obj for item in batch.of(JSON)} - read)
+    named = [_sample_starts(spark, starts)] if starts else []
     for scan, decode in json_records(documents, SAMPLE_ROWS):
         def task(batches, decode=decode):
             return named_batches(decode(batches))
@@ -179,26 +184,35 @@ def _sample(batch: Batch) -> tuple[DataFrame, dict[int, str], dict[int, set[str]
     return written(observed), errors, renamed
 
 
-def _sample_lines(spark: SparkSession, lines: list) -> DataFrame:
-    """The first rows of JSON lines objects; only their heads are read."""
-    frame = local_frame(spark, 
-        [(item.obj, item.path, item.compressed) for item in lines],
-        "obj int, path string, compressed boolean",
-    ).repartition(min(len(lines), 4 * spark.sparkContext.defaultParallelism))
+def _head_records(row: dict) -> Iterator[Record]:
+    """The first records of a JSON lines object or a JSON array; a failure is a record, too."""
+    number = 0
+    try:
+        if row["kind"] == JSONL:
+            for value in json_lines(row["path"], row["compressed"], SAMPLE_ROWS):
+                number += 1
+                yield Record(row["obj"], number, value)
+        else:
+            with open_bytes(row["path"], row["compressed"]) as stream:
+                for record in first_records(stream, row["obj"], SAMPLE_ROWS):
+                    number = record.row
+                    yield record
+    except Exception as err:  # noqa: BLE001 - any reader error is about the object
+        yield Record(row["obj"], number + 1, None, f"{type(err).__name__}: {err}")
+
+
+def _sample_starts(spark: SparkSession, objects: list) -> DataFrame:
+    """The first rows of JSON lines objects and JSON arrays; only so much of them is read."""
+    frame = local_frame(
+        spark,
+        [(item.obj, item.path, item.kind, item.compressed) for item in objects],
+        "obj int, path string, kind string, compressed boolean",
+    ).repartition(min(len(objects), 4 * spark.sparkContext.defaultParallelism))
 
     def read(batches):
-        def records():
-            for batch in batches:
-                for row in batch.to_pylist():
-                    number = 0
-                    try:
-                        for value in json_lines(row["path"], row["compressed"], SAMPLE_ROWS):
-                            number += 1
-                            yield Record(row["obj"], number, value)
-                    except Exception as err:  # noqa: BLE001 - any reader error is about the object
-                        yield Record(row["obj"], number + 1, None, f"{type(err).__name__}: {err}")
-
-        return named_batches(records())
+        return named_batches(
+            record for batch in batches for row in batch.to_pylist() for record in _head_records(row)
+        )
 
     return frame.mapInArrow(read, NAMED)
 
@@ -232,24 +246,21 @@ def _readable(schema: pa.Schema) -> pa.Schema:
 def sample_objects(manifest: DataFrame):
     """Sample the newest objects that parse, at most five per stream.
 
-    Objects that don't parse are replaced by the next newest ones, in rounds
-    that look further each time. Gives what the objects show, the rank of the
-    ones that count, and the ones that failed.
+    Objects that don't parse are replaced by the next newest ones, in rounds. Each
+    round takes up where the one before ended and looks at the same number of
+    objects, so the driver holds no more of a stream with many bad objects. Gives
+    what the objects show, the rank of the ones that count, and the ones that failed.
     """
     spark = manifest.sparkSession
     observed: list[DataFrame] = []
     good: dict[str, list[tuple[int, int]]] = {}
     skipped: dict[str, str] = {}
     renamed: dict[str, set[str]] = {}
-    done, look, base = 0, SAMPLE_OBJECTS, 0
-    open_streams: set[str] | None = None
-    while open_streams is None or open_streams:
-        wanted = newest(manifest, look).where(F.col("newest_rank") > done)
-        if open_streams is not None:
-            names = local_frame(spark, [(name,) for name in open_streams], "stream string")
-            wanted = wanted.join(F.broadcast(names), "stream", "left_semi")
-        wanted = written(wanted)
-        places = {row.key: (row.stream, row.newest_rank) for row in wanted.collect()}
+    left, looked, base = manifest, 0, 0
+    while True:
+        look = _LOOK_AGAIN if looked else SAMPLE_OBJECTS
+        wanted = written(newest(left, look))
+        places = {row.key: (row.stream, looked + row.newest_rank) for row in wanted.collect()}
         if not places:
             break
         batch = Batch.collect(wanted, skip_changed=True).renumbered(base)
@@ -267,9 +278,15 @@ def sample_objects(manifest: DataFrame):
             else:
                 taken.append((item.obj, rank))
                 renamed.setdefault(stream, set()).update(notes.get(item.obj, ()))
-        seen = {stream for stream, _ in places.values()}
-        open_streams = {name for name in seen if len(good.setdefault(name, [])) < SAMPLE_OBJECTS}
-        done, look = look, look * 4
+        looked += look
+        for stream, _ in places.values():
+            good.setdefault(stream, [])
+        # Streams that have this many objects, and maybe more.
+        full = [stream for stream, rank in places.values() if rank == looked]
+        short = [(stream,) for stream in full if len(good[stream]) < SAMPLE_OBJECTS]
+        if not short:
+            break
+        left = _older(manifest, wanted, local_frame(spark, short, "stream string"))
     ranks = local_frame(spark, 
         [(obj, stream, rank) for stream, taken in good.items() for obj, rank in taken],
         "obj int, stream string, newest_rank int",
@@ -278,6 +295,14 @@ def sample_objects(manifest: DataFrame):
     return union, ranks, good, skipped, renamed
 
 
+def _older(manifest: DataFrame, seen: DataFrame, streams: DataFrame) -> DataFrame:
+    """The objects of some streams that are older than those seen of them."""
+    last = seen.groupBy("stream").agg(F.min(F.struct("last_modified", "key")).alias("last"))
+    # One row per stream.
+    rows = manifest.join(F.broadcast(last.join(streams, "stream", "left_semi")), "stream")
+    return rows.where(F.struct("last_modified", "key") < F.col("last")).select(*manifest.columns)
+
+
 def discover(listing: DataFrame, prefix: str | None = None, exclude: str | None = None) -> Discovery:
     """Build the catalog of everything below a prefix."""
     prepare(listing.sparkSession)

@@ -20,6 +20,7 @@ import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ from lakeloader.sources.jsonl import BOM, decode_object
 from lakeloader.sources.textscan import ScanObject, cut_and_whole, scan_parts, split_runs, stitch, text_scan
 
 CUT = "}"
+_CHUNK = 1 << 16
 _STRING = re.compile(rb'"[^"\\]*(?:\\.[^"\\]*)*"', re.DOTALL)
 _STRING_END = re.compile(rb'[^"\\]*(?:\\.[^"\\]*)*"', re.DOTALL)
 _TOKEN = re.compile(
@@ -554,6 +556,34 @@ class Documents:
         return chains
 
 
+def _cut(stream: BinaryIO) -> Iterator[bytes]:
+    """What a stream holds between its braces, a chunk read at a time."""
+    open_piece: list[bytes] = []
+    while chunk := stream.read(_CHUNK):
+        first, *others = chunk.split(b"}")
+        open_piece.append(first)
+        for piece in others:
+            yield b"".join(open_piece)
+            open_piece = [piece]
+    yield b"".join(open_piece)
+
+
+def first_records(stream: BinaryIO, obj: int, count: int) -> Iterator[Record]:
+    """The first records of a JSON array. Reads on only while records are asked for.
+
+    What is wrong with the array after its first `count` records stays unseen.
+    """
+    walk = Walk(Start())
+    # The piece after the last brace is given, too, if only as an empty one.
+    walk.ends_in_brace = lambda: False
+    try:
+        texts = walk.records(_without_bom(_cut(stream)))
+        for text in itertools.islice(texts, count):
+            yield _decode(obj, walk.rows, text)
+    except DocumentError as err:
+        yield Record(obj, walk.rows + 1, None, str(err))
+
+
 def _decode(obj: int, row: int, text: bytes) -> Record:
     try:
         return Record(obj, row, decode_object(text, strict=True), None, len(text))

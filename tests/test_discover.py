@@ -1,5 +1,8 @@
 """Discovery: sampling, kinds, naming, and the catalog's forms."""
 
+import gzip
+import io
+import itertools
 import json
 
 import pytest
@@ -7,7 +10,10 @@ from cases import minutes
 
 from lakeloader import Catalog, Column, Stream
 from lakeloader.functions import kinds as K
+from lakeloader.plans import discover as discovery
 from lakeloader.plans.catalog import plan_child_names
+from lakeloader.sources import document
+from lakeloader.sources.document import first_records
 
 
 def lines(*rows):
@@ -173,3 +179,67 @@ def test_objects_that_changed_since_the_listing_are_skipped(bucket):
     found = discover(listing)
     assert "changed" in found.skipped["s/b.jsonl"]
     assert [column.name for column in found.catalog.streams["s"].columns] == ["a"]
+
+
+class Counted(io.BytesIO):
+    """Bytes that count how many were read of them."""
+
+    taken = 0
+
+    def read(self, size=-1):
+        data = super().read(size)
+        self.taken += len(data)
+        return data
+
+
+@pytest.mark.parametrize("tail", [b"]", b"", b", 7]", b"}}"])
+def test_an_array_is_read_as_far_as_it_is_sampled(tail):
+    rows = [{"n": n, "t": "}{\"[" * (n % 3), "l": [{"a": [n]}, {}], "o": {"p": {}}} for n in range(60_000)]
+    text = b"\xef\xbb\xbf [" + ",\n".join(map(json.dumps, rows)).encode() + tail
+    source = Counted(text)
+    found = list(first_records(source, 4, 1000))
+    assert [record.value for record in found] == rows[:1000]
+    assert {record.obj for record in found} == {4} and found[-1].row == 1000
+    assert source.taken < len(text) / 5
+
+
+@pytest.mark.parametrize(
+    "text, good, error",
+    [
+        ("[]", 0, None), (" [ ] ", 0, None), ('[{"a": 1}]', 1, None), ('[{"a": "}"}, {}]', 2, None),
+        ("[", 0, "incomplete"), ('[{"a": 1}', 1, "incomplete"), ('[{"a": 1', 0, "incomplete"),
+        ('[{"a": 1}}', 1, "DocumentError"), ('[{"a": 1}, 2]', 1, "DocumentError"), ('[{"a": 01}, {}]', 0, "ValueError"),
+    ],
+)
+@pytest.mark.parametrize("chunk", [1, 3, 1 << 16])
+def test_short_and_broken_arrays(monkeypatch, text, good, error, chunk):
+    monkeypatch.setattr(document, "_CHUNK", chunk)
+    found = list(first_records(io.BytesIO(text.encode()), 0, 1000))
+    assert len(list(itertools.takewhile(lambda record: record.error is None, found))) == good
+    assert any(record.error for record in found) == (error is not None)
+    if error == "incomplete":
+        assert "incomplete" in found[-1].error
+
+
+def test_streams_with_many_bad_objects_are_looked_at_in_even_rounds(bucket, monkeypatch):
+    monkeypatch.setattr(discovery, "_LOOK_AGAIN", 3)
+    # Only every fifth object of the first stream parses, none of the second, all of the third.
+    for number in range(31):
+        bucket.put(f"a/{number:02}.json", f'[{{"c{number}": 1}}]' if number % 5 == 0 else "[{", minutes(number))
+        bucket.put(f"b/{number:02}.json", "[{]", minutes(number))
+    for number in range(7):
+        bucket.put(f"c/{number:02}.json", f'[{{"c{number}": 1}}]', minutes(0))
+    found = bucket.discover()
+    assert list(bucket.kinds("a")) == ["c30", "c25", "c20", "c15", "c10"]
+    assert list(bucket.kinds("b")) == []
+    assert list(bucket.kinds("c")) == ["c6", "c5", "c4", "c3", "c2"]
+    bad = [f"a/{n}.json" for n in range(11, 30) if n % 5] + [f"b/{n:02}.json" for n in range(31)]
+    assert sorted(found.skipped) == bad
+
+
+def test_arrays_that_end_early_are_skipped(bucket):
+    whole = gzip.compress(json.dumps([{"x": n} for n in range(5000)]).encode())
+    bucket.put("s/a.json.gz", '[{"a": 1}]', minutes(0))
+    bucket.put_raw("s/b.json.gz", whole[: len(whole) // 50], minutes(1))
+    found = bucket.discover()
+    assert list(bucket.kinds("s")) == ["a"] and list(found.skipped) == ["s/b.json.gz"]
