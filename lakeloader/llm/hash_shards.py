@@ -26,6 +26,8 @@ SHARD_BYTES = 16 << 20
 KEY_BITS = 60
 #: Bits that cells are finer than shards of the mean size.
 FINER = 4
+#: Bytes of text a writing task gets on average. It holds whole shards.
+TASK_BYTES = 128 << 20
 #: Bits a further round adds.
 ROUND_BITS = 8
 
@@ -37,12 +39,17 @@ def hash_bits(key: Column) -> Column:
 
 def assign(docs: DataFrame, max_bytes: int = SHARD_BYTES, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of `docs`: `doc_id, bytes, shard` (its bits), `depth, shard_bytes, shard_docs`."""
-    placed = _placed(docs, max_bytes, id_column, text_column)
+    placed, _ = _placed(docs, max_bytes, id_column, text_column)
     return placed.select("doc_id", "bytes", "shard", F.length("shard").alias("depth"), "shard_bytes", "shard_docs")
 
 
-def _placed(docs: DataFrame, max_bytes: int, id_column: str, text_column: str, *carried: Column) -> DataFrame:
-    """Rows with their shards; carried columns are written beside the bits."""
+def _tasks(docs: DataFrame, total: int) -> int:
+    """The number of writing tasks: it grows with the bytes, whatever the session's number of partitions."""
+    return max(-(-total // TASK_BYTES), 4 * docs.sparkSession.sparkContext.defaultParallelism)
+
+
+def _placed(docs: DataFrame, max_bytes: int, id_column: str, text_column: str, *carried: Column) -> tuple[DataFrame, int]:
+    """Rows with their shards, and the bytes of all their texts; carried columns are written beside the bits."""
     rows = docs.select(
         *carried,
         column(id_column).cast("long").alias("doc_id"),
@@ -71,7 +78,7 @@ def _placed(docs: DataFrame, max_bytes: int, id_column: str, text_column: str, *
     depths = [x.cell_depth for x in shards.select("cell_depth").distinct().collect()]
     # A cell lies in one round's table only, so each row meets one shard.
     cells_of = F.explode(F.array(*[F.substring("bits", 1, x) for x in depths])) if depths else F.lit("")
-    return rows.withColumn("cell", cells_of).join(shards.drop("cell_depth"), "cell")
+    return rows.withColumn("cell", cells_of).join(shards.drop("cell_depth"), "cell"), total
 
 
 def _cells(rows: DataFrame, above: int, depth: int, max_bytes: int, last: bool) -> DataFrame:
@@ -104,11 +111,11 @@ def shard_documents(
     """
     (shard,) = unused(docs, "shard")
     document = F.struct(*[column(old).alias(f"c{i}") for i, old in enumerate(docs.columns)]).alias("document")
-    placed = _placed(docs, max_bytes, id_column, text_column, document)
+    placed, total = _placed(docs, max_bytes, id_column, text_column, document)
     made = placed.select(
         *[F.col(f"document.c{i}").alias(old) for i, old in enumerate(docs.columns)], F.concat(F.lit("s"), F.col("shard")).alias(shard)
     )
-    made.repartition(column(shard)).write.option("compression", "zstd").partitionBy(shard).parquet(folder)
+    made.repartition(_tasks(docs, total), column(shard)).write.option("compression", "zstd").partitionBy(shard).parquet(folder)
     return docs.sparkSession.read.schema(made.schema).parquet(folder)
 
 
@@ -125,12 +132,14 @@ def read_assignment(sharded: DataFrame, id_column: str = "doc_id", text_column:
 
 def write_shards(docs: DataFrame, assigned: DataFrame, folder: str, id_column: str = "doc_id") -> None:
     """Write every shard's documents by an assignment of their ids; repeated ids are an error (see `shard_documents`)."""
-    if assigned.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").head(1):
+    ids = assigned.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    most, total = ids.agg(F.max("n"), F.sum("bytes")).first()
+    if most and most > 1:
         raise ValueError("an assignment by id can't tell rows that share an id apart; use shard_documents")
     key, shard = unused(docs, "key", "shard")
     shards = assigned.select(F.col("doc_id").alias(key), F.concat(F.lit("s"), F.col("shard")).alias(shard))
     joined = docs.join(shards, column(id_column).cast("long").eqNullSafe(F.col(key))).drop(key)
-    joined.repartition(shard).write.partitionBy(shard).parquet(folder)
+    joined.repartition(_tasks(docs, total or 0), shard).write.partitionBy(shard).parquet(folder)
 
 
 def oracle(max_bytes: int = SHARD_BYTES, documents: str = "documents") -> str:

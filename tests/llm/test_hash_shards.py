@@ -75,3 +75,11 @@ def test_query_reads_written_shards(spark, small_tables, tmp_path):
     back = H.shard_documents(spark.read.parquet(f"{small_tables}/documents.parquet"), str(tmp_path / "shards"), 20_000)
     known = duckdb.connect().sql(H.oracle(20_000, f"'{small_tables}/documents.parquet'")).fetchall()
     assert rows_of(H.read_assignment(back)) == sorted(known, key=repr)
+
+
+def test_writing_tasks_grow_with_the_bytes(spark, documents):
+    """Not with the session's partitions; small tables still use every core."""
+    cores = spark.sparkContext.defaultParallelism
+    assert H._tasks(documents, 0) == 4 * cores
+    assert H._tasks(documents, 30 << 30) == max(240, 4 * cores)
+    assert H._tasks(documents, (100 << 40) + 1) == 819_201
