@@ -104,7 +104,7 @@ def moments(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select("o_orderkey", F.unix_millis(moment).alias("millis"))
 
 
-_LOOKBACKS = [None, 0, -5, 31, 100_000]
+_LOOKBACKS = [None, -5, 100_000]
 
 
 def window_starts(spark: SparkSession, folder: str) -> DataFrame:
@@ -211,7 +211,7 @@ ORACLES = {
         WHEN 3 THEN 3723250 - 19800000 WHEN 4 THEN 0 ELSE 3723000 END AS millis FROM orders""",
     "sync_window_start": f"""SELECT CAST(lookback AS BIGINT) AS lookback,
         CAST(newest + 1800 - 60 * greatest(coalesce(lookback, 60), 0) AS BIGINT) AS bookmark
-        FROM {_NEWEST}, (VALUES (NULL), (0), (-5), (31), (100000)) AS lookbacks(lookback)""",
+        FROM {_NEWEST}, (VALUES (NULL), (-5), (100000)) AS lookbacks(lookback)""",
     "select_root_left_out": f"SELECT {', '.join(_CHILD)} FROM ({_child_sql('.jsonl')})",
     "sync_late_child": f"""SELECT *, 'events' AS streams FROM ({_expected('events', 'event_id', [], '.jsonl',
         ['event_id AS id', 'event_type AS type'])})""",
