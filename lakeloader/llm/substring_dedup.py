@@ -21,8 +21,8 @@ the shared folder and deleted after their last use.
 Defined results: null text has no words; rows that share id and text count as one
 document, rows that share only the id are ordered by a hash of their text; a null id
 comes before all others; documents of fewer than `WINDOW` words keep all; an empty
-table gives no rows. Words are compared in segments and windows by 128 bits of hash,
-and as words within a shard.
+table gives no rows. Segments of one minimizer are compared by 64 bits of hash,
+windows outside the index by 128, and those within a shard as words.
 """
 
 from __future__ import annotations
