@@ -7,7 +7,7 @@ FOLDER = "/root/testdata/sf0.001"
 NAMES = (
     "layout_streams", "layout_strip_tokens", "name_encoding", "scan_csv_ragged", "scan_json_wrapper",
     "explode_grandchild", "explode_child_jsonl", "convert_errors", "infer_kinds_events", "inc_targets",
-    "inc_window_after_failure", "stream_sync",
+    "inc_window_after_failure", "stream_sync", "discover_newest_unparsable", "infer_placeholders",
 )
 
 
