@@ -6,7 +6,9 @@ import pytest
 from cases import minutes
 from pyspark import cloudpickle
 
+from lakeloader import read_tables
 from lakeloader.model import DELIMITED, JSON, JSONL, PARQUET
+from lakeloader.operators.pieces import Record, Target, parts, piece_batches
 from lakeloader.plans.read import Batch
 from lakeloader.session import Shipped, prepare, spread_tasks
 from lakeloader.sources.layout import build_layout
@@ -106,3 +108,24 @@ def test_files_are_looked_at_anew_without_a_listing(bucket):
     bucket.remove("t2.csv")
     assert [item.key for item in batch.overwritten()] == ["t1.csv", "t2.csv"]
     assert [item.key for item in batch.subset({0, 1}).overwritten()] == ["t1.csv"]
+
+
+def test_only_lists_on_the_way_to_a_wanted_stream_are_opened():
+    record = {"id": 1, "a": [{"x": 1, "b": [{"y": 1}]}], "c": [{"z": 1}, {"z": 2}]}
+    a, b, c = (("a",),), (("a",), ("b",)), (("c",),)
+    assert [part.lineage for part in parts(record, 1)] == [(), a, b, c, c]
+    assert [part.lineage for part in parts(record, 1, frozenset({(), a}))] == [(), a]
+    target = Target(2, (("z", "integer"), ("_parent__id", "integer")))
+    (made,) = piece_batches(iter([Record(7, 1, record), Record(7, 2, None, "bad")]), {c: target})
+    assert made.column("stream").to_pylist() == [2, 2, -1]
+    assert [row and row["v0"] for row in made.column("s2").to_pylist()] == [1, 2, None]
+
+
+def test_streams_without_a_stage_make_their_own_pieces_only(bucket):
+    bucket.put("t.json", '{"n": 1, "rows": [{"id": 1, "l": [{"w": 1}, {"w": 2}]}, {"id": 2, "l": []}]}', minutes(1))
+    found = bucket.discover()
+    tables = read_tables(found.layout.manifest, found.catalog)
+    assert sorted(row.id for row in tables.rows("t").collect()) == [1, 2]
+    rows = tables.rows("t__l")
+    assert sorted((row["_parent__id"], row["_index"], row.w) for row in rows.collect()) == [(1, 0, 1), (1, 1, 2)]
+    assert "s0#" not in rows._jdf.queryExecution().executedPlan().toString()
