@@ -46,6 +46,8 @@ SHINGLE = 5
 #: Words in one shard's index on average, and words of one minimizer at most.
 SHARD_WORDS = 250_000
 NO_ID = -(1 << 63)
+#: Rows of a batch made in a task, and bytes of words in one, beyond which it ends.
+BATCH_ROWS, BATCH_BYTES = 1 << 16, 4 << 20
 _FACTORS = (np.random.default_rng(20).integers(1, 1 << 62, WINDOW, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -112,13 +114,27 @@ def contents(codes: np.ndarray, first: np.ndarray, words: np.ndarray) -> np.ndar
 
 
 def _each(batches: Iterator[pa.RecordBatch], work, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Batches of the arrays that `work` makes of each row, put together."""
+    """Batches of the arrays that `work` makes of each row, put together up to `BATCH_ROWS` rows."""
     table = _Codes()
+
+    def joined(made: list[tuple]) -> Iterator[pa.RecordBatch]:
+        whole = [np.concatenate(parts) for parts in zip(*made)]
+        for start in range(0, len(whole[0]), BATCH_ROWS):
+            cut = [x[start : start + BATCH_ROWS] for x in whole]
+            yield pa.record_batch([pa.array(x, kind) for x, kind in zip(cut, schema.types)], schema)
+
     for batch in slices(batches):
-        made = [arrays for row in zip(*(x.to_pylist() for x in batch.columns)) for arrays in work(table, *row)]
+        made, held = [], 0
+        # A row's values become Python objects when it is its turn.
+        for i in range(batch.num_rows):
+            for arrays in work(table, *(x[i].as_py() for x in batch.columns)):
+                made.append(arrays)
+                held += len(arrays[0])
+            if held >= BATCH_ROWS:
+                yield from joined(made)
+                made, held = [], 0
         if made:
-            joined = [np.concatenate(parts) for parts in zip(*made)]
-            yield pa.record_batch([pa.array(x, kind) for x, kind in zip(joined, schema.types)], schema)
+            yield from joined(made)
 
 
 _LONGS = {"long": pa.int64(), "int": pa.int32()}
@@ -223,17 +239,27 @@ def _repeated_segments(candidates: DataFrame, steps: _Steps) -> tuple[DataFrame,
 
 def _with_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The searched segments of each document with their words."""
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+
+    def joined(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(x, k) for x, k in zip(zip(*rows), kinds)]
+        return pa.record_batch(columns, ["shard", "id", "variant", "start", "windows", "words"])
+
     for batch in slices(batches):
-        rows: list[list] = [[], [], [], [], [], []]
-        for id_, variant, text, listed in zip(*(x.to_pylist() for x in batch.columns)):
+        rows, size = [], 0
+        for i in range(batch.num_rows):
+            id_, variant, text, listed = (x[i].as_py() for x in batch.columns)
             words = text.split()
             for found in listed:
                 start, windows = found["start"], found["windows"]
-                made = (found["shard"], id_, variant, start, windows, b" ".join(words[start : start + windows + WINDOW - 1]))
-                for held, value in zip(rows, made):
-                    held.append(value)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-        yield pa.record_batch([pa.array(x, k) for x, k in zip(rows, kinds)], ["shard", "id", "variant", "start", "windows", "words"])
+                part = b" ".join(words[start : start + windows + WINDOW - 1])
+                rows.append((found["shard"], id_, variant, start, windows, part))
+                size += len(part)
+                if size >= BATCH_BYTES:
+                    yield joined(rows)
+                    rows, size = [], 0
+        if rows:
+            yield joined(rows)
 
 
 def search_shard(rows: pa.Table) -> pa.Table:

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lakeloader.llm import substring_dedup as S
@@ -108,3 +109,23 @@ def test_segments_cover_every_window_once():
     codes = np.random.default_rng(2).integers(0, 50, 500).astype(np.uint64)
     _, first, windows = S.segments(codes)
     assert first[0] == 0 and (first[1:] == first[:-1] + windows[:-1]).all() and windows.sum() == 500 - 19
+
+
+def test_batches_made_in_tasks_are_bounded(monkeypatch):
+    monkeypatch.setattr(S, "BATCH_ROWS", 100)
+    monkeypatch.setattr(S, "BATCH_BYTES", 1000)
+    texts = [" ".join(f"w{n % 50}" for n in range(450)).encode()] * 3
+    listed = [[{"shard": 0, "start": start, "windows": 43} for start in range(0, 430, 43)]] * 3
+    kind = pa.list_(pa.struct([("shard", pa.int64()), ("start", pa.int32()), ("windows", pa.int32())]))
+    batch = pa.record_batch(
+        [pa.array([1, 2, 3]), pa.array([7, 8, 9]), pa.array(texts, pa.binary()), pa.array(listed, kind)],
+        ["id", "variant", "text", "listed"],
+    )
+    made = list(S._window_rows(iter([batch])))
+    assert max(part.num_rows for part in made) <= 100
+    whole = pa.Table.from_batches(made)
+    assert [(i, n) for i in (1, 2, 3) for n in range(430)] == list(zip(whole["id"].to_pylist(), whole["start"].to_pylist()))
+    made = list(S._with_words(iter([batch])))
+    assert max(sum(map(len, part.column("words").to_pylist())) for part in made) < 1000 + 62 * 4
+    words = pa.Table.from_batches(made)
+    assert words.num_rows == 30 and words["words"][1].as_py() == b" ".join(texts[0].split()[43:105])
