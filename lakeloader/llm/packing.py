@@ -14,10 +14,11 @@ Ids are little-endian unsigned 32-bit numbers.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
+import struct
 from collections.abc import Iterator
-from struct import pack as packed_numbers
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +56,11 @@ SPLITS = {
     },
 }
 _PLAIN = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+#: A word of letters and what follows them: two parts.
+_COMMON = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:;=-@[-`{-~]*)")
 _PART = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+#: Writers of so many numbers, little-endian.
+_NUMBERS = [struct.Struct(f"<{n}I").pack for n in range(16)]
 MEMBER = np.dtype([("row", "<i8"), ("length", "<i4")])
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 BINS = "size int, members binary, done boolean"
@@ -71,45 +76,64 @@ class WordTokenizer(dict):
     """
 
     def __init__(self, file: str):
-        from tokenizers import Tokenizer
-
-        self.general = Tokenizer.from_file(file)
+        self.general, self.plain, self.common = _loaded(file)
         self.model = self.general.model
-        settings = json.loads(self.general.to_str())
-        self.plain = _PLAIN if all(settings[name] == kind for name, kind in SPLITS.items()) else re.compile("(?!)")
+        # Parts of words, apart from runs of letters, which are words themselves.
         self.parts: dict[str, bytes] = {}
         self.held = 0
 
     def __missing__(self, word: str) -> bytes:
-        if self.plain.fullmatch(word) and "<|" not in word:
-            ids = b"".join([self.parts.get(part) or self._part(part) for part in _PART.findall(word.lower())])
+        common = self.common(word)
+        if common:
+            letters, rest = common.groups()
+            letters = letters.lower()
+            ids = self.get(letters) or self._part(letters, self)
+            if letters == word:
+                return ids
+            if rest:
+                ids += self.parts.get(rest) or self._part(rest, self.parts)
+        elif self.plain(word) and "<|" not in word:
+            parts = self.parts
+            ids = b"".join([parts.get(part) or self._part(part, parts) for part in _PART.findall(word.lower())])
         else:
             ids = np.array(self.general.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         self._keep(self, word, ids)
         return ids
 
-    def _part(self, part: str) -> bytes:
+    def _part(self, part: str, table: dict[str, bytes]) -> bytes:
         shown = part if part.isascii() else part.encode().decode("latin-1").translate(_SHOWN)
         found = [token.id for token in self.model.tokenize(shown)]
-        ids = packed_numbers(f"<{len(found)}I", *found)
-        self._keep(self.parts, part, ids)
+        ids = _NUMBERS[len(found)](*found) if len(found) < len(_NUMBERS) else np.array(found, "<u4").tobytes()
+        self._keep(table, part, ids)
         return ids
 
     def _keep(self, table: dict[str, bytes], word: str, ids: bytes) -> None:
         """Bounded by bytes: a full table is emptied, a very long word passes by."""
-        if len(word) > LONGEST_KEPT:
+        size = len(word)
+        if size > LONGEST_KEPT:
             return
         if self.held > TABLE_BYTES:
             self.clear()
             self.parts.clear()
             self.held = 0
         table[word] = ids
-        self.held += ENTRY_BYTES + len(word) + len(ids)
+        self.held += ENTRY_BYTES + size + len(ids)
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+@functools.lru_cache(maxsize=1)
+def _loaded(file: str) -> tuple:
+    """The tokenizer, and what matches plain and common words if it has the short way. A worker loads it once."""
+    from tokenizers import Tokenizer
+
+    general = Tokenizer.from_file(file)
+    settings = json.loads(general.to_str())
+    short = all(settings[name] == kind for name, kind in SPLITS.items())
+    return general, *((x if short else re.compile("(?!)")).fullmatch for x in (_PLAIN, _COMMON))
+
+
 def _shown() -> dict[int, str]:
     """Byte-level models see bytes without a printable character as characters from 256 on."""
     hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]

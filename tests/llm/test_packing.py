@@ -103,3 +103,21 @@ def test_other_columns_come_along(spark):
     made = P.pack(frame, capacity=10, nearly_full=0)
     assert made.columns == [*frame.columns, "sequence_id", "offset"]
     assert rows_of(made, *frame.columns) == rows_of(frame)
+
+
+def test_words_cost_little_when_they_are_new(monkeypatch):
+    """A file is loaded once in a process; runs of letters are kept once, and words of them need no search for parts."""
+    words, again, model = P.WordTokenizer(FILE), P.WordTokenizer(FILE), Tokenizer.from_file(FILE)
+    assert words.general is again.general
+
+    class NoSearch:
+        def findall(self, word):
+            raise AssertionError(word)
+
+    monkeypatch.setattr(P, "_PART", NoSearch())
+    text = "Hello hello, HELLO hello... \u00c9T\u00c9 \u00e9t\u00e9! a() \u00dfx** <|endoftext|>a it's a<| <b"
+    got = np.frombuffer(words.encode(text.rpartition(" a<|")[0]), "<u4").tolist()
+    assert got == model.encode(text.rpartition(" a<|")[0], add_special_tokens=False).ids
+    assert {"hello", "hello,", "HELLO", "\u00e9t\u00e9"} <= set(words) and not {"hello", "\u00e9t\u00e9"} & set(words.parts)
+    monkeypatch.undo()
+    assert np.frombuffer(again.encode(text), "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
