@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloader.llm.base import ENTRY_BYTES, LONGEST_KEPT, TABLE_BYTES, column, in_tasks, mix, slices, unused
+from lakeloader.llm.base import column, in_tasks, mix, slices, unused
 from lakeloader.llm.fm_index import FmIndex
 from lakeloader.session import fresh_folder
 
@@ -48,29 +48,31 @@ SHARD_WORDS = 250_000
 NO_ID = -(1 << 63)
 #: Rows of a batch made in a task, and bytes of words in one, beyond which it ends.
 BATCH_ROWS, BATCH_BYTES = 1 << 16, 4 << 20
+#: Bytes of texts that are looked at together.
+TOGETHER = 1 << 18
 _FACTORS = (np.random.default_rng(20).integers(1, 1 << 62, WINDOW, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
+#: What ends a word, as a table of bytes; masks of the first bytes of a 64-bit number.
+_BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 SEGMENT = "id long, variant long, start int, windows int"
 
 
-class _Codes(dict):
-    """64-bit hashes of words, each made once while the table lasts. It is bounded by bytes."""
-
-    held = 0
-
-    def __missing__(self, word: bytes) -> int:
-        code = xxhash.xxh64_intdigest(word)
-        if len(word) <= LONGEST_KEPT:
-            self[word] = code
-            self.held += ENTRY_BYTES + len(word)
-        return code
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if self.held > TABLE_BYTES:
-            self.clear()
-            self.held = 0
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_codes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word, and the byte where it starts."""
+    padded = text + b" " + bytes(15)
+    blank = _BLANK[np.frombuffer(padded, np.uint8, len(text) + 1)]
+    edges = np.flatnonzero(np.concatenate(([not blank[0]], blank[1:] != blank[:-1])))
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    # Words of at most 16 bytes are two numbers and their size.
+    eights = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    one, two = eights[starts] & _FIRST[np.minimum(sizes, 8)], eights[starts + 8] & _FIRST[np.clip(sizes - 8, 0, 8)]
+    codes = mix(mix(mix(one + np.uint64(_BASE)) + two) + sizes.astype(np.uint64))
+    for word in np.flatnonzero(sizes > 16).tolist():
+        start = int(starts[word])
+        codes[word] = xxhash.xxh64_intdigest(text[start : start + int(sizes[word])])
+    return codes, starts
 
 
 def _runs(codes: np.ndarray, width: int) -> np.ndarray:
@@ -82,8 +84,11 @@ def _runs(codes: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
-def segments(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Minimizer, first window and number of windows of each segment."""
+def segments(codes: np.ndarray, sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Minimizer, first window and number of windows of each segment.
+
+    The codes are those of several documents in a row, of so many words each, or of one.
+    """
     if len(codes) < WINDOW:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     least = _runs(codes, SHINGLE)
@@ -94,8 +99,16 @@ def segments(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         later = least[right] < least[left]
         least, place = np.where(later, least[right], least[left]), np.where(later, place[right], place[left])
         span += step
-    first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    return least[first], first, np.diff(np.append(first, len(place)))
+    fresh = np.concatenate(([True], place[1:] != place[:-1]))
+    if sizes is None:
+        inside = np.ones(len(place), bool)
+    else:
+        # Windows that reach into the next document are none. They part the documents' own.
+        inside = (np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes)) >= WINDOW)[: len(place)]
+        fresh[1:] |= inside[1:] != inside[:-1]
+    first = np.flatnonzero(fresh)
+    windows, own = np.diff(np.append(first, len(place))), inside[first]
+    return least[first[own]], first[own], windows[own]
 
 
 def _prefix(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,28 +126,48 @@ def contents(codes: np.ndarray, first: np.ndarray, words: np.ndarray) -> np.ndar
     return mix((sums[first + words] - sums[first]) * inverse[first] + words.astype(np.uint64))
 
 
-def _each(batches: Iterator[pa.RecordBatch], work, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Batches of the arrays that `work` makes of each row, put together up to `BATCH_ROWS` rows."""
-    table = _Codes()
+def _joined(made: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Batches of up to `BATCH_ROWS` rows of the arrays, put together."""
+    whole = [np.concatenate(parts) for parts in zip(*made)]
+    for start in range(0, len(whole[0]), BATCH_ROWS):
+        cut = [x[start : start + BATCH_ROWS] for x in whole]
+        yield pa.record_batch([pa.array(x, kind) for x, kind in zip(cut, schema.types)], schema)
 
-    def joined(made: list[tuple]) -> Iterator[pa.RecordBatch]:
-        whole = [np.concatenate(parts) for parts in zip(*made)]
-        for start in range(0, len(whole[0]), BATCH_ROWS):
-            cut = [x[start : start + BATCH_ROWS] for x in whole]
-            yield pa.record_batch([pa.array(x, kind) for x, kind in zip(cut, schema.types)], schema)
 
+def _each(batches: Iterator[pa.RecordBatch], work, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Batches of the arrays that `work` makes of each row."""
     for batch in slices(batches):
         made, held = [], 0
         # A row's values become Python objects when it is its turn.
         for i in range(batch.num_rows):
-            for arrays in work(table, *(x[i].as_py() for x in batch.columns)):
+            for arrays in work(*(x[i].as_py() for x in batch.columns)):
                 made.append(arrays)
                 held += len(arrays[0])
             if held >= BATCH_ROWS:
-                yield from joined(made)
+                yield from _joined(made, schema)
                 made, held = [], 0
         if made:
-            yield from joined(made)
+            yield from _joined(made, schema)
+
+
+def _together(batches: Iterator[pa.RecordBatch], work, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Batches of the arrays that `work` makes of some rows, with the codes of all their words and the words of each.
+
+    Rows are taken until their texts have `TOGETHER` bytes.
+    """
+    for batch in slices(batches):
+        texts = batch.column("text")
+        begin, held, size = 0, [], 0
+        for i in range(batch.num_rows):
+            held.append(texts[i].as_py())
+            size += len(held[-1]) + 1
+            if size >= TOGETHER or i + 1 == batch.num_rows:
+                codes, starts = word_codes(b" ".join(held))
+                ends = np.searchsorted(starts, np.cumsum([len(text) + 1 for text in held]))
+                arrays = work(batch.slice(begin, len(held)), codes, np.diff(ends, prepend=0))
+                begin, held, size = i + 1, [], 0
+                if len(arrays[0]):
+                    yield from _joined([arrays], schema)
 
 
 _LONGS = {"long": pa.int64(), "int": pa.int32()}
@@ -177,13 +210,20 @@ class _Steps:
         self.spark._jvm.System.gc()
 
 
+def _owners(rows: pa.RecordBatch, sizes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The id and variant of the document that holds each place, and the place in it."""
+    ends = np.cumsum(sizes)
+    owner = np.searchsorted(ends, first, "right")
+    id_, variant = (rows.column(x).to_numpy() for x in ("id", "variant"))
+    return id_[owner], variant[owner], first - (ends - sizes)[owner]
+
+
 def _minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def work(table, id_, variant, text):
-        least, first, _ = segments(table.of(text.split()))
-        if len(first):
-            yield _signed(least), np.full(len(first), id_), np.full(len(first), variant), first
+    def work(rows, codes, sizes):
+        least, first, _ = segments(codes, sizes)
+        return _signed(least), *_owners(rows, sizes, first)
 
-    return _each(batches, work, _schema("mini long, id long, variant long, start int"))
+    return _together(batches, work, _schema("mini long, id long, variant long, start int"))
 
 
 def _survivors(keyed: DataFrame, steps: _Steps) -> DataFrame:
@@ -200,15 +240,18 @@ def _survivors(keyed: DataFrame, steps: _Steps) -> DataFrame:
 
 
 def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def work(table, id_, variant, text, starts):
-        codes = table.of(text.split())
-        least, first, windows = segments(codes)
-        wanted = np.isin(first, np.array(starts))
-        least, first, windows = least[wanted], first[wanted], windows[wanted]
+    def work(rows, codes, sizes):
+        starts = rows.column("starts")
+        begins = np.repeat(np.cumsum(sizes) - sizes, starts.value_lengths().to_numpy())
+        wanted = np.zeros(len(codes), bool)
+        wanted[starts.flatten().to_numpy() + begins] = True
+        least, first, windows = segments(codes, sizes)
+        kept = wanted[first]
+        least, first, windows = least[kept], first[kept], windows[kept]
         content = contents(codes, first, windows + WINDOW - 1)
-        yield _signed(least), _signed(content), np.full(len(first), id_), np.full(len(first), variant), first, windows
+        return _signed(least), _signed(content), *_owners(rows, sizes, first), windows
 
-    return _each(batches, work, _schema("mini long, content long, " + SEGMENT))
+    return _together(batches, work, _schema("mini long, content long, " + SEGMENT))
 
 
 def _position() -> F.Column:
@@ -304,8 +347,8 @@ def search_shard(rows: pa.Table) -> pa.Table:
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every window of the hot segments with two hashes of its words."""
 
-    def work(table, id_, variant, text, listed):
-        codes = table.of(text.split())
+    def work(id_, variant, text, listed):
+        codes, _ = word_codes(text)
         starts = np.concatenate([np.arange(x["start"], x["start"] + x["windows"]) for x in listed])
         one, two = _runs(codes, WINDOW)[starts], contents(codes, starts, np.full(len(starts), WINDOW))
         yield _signed(one), _signed(two), np.full(len(starts), id_), np.full(len(starts), variant), starts, np.ones(len(starts))

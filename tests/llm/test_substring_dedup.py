@@ -129,3 +129,31 @@ def test_batches_made_in_tasks_are_bounded(monkeypatch):
     assert max(sum(map(len, part.column("words").to_pylist())) for part in made) < 1000 + 62 * 4
     words = pa.Table.from_batches(made)
     assert words.num_rows == 30 and words["words"][1].as_py() == b" ".join(texts[0].split()[43:105])
+
+
+def test_documents_are_looked_at_together():
+    """Short texts share a look; segments, hashes and places are those of each text by itself."""
+    draw = random.Random(3)
+    texts = [" ".join(draw.choice("abc") * draw.choice([1, 8, 16, 17, 40]) for _ in range(draw.choice([0, 3, 19, 20, 21, 70]))) for _ in range(40)]
+    texts = [draw.choice(["", " ", "\t\n"]) + text for text in texts]
+    batch = pa.record_batch([pa.array(range(40)), pa.array(range(40)), pa.array([x.encode() for x in texts], pa.binary())], ["id", "variant", "text"])
+    whole = list(S._minimizers(iter([batch])))
+    assert len(whole) == 1
+    alone = [x for i in range(40) for x in S._minimizers(iter([batch.slice(i, 1)]))]
+    assert whole[0].to_pylist() == pa.Table.from_batches(alone).to_pylist()
+    starts = [[x["start"] for x in reversed(whole[0].to_pylist()) if x["id"] == i][::2] for i in range(40)]
+    batch = batch.append_column("starts", pa.array(starts, pa.list_(pa.int32())))
+    whole = list(S._segment_rows(iter([batch])))
+    alone = [x for i in range(40) for x in S._segment_rows(iter([batch.slice(i, 1)]))]
+    assert len(whole) == 1 and whole[0].num_rows == sum(map(len, starts))
+    assert whole[0].to_pylist() == pa.Table.from_batches(alone).to_pylist()
+
+
+def test_word_codes_tell_words_apart():
+    words = [b"a", b"a\0", b"aaaaaaaa", b"aaaaaaaa\0", b"a" * 16, b"a" * 17, b"a" * 16 + b"\0", "\u00e9".encode(), b"\x1c", b"\xa0"]
+    text = b" \t".join([*words, *reversed(words)]) + b"\v\f\r\n"
+    codes, starts = S.word_codes(text)
+    assert codes.tolist() == codes[::-1].tolist() and len(set(codes.tolist())) == len(words)
+    assert [text[i : i + len(w)] for i, w in zip(starts.tolist(), text.split(), strict=True)] == text.split()
+    for empty in (b"", b" \n"):
+        assert [len(x) for x in S.word_codes(empty)] == [0, 0]
